@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenantry.model import ForeignKey, Tables
-from tenantry.operators.extract import extract_dataset
+from tenantry.operators.extract import extract_dataset, table_order
 from tenantry.skew import keep_matching
 from tenantry.sources.graph import ordered_entries
 from tenantry.sources.tables import write_manifest, write_table
@@ -158,37 +158,36 @@ def upsert_edges(target: DataFrame, new: DataFrame, nodes: DataFrame) -> DataFra
 
 
 def without_tenant(
-    tables: Tables, keys: Sequence[ForeignKey], where: Mapping[str, object], tenant_columns: Mapping[str, Mapping[str, object]] | None = None
+    tables: Tables,
+    keys: Sequence[ForeignKey],
+    where: Mapping[str, object],
+    *,
+    tenant_columns: Mapping[str, Mapping[str, object]] | None = None,
+    broken: Sequence[ForeignKey] = (),
 ) -> Tables:
     """The dataset after the tenant's rows, direct and through foreign keys, are taken out.
 
-    Rows without a tenant stay.  Shared tables, which belong to no tenant, stay
-    whole.  Doing it again changes nothing.
+    A row goes with any parent that goes.  Rows without a tenant stay.  Shared
+    tables, which belong to no tenant, stay whole.  Doing it again changes nothing.
     """
     own = dict(tenant_columns or {})
-    live = list(keys)
-    doomed = extract_dataset(tables, live, where, tenant_columns=own)
-    below: set[str] = {n for n, df in tables.items() if n in own or (where and all(c in df.columns for c in where))}
-    for name in doomed:
-        if name not in below and any(k.child == name and k.parent in below for k in live):
-            below.add(name)
     kept: Tables = {}
-    for name, df in tables.items():
-        if name not in below:
-            kept[name] = df
-            continue
-        direct = own.get(name) or {c: v for c, v in where.items() if c in df.columns}
-        if name in own or (where and all(c in df.columns for c in where)):
+    doomed: Tables = {}
+    for name in table_order(list(tables), keys, broken):
+        df = tables[name]
+        direct = own.get(name) or (dict(where) if where and all(c in df.columns for c in where) else None)
+        if direct:
             match = reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in direct.items()])
-            kept[name] = df.filter(~F.coalesce(match, F.lit(False)))
+            theirs = F.coalesce(match, F.lit(False))
+            kept[name], doomed[name] = df.filter(~theirs), df.filter(theirs)
             continue
-        part = df
-        above = [k for k in live if k.child == name and k.parent in below]
-        if len(above) == 1:
-            kept[name] = keep_matching(part, doomed[above[0].parent], above[0].pairs, absent=True)
-        else:
-            kept[name] = part.exceptAll(doomed[name])
-    return kept
+        above = [k for k in keys if k not in broken and k.child == name and k.parent in doomed]
+        kept[name] = df
+        for key in above:
+            kept[name] = keep_matching(kept[name], doomed[key.parent], key.pairs, absent=True)
+            part = keep_matching(df, doomed[key.parent], key.pairs)
+            doomed[name] = doomed[name].unionByName(part) if name in doomed else part
+    return {name: kept[name] for name in tables}
 
 
 def residual(tables: Tables, keys: Sequence[ForeignKey], where: Mapping[str, object], **options) -> DataFrame:

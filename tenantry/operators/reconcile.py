@@ -85,14 +85,10 @@ def share_distance(source: DataFrame, target: DataFrame, bucket: Column) -> Data
         F.coalesce(F.sum(F.when(F.col("side") == "source", F.col("n"))), F.lit(0)).alias("a"),
         F.coalesce(F.sum(F.when(F.col("side") == "target", F.col("n"))), F.lit(0)).alias("b"),
     )
-    # the totals of both sides ride along as one row
-    totals = both.groupBy().agg(
-        F.sum(F.when(F.col("side") == "source", F.col("n"))).alias("a_all"),
-        F.sum(F.when(F.col("side") == "target", F.col("n"))).alias("b_all"),
-    )
-    gaps = per_bucket.join(F.broadcast(totals), F.lit(True))
-    gap = F.abs(F.col("a") / F.col("a_all") - F.col("b") / F.col("b_all"))
-    return gaps.agg(F.count(F.lit(1)).alias("buckets"), (F.sum(gap) / 2).alias("distance"))
+    all_of = lambda side: both.agg(F.sum(F.when(F.col("side") == side, F.col("n")))).scalar()
+    gap = F.abs(F.col("a") / all_of("source") - F.col("b") / all_of("target"))
+    gaps = per_bucket.select(gap.alias("gap"))
+    return gaps.agg(F.count(F.lit(1)).alias("buckets"), (F.sum("gap") / 2).alias("distance"))
 
 
 def quantile_gaps(source: DataFrame, target: DataFrame, column: str, grid: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
