@@ -165,17 +165,13 @@ def format_preserving(rule: str, value: Column, salt: str) -> Column:
     """
     text = value.cast("string")
     blocks = F.sequence(F.lit(0), F.floor((F.length(text) - 1) / 32).cast("int"))
-    key = F.array_join(
-        F.transform(
-            blocks,
-            lambda b: F.sha2(F.concat(F.lit(f"{rule}:"), text, F.lit(f":{salt}:"), b.cast("string")), 256),
-        ),
-        "",
+    digests = F.transform(
+        blocks,
+        lambda b: F.sha2(F.concat(F.lit(f"{rule}:"), text, F.lit(f":{salt}:"), b.cast("string")), 256),
     )
 
-    def swap(item: Column) -> Column:
-        # item: the character and its two hex digits
-        char, number = item["char"], F.conv(item["hex"], 16, 10).cast("int")
+    def swap(char: Column, hex_digits: Column) -> Column:
+        number = F.conv(hex_digits, 16, 10).cast("int")
         return (
             F.when(char.between("0", "9"), (number % 10).cast("string"))
             .when(char.between("a", "z"), F.char(number % 26 + 97))
@@ -183,14 +179,16 @@ def format_preserving(rule: str, value: Column, salt: str) -> Column:
             .otherwise(char)
         )
 
-    characters = F.transform(
-        F.sequence(F.lit(1), F.length(text)),
-        lambda i: F.struct(
-            F.substring(text, i, F.lit(1)).alias("char"),
-            F.substring(key, i * 2 - 1, F.lit(2)).alias("hex"),
-        ),
-    )
-    return F.when(F.length(text) == 0, text).otherwise(F.array_join(F.transform(characters, swap), ""))
+    def rewrite(key: Column) -> Column:
+        characters = F.transform(
+            F.sequence(F.lit(1), F.length(text)),
+            lambda i: swap(F.substring(text, i, F.lit(1)), F.substring(key, i * 2 - 1, F.lit(2))),
+        )
+        return F.array_join(characters, "")
+
+    # the one-element array makes Spark work out the key once, not once per character
+    whole = F.transform(F.array(F.array_join(digests, "")), rewrite)[0]
+    return F.when(F.length(text) == 0, text).otherwise(whole)
 
 
 def domain_preserving_email(rule: str, value: Column, salt: str) -> Column:
