@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenantry.model import BusinessRule, ForeignKey, RequiredFields, RowCheck, Tables
 from tenantry.skew import keep_matching
+from tenantry.state import materialize
 
 FINDING_COLUMNS = ("check", "rule", "table_name", "column_name", "ref_table", "severity", "failed", "message", "sample")
 SAMPLE_VALUES = 5
@@ -201,50 +202,66 @@ def orphans(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
     return values.join(ids, match, "left_anti")
 
 
+def _sortable(df: DataFrame, column: str) -> Column:
+    """Text that sorts like the value: whole numbers are shifted to be positive and padded."""
+    text = F.col(column).cast("string")
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        return F.lpad((F.col(column).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    return text
+
+
 def reference_findings(tables: Tables, keys: Sequence[ForeignKey], count_rows: bool = False) -> DataFrame:
     """Orphans per foreign key with the five smallest as a sample; a key to an absent table is SKIPPED.
 
-    ``failed`` counts distinct values, or rows with ``count_rows``.
+    ``failed`` counts distinct values, or rows with ``count_rows``.  The orphans
+    of all keys are found in one job and written, which is little where the data
+    is sound; totals and samples are then taken from there.
     """
+    spark = tables[keys[0].child].sparkSession
+    checked = [(i, key) for i, key in enumerate(keys) if key.parent in tables]
+    unit = "orphaned rows" if count_rows else "orphaned FK values"
+    described = [
+        (
+            i,
+            key.child,
+            ",".join(key.columns),
+            key.parent,
+            "ERROR" if key.parent in tables else "SKIPPED",
+            f" {unit} (not in {key.parent})",
+        )
+        for i, key in enumerate(keys)
+    ]
+    all_keys = spark.createDataFrame(
+        described, "i INT, table_name STRING, column_name STRING, ref_table STRING, severity STRING, text STRING"
+    )
     parts = []
-    for key in keys:
-        column = ",".join(key.columns)
-        if key.parent not in tables:
-            base = tables[key.child].sparkSession.range(1)
-            parts.append(
-                base.select(
-                    *_finding("referential_integrity", None, key.child, column, key.parent, "SKIPPED", F.lit(0), "")
-                )
-            )
-            continue
+    for i, key in checked:
         lost = orphans(tables[key.child], tables[key.parent], key)
-        text = F.concat_ws(",", *[F.col(c).cast("string") for c in key.columns])
-        counted = lost.agg((F.sum("rows") if count_rows else F.count(F.lit(1))).alias("failed"))
-        counted = counted.select(F.coalesce("failed", F.lit(0)).alias("failed"), F.lit(None).cast("struct<v:string,p:int>").alias("s"))
-        first = lost.orderBy(*key.columns).limit(SAMPLE_VALUES)
-        first = first.select(F.lit(0).cast("bigint").alias("failed"), F.struct(text.alias("v"), F.monotonically_increasing_id().cast("int").alias("p")).alias("s"))
-        # one count and at most five samples come together here
-        both = counted.unionByName(first).agg(
-            F.sum("failed").alias("failed"),
-            F.transform(F.array_sort(F.collect_list("s"), lambda a, b: a["p"] - b["p"]), lambda s: s["v"]).alias("sample"),
-        )
-        unit = "orphaned rows" if count_rows else "orphaned FK values"
-        parts.append(
-            both.select(
-                *_finding(
-                    "referential_integrity",
-                    None,
-                    key.child,
-                    column,
-                    key.parent,
-                    "ERROR",
-                    F.col("failed"),
-                    f"%d {unit} (not in {key.parent})",
-                    F.col("sample"),
-                )
-            )
-        )
-    return union_all(parts)
+        value = F.concat_ws(",", *[F.col(c).cast("string") for c in key.columns])
+        place = F.concat_ws(",", *[_sortable(tables[key.child], c) for c in key.columns])
+        parts.append(lost.select(F.lit(i).alias("i"), value.alias("value"), place.alias("place"), "rows"))
+    if parts:
+        lost = materialize(union_all(parts), "orphans")
+    else:
+        lost = spark.createDataFrame([], "i INT, value STRING, place STRING, rows BIGINT")
+    totals = lost.groupBy("i").agg((F.sum("rows") if count_rows else F.count(F.lit(1))).alias("n"))
+    number = F.row_number().over(Window.partitionBy("i").orderBy("place"))
+    first = lost.withColumn("number", number).filter(F.col("number") <= SAMPLE_VALUES)
+    # at most five rows for each key
+    samples = first.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("number", "value"))).alias("s"))
+    found = all_keys.join(totals, "i", "left").join(samples, "i", "left")
+    failed = F.coalesce("n", F.lit(0)).cast("bigint")
+    return found.select(
+        F.lit("referential_integrity").alias("check"),
+        F.lit(None).cast("string").alias("rule"),
+        "table_name",
+        "column_name",
+        "ref_table",
+        "severity",
+        failed.alias("failed"),
+        F.when(failed > 0, F.concat(failed.cast("string"), F.col("text"))).alias("message"),
+        F.coalesce(F.transform("s", lambda x: x["value"]), F.array().cast("array<string>")).alias("sample"),
+    )
 
 
 def cross_table_finding(
