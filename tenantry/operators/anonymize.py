@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from tenantry.functions import surrogates
 from tenantry.model import AnonymizationRule, Tables
 from tenantry.operators.ranking import number_rows
-from tenantry.skew import keep_matching, look_up
-from tenantry.state import materialize
+from tenantry.skew import look_up
 
 Rules = Sequence[AnonymizationRule]
 MAPPED = ("surrogate", "tokenize")  # strategies whose results belong in a consistency map
@@ -237,21 +236,19 @@ def _hits(text: Column, kind: str) -> Column:
 
 def pii_in_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with hits and number of hits per text column and kind of personal data."""
-    figures, rows = [], []
-    for column in columns:
-        for kind in PII_PATTERNS:
-            hits = F.coalesce(_hits(F.col(column), kind), F.lit(0))
-            name = f"{column}_{kind}"
-            figures += [F.count_if(hits > 0).alias(f"{name}_rows"), F.sum(hits.cast("bigint")).alias(f"{name}_hits")]
-            rows.append(
-                F.struct(
-                    F.lit(column).alias("column_name"),
-                    F.lit(kind).alias("kind"),
-                    F.col(f"{name}_rows").alias("rows"),
-                    F.coalesce(F.col(f"{name}_hits"), F.lit(0)).alias("hits"),
-                )
-            )
-    return df.agg(*figures).select(F.inline(F.array(*rows)))
+    kinds = [(column, kind, f"{column}_{kind}") for column in columns for kind in PII_PATTERNS]
+    hits = df.select(*[F.coalesce(_hits(F.col(column), kind), F.lit(0)).cast("bigint").alias(name) for column, kind, name in kinds])
+    figures = [f for _, _, n in kinds for f in (F.count_if(F.col(n) > 0).alias(f"{n}_rows"), F.sum(n).alias(f"{n}_hits"))]
+    rows = [
+        F.struct(
+            F.lit(column).alias("column_name"),
+            F.lit(kind).alias("kind"),
+            F.col(f"{n}_rows").alias("rows"),
+            F.coalesce(F.col(f"{n}_hits"), F.lit(0)).alias("hits"),
+        )
+        for column, kind, n in kinds
+    ]
+    return hits.agg(*figures).select(F.inline(F.array(*rows)))
 
 
 def redact(text: Column) -> Column:

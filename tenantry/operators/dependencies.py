@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tenantry.model import Tables
 from tenantry.operators.ranking import number_rows
-from tenantry.skew import hot_keys, estimated_bytes, keep_matching, SMALL_BYTES
+from tenantry.skew import hot_keys, is_small, keep_matching
 from tenantry.state import materialize, new_folder
 
 
@@ -42,48 +42,44 @@ def dependency_edges(tables: DataFrame, keys: DataFrame) -> tuple[DataFrame, Dat
     return nodes, edges
 
 
-def _hot_or_none(edges: DataFrame, column: str) -> list[int]:
-    """Hot keys of an edge column, looked up once for all rounds of a traversal."""
-    size = estimated_bytes(edges)
-    return [] if size is not None and size <= SMALL_BYTES else hot_keys(edges, [column])
-
-
 def topological_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(name, level)`` of every node that can be ordered; parents have lower levels.
 
     The level is the longest chain of parents above a node.  Nodes on or below a
     cycle get no level, so a graph has a cycle if this returns fewer rows than
-    there are nodes.  Only nodes that a round has reached are carried along, with
-    the number of their parents already placed.
+    there are nodes.  Each round carries only the nodes that it reaches, with the
+    number of their parents already placed, and writes them once: those that are
+    ready make up the level, the others wait.
     """
     spark = nodes.sparkSession
     folder = new_folder(spark, "levels")
-    edges = materialize(edges.select("parent", "child"), "edges")
-    hot = _hot_or_none(edges, "parent")
+    edges = edges.select("parent", "child")
+    hot = [] if is_small(edges) else hot_keys(edges, ["parent"])
     needed = materialize(edges.groupBy("child").agg(F.count(F.lit(1)).alias("needed")), "needed")
-    schema = f"name {nodes.schema['name'].dataType.simpleString()}, level INT"
+    schema = f"name {nodes.schema['name'].dataType.simpleString()}, seen BIGINT"
 
-    def level_of(number: int) -> DataFrame:
-        return spark.read.schema(schema.rsplit(",", 1)[0]).parquet(f"{folder}/level={number}")
+    def round_of(number: int, ready: bool) -> DataFrame:
+        part = spark.read.schema(f"{schema}, ready BOOLEAN").parquet(f"{folder}/level={number}")
+        return part.filter(F.col("ready") == ready).select("name", "seen")
 
-    first = nodes.select("name").distinct()
-    keep_matching(first, needed, [("name", "child")], absent=True).write.parquet(f"{folder}/level=0")
-    waiting = None
+    def write(reached: DataFrame, number: int) -> None:
+        reached.write.partitionBy("ready").parquet(f"{folder}/level={number}")
+
+    first = keep_matching(nodes.select("name").distinct(), needed, [("name", "child")], absent=True)
+    write(first.select("name", F.lit(0).cast("bigint").alias("seen"), F.lit(True).alias("ready")), 0)
     number = 0
-    while not level_of(number).isEmpty():
-        seen = (
-            keep_matching(edges, level_of(number), [("parent", "name")], hot=hot)
-            .groupBy("child")
-            .agg(F.count(F.lit(1)).alias("seen"))
-        )
-        if waiting is not None:
-            seen = seen.unionByName(waiting).groupBy("child").agg(F.sum("seen").alias("seen"))
-        reached = materialize(seen.join(needed, "child"), "reached")
+    while not round_of(number, True).isEmpty():
+        placed = round_of(number, True)
+        hits = keep_matching(edges, placed, [("parent", "name")], hot=hot).groupBy(F.col("child").alias("name"))
+        seen = hits.agg(F.count(F.lit(1)).alias("seen"))
+        if number > 0:
+            waiting = seen.unionByName(round_of(number, False))
+            seen = waiting.groupBy("name").agg(F.sum("seen").alias("seen"))
+        reached = seen.join(needed, F.col("name") == F.col("child"))
         number += 1
-        ready = reached.filter(F.col("seen") == F.col("needed"))
-        ready.select(F.col("child").alias("name")).write.parquet(f"{folder}/level={number}")
-        waiting = reached.filter(F.col("seen") < F.col("needed")).select("child", "seen")
-    return spark.read.schema(schema).parquet(folder)
+        write(reached.select("name", "seen", (F.col("seen") == F.col("needed")).alias("ready")), number)
+    done = spark.read.schema(f"{schema}, level INT, ready BOOLEAN").parquet(folder)
+    return done.filter("ready").select("name", "level")
 
 
 def unordered_nodes(nodes: DataFrame, levels: DataFrame) -> DataFrame:

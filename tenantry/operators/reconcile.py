@@ -25,10 +25,24 @@ def compare_counts(source: Tables, target: Tables) -> DataFrame:
     return counted.withColumn("equal", F.col("source_rows") == F.col("target_rows"))
 
 
+# A hash is summed in three parts of at most 22 bits.  A sum of BIGINTs is much
+# faster than one of decimals, and holds the parts of 2**41 rows.
+_PARTS = ((0, 22), (22, 21), (43, 21))
+
+
+def _hash_sums(columns: Sequence[str], name: str) -> list[Column]:
+    value = F.xxhash64(*[F.col(c) for c in columns])
+    return [
+        F.sum(F.shiftrightunsigned(value, start).bitwiseAND(F.lit(2**bits - 1))).alias(f"{name}_{start}") for start, bits in _PARTS
+    ]
+
+
 def checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows and a sum of row hashes, which does not depend on the order of rows."""
-    hashed = F.xxhash64(*[F.col(c) for c in (columns or df.columns)]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(hashed), F.lit(0)).cast("decimal(38,0)").alias("checksum"))
+    """Rows and the sum of their unsigned 64-bit hashes, which does not depend on the order of rows."""
+    sums = df.agg(F.count(F.lit(1)).alias("rows"), *_hash_sums(columns or df.columns, "h"))
+    part = lambda start: F.coalesce(f"h_{start}", F.lit(0)).cast("decimal(19,0)")
+    whole = part(0) + part(22) * F.lit(2**22) + part(43) * F.lit(2**43)
+    return sums.select("rows", whole.cast("decimal(38,0)").alias("checksum"))
 
 
 def compare_checksums(source: Tables, target: Tables) -> DataFrame:
@@ -112,13 +126,17 @@ def row_differences(source: DataFrame, target: DataFrame, key: Sequence[str]) ->
     columns = [c for c in source.columns if c not in key]
 
     def by_key(df: DataFrame, side: str) -> DataFrame:
-        sums = [F.sum(F.xxhash64(c).cast("decimal(38,0)")).alias(f"{side}_{c}") for c in columns]
+        sums = [total for c in columns for total in _hash_sums([c], f"{side}_{c}")]
         return df.groupBy(*[F.col(c).alias(f"{side}_key_{c}") for c in key]).agg(F.count(F.lit(1)).alias(f"{side}_rows"), *sums)
 
     a, b = by_key(source, "a"), by_key(target, "b")
     match = reduce(lambda x, y: x & y, [F.col(f"a_key_{c}").eqNullSafe(F.col(f"b_key_{c}")) for c in key])
+
+    def same(c: str) -> Column:
+        return reduce(lambda x, y: x & y, [F.col(f"a_{c}_{start}") == F.col(f"b_{c}_{start}") for start, _ in _PARTS])
+
     differing = F.array_compact(
-        F.array(*[F.when(~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")), F.lit(c)) for c in columns])
+        F.array(*[F.when(~same(c), F.lit(c)) for c in columns])
         if columns
         else F.array().cast("array<string>")
     )

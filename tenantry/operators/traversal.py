@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenantry.skew import SMALL_BYTES, estimated_bytes, hot_keys, keep_matching
+from tenantry.skew import hot_keys, is_small, keep_matching
 from tenantry.sources.graph import nodes_with, ordered_entries
 from tenantry.state import materialize, new_folder
 
 
 def _edge_hot_keys(edges: DataFrame) -> tuple[list[int], list[int]]:
-    size = estimated_bytes(edges)
-    if size is not None and size <= SMALL_BYTES:
+    """Nodes with very many edges, looked up once for all rounds of a traversal."""
+    if is_small(edges):
         return [], []
     return hot_keys(edges, ["start_id"]), hot_keys(edges, ["end_id"])
 
@@ -20,12 +20,14 @@ def _edge_hot_keys(edges: DataFrame) -> tuple[list[int], list[int]]:
 def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
     """``(node_id, dist)`` of every node within ``max_depth`` steps of a root.
 
-    Breadth first: each round joins the frontier with the edges, drops nodes
-    already reached, and stops when nothing new turns up.
+    Breadth first: each round joins the frontier with two columns of the edges,
+    drops nodes already reached, and stops when nothing new turns up.  Only the
+    nodes found are written and shuffled, never the edges as a whole, as long as
+    the frontier fits a broadcast.
     """
     spark = edges.sparkSession
     folder = new_folder(spark, "reached")
-    links = materialize(edges.select("start_id", "end_id").distinct(), "links")
+    links = edges.select("start_id", "end_id")
     hot_start, hot_end = _edge_hot_keys(links)
 
     def frontier(depth: int) -> DataFrame:

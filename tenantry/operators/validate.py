@@ -339,9 +339,13 @@ def duplicate_key_finding(df: DataFrame, table: str, key: Sequence[str]) -> Data
 
 def store_presence(stores: Mapping[str, DataFrame]) -> DataFrame:
     """In which stores each key occurs; every frame has the key as its first column."""
-    parts = [df.select(F.col(df.columns[0]).alias("key")).distinct().withColumn("store", F.lit(s)) for s, df in stores.items()]
-    flags = [F.max((F.col("store") == s).cast("int")).alias(f"in_{s}") for s in stores]
-    return union_all(parts).groupBy("key").agg(*flags, F.count(F.lit(1)).alias("stores"))
+    parts = [
+        df.select(F.col(df.columns[0]).alias("key"), *[F.lit(int(s == store)).alias(f"in_{s}") for s in stores])
+        for store, df in stores.items()
+    ]
+    found = union_all(parts).groupBy("key").agg(*[F.max(f"in_{s}").alias(f"in_{s}") for s in stores])
+    present = reduce(lambda a, b: a + b, [F.col(f"in_{s}") for s in stores])
+    return found.withColumn("stores", present.cast("bigint"))
 
 
 def not_in_every_store(stores: Mapping[str, DataFrame]) -> DataFrame:

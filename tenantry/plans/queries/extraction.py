@@ -10,6 +10,7 @@ from tenantry.operators import extract
 from tenantry.operators.validate import reference_findings
 from tenantry.plans.bindings import KEYS, STORE_OF, reader, tables
 from tenantry.sources.tables import bounded_query
+from tenantry.state import materialize
 
 ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 NATION = {"nation": {"n_nationkey": 7}}
@@ -47,9 +48,13 @@ def extract_bridge(spark: SparkSession, folder: str) -> DataFrame:
     ).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
 
 
+def _keep(name: str, df: DataFrame) -> DataFrame:
+    return materialize(df, name)
+
+
 def _nation_counts(spark: SparkSession, folder: str) -> DataFrame:
     data = tables(spark, folder, *ALL_TABLES)
-    subset = extract.extract_dataset(data, KEYS, {}, tenant_columns=NATION)
+    subset = extract.extract_dataset(data, KEYS, {}, tenant_columns=NATION, save=_keep)
     return extract.manifest(subset, STORE_OF.__getitem__)
 
 
@@ -81,7 +86,7 @@ def missing_references(spark: SparkSession, folder: str) -> DataFrame:
     region = {"nation": {"n_regionkey": 2}}
     keys = [k for k in KEYS if k.child in data and k.parent in data]
     first = [k for k in keys if k.columns != ("l_suppkey",)]
-    subset = extract.extract_dataset(data, first, {}, tenant_columns=region)
+    subset = extract.extract_dataset(data, first, {}, tenant_columns=region, save=_keep)
     found = reference_findings(subset, keys, count_rows=True)
     return found.select("table_name", "column_name", "ref_table", "failed")
 

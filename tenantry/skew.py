@@ -2,30 +2,52 @@
 
 Counting operators in this library aggregate by key before they join, so a hot
 key costs them nothing.  Operators that must return the rows themselves use the
-two joins below.  On a large probe side they find the hot keys, spread the rows
-of each over ``SALTS`` tasks and repeat the matching key rows as often.  Which
-keys are salted never changes the result, so the search may look at a sample;
-every row takes part in the join either way.
+two joins below.  Where the rows are many, the keys are written once and
+measured:
+
+* keys that fit a broadcast are sent to the rows, which then need no shuffle;
+* more keys than that are joined by shuffle, and the rows of hot keys are spread
+  over ``SALTS`` tasks, with the matching key rows repeated as often.
+
+Which keys are salted never changes the result, so the search for hot keys may
+look at a sample; every row takes part in the join either way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALTS = 128
-SAMPLE_SHARE = 0.01
-HOT_ROWS = 1_000_000  # a key with fewer rows than this is left to one task
-MAX_HOT_KEYS = 1_000
-SMALL_BYTES = 512 * 1024 * 1024  # a probe side below this size is joined plainly
+from tenantry.state import materialize
+
+
+@dataclass(frozen=True)
+class Limits:
+    """From which sizes on the joins take which path."""
+
+    small_bytes: int = 512 * 1024 * 1024  # rows below this size are joined plainly
+    broadcast_bytes: int = 128 * 1024 * 1024  # measured size up to which keys are broadcast
+    hot_rows: int = 1_000_000  # a key with fewer rows is left to one task
+    max_hot_keys: int = 1_000
+    salts: int = 128
+    sample_share: float = 0.01
 
+
+LIMITS = Limits()
+_ROW_OVERHEAD = 32
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
+def limits(**changes) -> Limits:
+    """The default limits with some changed."""
+    return replace(LIMITS, **changes)
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate, or None where the session does not expose it."""
     try:
@@ -34,22 +56,33 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def is_small(df: DataFrame, bounds: Limits = LIMITS) -> bool:
+    size = estimated_bytes(df)
+    return size is not None and size <= bounds.small_bytes
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows of a written table, from their number and the length of their texts."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = _ROW_OVERHEAD + 8 * len(df.columns)
+    length = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts], F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(length.cast("bigint")), F.lit(0)).alias("b")).first()
+    return row.n * fixed + row.b
+
+
 def _key_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(c).cast("string") for c in columns])
 
 
-def hot_keys(df: DataFrame, columns: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys that hold about ``hot_rows`` rows or more; at most MAX_HOT_KEYS."""
+def hot_keys(df: DataFrame, columns: Sequence[str], bounds: Limits = LIMITS) -> list[int]:
+    """Hashes of the keys that hold about ``hot_rows`` rows or more; a bounded number of them."""
     counts = (
-        df.select(_key_hash(columns).alias("h"))
-        .sample(fraction=SAMPLE_SHARE, seed=17)
-        .groupBy("h")
-        .count()
+        df.select(_key_hash(columns).alias("h")).sample(fraction=bounds.sample_share, seed=17).groupBy("h").count()
     )
     hot = (
-        counts.filter(F.col("count") >= hot_rows * SAMPLE_SHARE)
+        counts.filter(F.col("count") >= bounds.hot_rows * bounds.sample_share)
         .orderBy(F.desc("count"))
-        .limit(MAX_HOT_KEYS)
+        .limit(bounds.max_hot_keys)
     )
     return [row.h for row in hot.collect()]
 
@@ -62,37 +95,28 @@ def _same_text_form(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, s
     return True
 
 
-def _join(
-    rows: DataFrame,
-    keys: DataFrame,
-    on: Sequence[tuple[str, str]],
-    how: str,
-    hot: Sequence[int] | None,
-    small_bytes: int,
-) -> DataFrame:
+def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, hot, bounds: Limits) -> DataFrame:
     names = [c for c, _ in on]
+    right = [f"__key_{i}" for i in range(len(on))]
+    renamed = keys.withColumnsRenamed({k: right[i] for i, (_, k) in enumerate(on)})
+    match = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in zip(names, right, strict=True)])
+    if is_small(rows, bounds):
+        return rows.join(renamed, match, how).drop(*right)
+    measured = materialize(renamed if how == "left_outer" else renamed.distinct(), "keys")
+    if measured_bytes(measured) <= bounds.broadcast_bytes:
+        return rows.join(F.broadcast(measured), match, how).drop(*right)
     if hot is None:
-        size = estimated_bytes(rows)
-        known_small = size is not None and size <= small_bytes
-        hot = [] if known_small or not _same_text_form(rows, keys, on) else hot_keys(rows, names)
-    renamed = keys.withColumnsRenamed({k: f"__key_{i}" for i, (_, k) in enumerate(on)})
-    match = reduce(
-        lambda a, b: a & b,
-        [F.col(c) == F.col(f"__key_{i}") for i, c in enumerate(names)],
-    )
+        hot = hot_keys(rows, names, bounds) if _same_text_form(rows, keys, on) else []
     if not hot:
-        return rows.join(renamed, match, how).drop(*[f"__key_{i}" for i in range(len(on))])
-    spread = F.when(
-        _key_hash(names).isin(list(hot)), F.monotonically_increasing_id() % SALTS
-    ).otherwise(F.lit(0))
-    repeats = F.when(
-        _key_hash([f"__key_{i}" for i in range(len(on))]).isin(list(hot)),
-        F.sequence(F.lit(0), F.lit(SALTS - 1)),
-    ).otherwise(F.array(F.lit(0)))
+        return rows.join(measured, match, how).drop(*right)
+    spread = F.when(_key_hash(names).isin(list(hot)), F.monotonically_increasing_id() % bounds.salts).otherwise(F.lit(0))
+    repeats = F.when(_key_hash(right).isin(list(hot)), F.sequence(F.lit(0), F.lit(bounds.salts - 1))).otherwise(
+        F.array(F.lit(0))
+    )
     salted_rows = rows.withColumn("__salt", spread.cast("int"))
-    salted_keys = renamed.withColumn("__key_salt", F.explode(repeats))
+    salted_keys = measured.withColumn("__key_salt", F.explode(repeats))
     joined = salted_rows.join(salted_keys, match & (F.col("__salt") == F.col("__key_salt")), how)
-    return joined.drop("__salt", "__key_salt", *[f"__key_{i}" for i in range(len(on))])
+    return joined.drop("__salt", "__key_salt", *right)
 
 
 def keep_matching(
@@ -102,15 +126,15 @@ def keep_matching(
     *,
     absent: bool = False,
     hot: Sequence[int] | None = None,
-    small_bytes: int = SMALL_BYTES,
+    bounds: Limits = LIMITS,
 ) -> DataFrame:
     """Rows whose key occurs in ``keys`` (or, with ``absent``, does not).
 
     ``on`` pairs a column of ``rows`` with a column of ``keys``.  A null key
-    occurs nowhere.  ``hot`` overrides the search for hot keys.
+    occurs nowhere.  ``hot`` replaces the search for hot keys.
     """
     key_columns = keys.select(*dict.fromkeys(k for _, k in on))
-    return _join(rows, key_columns, on, "left_anti" if absent else "left_semi", hot, small_bytes)
+    return _join(rows, key_columns, on, "left_anti" if absent else "left_semi", hot, bounds)
 
 
 def look_up(
@@ -119,10 +143,10 @@ def look_up(
     on: Sequence[tuple[str, str]],
     *,
     hot: Sequence[int] | None = None,
-    small_bytes: int = SMALL_BYTES,
+    bounds: Limits = LIMITS,
 ) -> DataFrame:
     """All rows with the other columns of ``table``, null where there is no match.
 
     ``table`` must hold at most one row per key.
     """
-    return _join(rows, table, on, "left_outer", hot, small_bytes)
+    return _join(rows, table, on, "left_outer", hot, bounds)
