@@ -60,7 +60,7 @@ def _number(key: Column, part: int) -> Column:
 
 
 def _pick(words: Sequence[str], number: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (number % len(words) + 1).cast("int"))
+    return F.get(F.array(*[F.lit(w) for w in words]), (number % len(words)).cast("int"))
 
 
 def _digits(number: Column, width: int) -> Column:

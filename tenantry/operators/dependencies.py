@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tenantry.model import Tables
 from tenantry.operators.ranking import number_rows
-from tenantry.skew import hot_keys, is_small, keep_matching
+from tenantry.skew import Probe, keep_matching
 from tenantry.state import materialize, new_folder
 
 
@@ -54,7 +54,7 @@ def topological_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     spark = nodes.sparkSession
     folder = new_folder(spark, "levels")
     edges = edges.select("parent", "child")
-    hot = [] if is_small(edges) else hot_keys(edges, ["parent"])
+    probe = Probe.of(edges, ["parent"])
     needed = materialize(edges.groupBy("child").agg(F.count(F.lit(1)).alias("needed")), "needed")
     schema = f"name {nodes.schema['name'].dataType.simpleString()}, seen BIGINT"
 
@@ -70,7 +70,7 @@ def topological_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     number = 0
     while not round_of(number, True).isEmpty():
         placed = round_of(number, True)
-        hits = keep_matching(edges, placed, [("parent", "name")], hot=hot).groupBy(F.col("child").alias("name"))
+        hits = keep_matching(edges, placed, [("parent", "name")], probe=probe).groupBy(F.col("child").alias("name"))
         seen = hits.agg(F.count(F.lit(1)).alias("seen"))
         if number > 0:
             waiting = seen.unionByName(round_of(number, False))

@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenantry.skew import hot_keys, is_small, keep_matching
+from tenantry.skew import Probe, keep_matching
 from tenantry.sources.graph import nodes_with, ordered_entries
 from tenantry.state import materialize, new_folder
 
 
-def _edge_hot_keys(edges: DataFrame) -> tuple[list[int], list[int]]:
-    """Nodes with very many edges, looked up once for all rounds of a traversal."""
-    if is_small(edges):
-        return [], []
-    return hot_keys(edges, ["start_id"]), hot_keys(edges, ["end_id"])
+def _both_ends(edges: DataFrame) -> tuple[Probe, Probe]:
+    """Size and busiest nodes of the edges, looked up once for all rounds of a traversal."""
+    start = Probe.of(edges, ["start_id"])
+    return start, start if start.small else Probe.of(edges, ["end_id"])
 
 
 def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
@@ -28,7 +27,7 @@ def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
     spark = edges.sparkSession
     folder = new_folder(spark, "reached")
     links = edges.select("start_id", "end_id")
-    hot_start, hot_end = _edge_hot_keys(links)
+    by_start, by_end = _both_ends(links)
 
     def frontier(depth: int) -> DataFrame:
         return spark.read.schema("node_id BIGINT").parquet(f"{folder}/dist={depth}")
@@ -41,8 +40,8 @@ def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
         last = frontier(depth - 1)
         if last.isEmpty():
             break
-        forth = keep_matching(links, last, [("start_id", "node_id")], hot=hot_start).select(F.col("end_id").alias("node_id"))
-        back = keep_matching(links, last, [("end_id", "node_id")], hot=hot_end).select(F.col("start_id").alias("node_id"))
+        forth = keep_matching(links, last, [("start_id", "node_id")], probe=by_start).select(F.col("end_id").alias("node_id"))
+        back = keep_matching(links, last, [("end_id", "node_id")], probe=by_end).select(F.col("start_id").alias("node_id"))
         found = forth.union(back).distinct().join(reached().select("node_id"), "node_id", "left_anti")
         found.write.parquet(f"{folder}/dist={depth}")
     return reached()
@@ -59,9 +58,9 @@ def neighbourhood_edges(edges: DataFrame, roots: DataFrame, max_depth: int = 10)
     Those are the edges with an end nearer than ``max_depth``.
     """
     near = distances(edges, roots, max_depth - 1).select("node_id")
-    hot_start, hot_end = _edge_hot_keys(edges)
-    outgoing = keep_matching(edges, near, [("start_id", "node_id")], hot=hot_start)
-    incoming = keep_matching(edges, near, [("end_id", "node_id")], hot=hot_end)
+    by_start, by_end = _both_ends(edges)
+    outgoing = keep_matching(edges, near, [("start_id", "node_id")], probe=by_start)
+    incoming = keep_matching(edges, near, [("end_id", "node_id")], probe=by_end)
     columns = ["start_id", "type", "end_id"]
     return (
         outgoing.unionByName(incoming)
@@ -88,12 +87,12 @@ def paths_from(
     more than ``limit`` paths, however many edges a hub has.
     """
     links = edges.select("edge_id", "start_id", "end_id")
-    hot_start, hot_end = _edge_hot_keys(links)
+    by_start, by_end = _both_ends(links)
     starts = nodes_with(nodes, label, prop, value).select("node_id").distinct()
-    forth = keep_matching(links, starts, [("start_id", "node_id")], hot=hot_start).select(
+    forth = keep_matching(links, starts, [("start_id", "node_id")], probe=by_start).select(
         "start_id", "end_id", F.array("edge_id").alias("path_edges")
     )
-    back = keep_matching(links.filter("start_id <> end_id"), starts, [("end_id", "node_id")], hot=hot_end).select(
+    back = keep_matching(links.filter("start_id <> end_id"), starts, [("end_id", "node_id")], probe=by_end).select(
         F.col("end_id").alias("start_id"), F.col("start_id").alias("end_id"), F.array("edge_id").alias("path_edges")
     )
     candidates = forth.unionByName(back)

@@ -34,7 +34,15 @@ STORE_OF = {
 
 
 def reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
-    return lambda name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A function from table name to table, which reads the footer of each table once."""
+    seen: Tables = {}
+
+    def read(name: str) -> DataFrame:
+        if name not in seen:
+            seen[name] = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+        return seen[name]
+
+    return read
 
 
 def tables(spark: SparkSession, folder: str, *names: str) -> Tables:

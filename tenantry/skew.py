@@ -87,6 +87,19 @@ def hot_keys(df: DataFrame, columns: Sequence[str], bounds: Limits = LIMITS) ->
     return [row.h for row in hot.collect()]
 
 
+@dataclass(frozen=True)
+class Probe:
+    """What a loop needs to know about the rows that it joins again and again."""
+
+    small: bool
+    hot: tuple[int, ...] = ()
+
+    @classmethod
+    def of(cls, df: DataFrame, columns: Sequence[str], bounds: Limits = LIMITS) -> Probe:
+        small = is_small(df, bounds)
+        return cls(small, () if small else tuple(hot_keys(df, columns, bounds)))
+
+
 def _same_text_form(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> bool:
     for a, b in on:
         x, y = left.schema[a].dataType, right.schema[b].dataType
@@ -95,18 +108,19 @@ def _same_text_form(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, s
     return True
 
 
-def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, hot, bounds: Limits) -> DataFrame:
+def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, probe: Probe | None, bounds: Limits) -> DataFrame:
     names = [c for c, _ in on]
     right = [f"__key_{i}" for i in range(len(on))]
     renamed = keys.withColumnsRenamed({k: right[i] for i, (_, k) in enumerate(on)})
     match = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in zip(names, right, strict=True)])
-    if is_small(rows, bounds):
+    if probe.small if probe is not None else is_small(rows, bounds):
         return rows.join(renamed, match, how).drop(*right)
     measured = materialize(renamed if how == "left_outer" else renamed.distinct(), "keys")
     if measured_bytes(measured) <= bounds.broadcast_bytes:
         return rows.join(F.broadcast(measured), match, how).drop(*right)
-    if hot is None:
-        hot = hot_keys(rows, names, bounds) if _same_text_form(rows, keys, on) else []
+    hot: Sequence[int] = ()
+    if _same_text_form(rows, keys, on):
+        hot = probe.hot if probe is not None else hot_keys(rows, names, bounds)
     if not hot:
         return rows.join(measured, match, how).drop(*right)
     spread = F.when(_key_hash(names).isin(list(hot)), F.monotonically_increasing_id() % bounds.salts).otherwise(F.lit(0))
@@ -125,16 +139,16 @@ def keep_matching(
     on: Sequence[tuple[str, str]],
     *,
     absent: bool = False,
-    hot: Sequence[int] | None = None,
+    probe: Probe | None = None,
     bounds: Limits = LIMITS,
 ) -> DataFrame:
     """Rows whose key occurs in ``keys`` (or, with ``absent``, does not).
 
     ``on`` pairs a column of ``rows`` with a column of ``keys``.  A null key
-    occurs nowhere.  ``hot`` replaces the search for hot keys.
+    occurs nowhere.  ``probe`` is what is known of ``rows`` already.
     """
     key_columns = keys.select(*dict.fromkeys(k for _, k in on))
-    return _join(rows, key_columns, on, "left_anti" if absent else "left_semi", hot, bounds)
+    return _join(rows, key_columns, on, "left_anti" if absent else "left_semi", probe, bounds)
 
 
 def look_up(
@@ -142,11 +156,11 @@ def look_up(
     table: DataFrame,
     on: Sequence[tuple[str, str]],
     *,
-    hot: Sequence[int] | None = None,
+    probe: Probe | None = None,
     bounds: Limits = LIMITS,
 ) -> DataFrame:
     """All rows with the other columns of ``table``, null where there is no match.
 
     ``table`` must hold at most one row per key.
     """
-    return _join(rows, table, on, "left_outer", hot, bounds)
+    return _join(rows, table, on, "left_outer", probe, bounds)
