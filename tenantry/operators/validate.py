@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenantry.model import BusinessRule, ForeignKey, RequiredFields, RowCheck, Tables
-from tenantry.skew import keep_matching
+from tenantry.skew import distinct_keys, keep_matching
 from tenantry.state import materialize
 
 FINDING_COLUMNS = ("check", "rule", "table_name", "column_name", "ref_table", "severity", "failed", "message", "sample")
@@ -197,7 +197,7 @@ def orphans(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
     Rows are counted by key before the join, so a frequent key is one row in it.
     """
     values = child.dropna(subset=list(key.columns)).groupBy(*key.columns).agg(F.count(F.lit(1)).alias("rows"))
-    ids = parent.select(*key.keys).toDF(*[f"__k{i}" for i in range(len(key.keys))])
+    ids = distinct_keys(parent, key.keys).toDF(*[f"__k{i}" for i in range(len(key.keys))])
     match = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__k{i}") for i, c in enumerate(key.columns)])
     return values.join(ids, match, "left_anti")
 
@@ -369,13 +369,16 @@ def conflicts(first: DataFrame, second: DataFrame, key: Sequence[str], columns:
     """Keys that both stores hold, and how many disagree, per column.
 
     Each store is brought to one row per key first (smallest and largest value of
-    each column), so a repeated key cannot multiply rows.
+    each column), so a repeated key cannot multiply rows.  Texts are compared by
+    their hash, which keeps the grouping free of sorts.
     """
 
     def by_key(df: DataFrame, side: str) -> DataFrame:
         figures = []
         for c in columns:
-            figures += [F.min(c).alias(f"{side}_min_{c}"), F.max(c).alias(f"{side}_max_{c}")]
+            text = isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
+            value = F.when(F.col(c).isNotNull(), F.xxhash64(c)) if text else F.col(c)
+            figures += [F.min(value).alias(f"{side}_min_{c}"), F.max(value).alias(f"{side}_max_{c}")]
             figures += [F.count_if(F.col(c).isNull()).alias(f"{side}_null_{c}")]
         return df.groupBy(*key).agg(*figures)
 
@@ -498,8 +501,9 @@ def validate_dataset(
             parts.append(missing)
         if all(c in df.columns for c in id_column):
             parts.append(duplicate_key_finding(df, name, id_column))
-    if keys:
-        parts.append(reference_findings(tables, keys))
+    present = [key for key in keys if key.child in tables]
+    if present:
+        parts.append(reference_findings(tables, present))
     if custom is not None:
         parts += custom.run(tables)
     return union_all(parts)

@@ -135,12 +135,13 @@ def trade_edges(spark: SparkSession, folder: str, level: str) -> DataFrame:
     sellers = t("supplier").join(place, F.col("s_nationkey") == F.col("key")).select("s_suppkey", F.col("place").alias("child"))
     per_pair = (
         t("lineitem")
-        .select("l_orderkey", "l_suppkey")
+        .groupBy("l_orderkey", "l_suppkey")
+        .agg(F.count(F.lit(1)).alias("n"))
         .join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
         .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("parent", "child")
-        .agg(F.count(F.lit(1)).alias("lines"))
+        .agg(F.sum("n").alias("lines"))
     )
     average = per_pair.agg(F.sum("lines") / F.count(F.lit(1))).scalar()
     return per_pair.filter(F.col("lines") >= average).select("parent", "child")

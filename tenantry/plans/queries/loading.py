@@ -14,6 +14,7 @@ from tenantry.plans.bindings import AS_OF, KEYS, SALT, STORE_OF, property_graph,
 from tenantry.plans.default_rules import ANONYMIZATION_RULES, EMAIL_FORMAT, PHONE_FORMAT
 from tenantry.plans.queries.anonymizing import made_sql
 from tenantry.plans.queries.extraction import ALL_TABLES, NATION
+from tenantry.skew import look_up
 from tenantry.sources.graph import entries_text
 from tenantry.state import new_folder
 
@@ -84,7 +85,7 @@ def merge_policies(spark: SparkSession, folder: str) -> DataFrame:
 def choose_strategy(spark: SparkSession, folder: str) -> DataFrame:
     t = reader(spark, folder)
     nation_of = t("customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
-    orders = _orders(spark, folder).join(nation_of, F.col("o_custkey") == F.col("c_custkey"))
+    orders = look_up(_orders(spark, folder), nation_of, [("o_custkey", "c_custkey")])
     held = {
         "customer": t("customer").withColumnRenamed("c_nationkey", "nation"),
         "orders": orders.filter("day < DATE'1997-01-01'"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tenantry.operators import tenants
 from tenantry.plans.bindings import customer_metrics, reader
+from tenantry.skew import look_up
 from tenantry.sources.graph import entries_text
 
 CRITERIA = {"min_students": 8, "min_schools": 3, "min_total_records": 30, "max_total_records": 70, "min_completeness_pct": 85}
@@ -16,8 +17,9 @@ SCALE = {"size_cap": 80, "activity_cap": 4, "large_from": 55, "medium_from": 45}
 def _by_nation(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, str]]:
     t = reader(spark, folder)
     nation_of = t("customer").select(F.col("c_custkey"), F.col("c_nationkey"))
-    orders = t("orders").select("o_orderkey", "o_custkey").join(nation_of, F.col("o_custkey") == F.col("c_custkey"))
-    per_order = t("lineitem").select("l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    orders = look_up(t("orders").select("o_orderkey", "o_custkey"), nation_of, [("o_custkey", "c_custkey")])
+    nation_of_order = orders.select("o_orderkey", "c_nationkey")
+    per_order = look_up(t("lineitem").select("l_orderkey"), nation_of_order, [("l_orderkey", "o_orderkey")])
     return {
         "customer": (t("customer"), "c_nationkey"),
         "supplier": (t("supplier"), "s_nationkey"),

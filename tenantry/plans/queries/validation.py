@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tenantry.model import BusinessRule, ForeignKey, RequiredFields
 from tenantry.operators import validate
 from tenantry.plans.bindings import KEYS, reader, tables
+from tenantry.skew import look_up
 
 SHORT = ("rule", "table_name", "column_name", "severity", "failed", "message")
 
@@ -100,9 +101,8 @@ def business_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def date_order(spark: SparkSession, folder: str) -> DataFrame:
     t = reader(spark, folder)
-    dated = t("lineitem").select("l_orderkey", "l_shipdate").join(
-        t("orders").select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    ordered = t("orders").select("o_orderkey", "o_orderdate")
+    dated = look_up(t("lineitem").select("l_orderkey", "l_shipdate"), ordered, [("l_orderkey", "o_orderkey")])
     rule = BusinessRule("ship_after_order", "lineitem", "o_orderdate < l_shipdate OR l_shipdate IS NULL", "ERROR", "Ship date must be after order date")
     return _short(validate.row_findings(dated, "lineitem", validate.business_checks([rule])))
 

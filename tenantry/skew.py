@@ -44,10 +44,17 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def limits(**changes) -> Limits:
-    """The default limits with some changed."""
+    """The limits in force with some changed."""
     return replace(LIMITS, **changes)
 
 
+def set_limits(bounds: Limits) -> Limits:
+    """Put other limits in force for all operators; returns those before."""
+    global LIMITS
+    before, LIMITS = LIMITS, bounds
+    return before
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate, or None where the session does not expose it."""
     try:
@@ -56,9 +63,9 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame, bounds: Limits = LIMITS) -> bool:
+def is_small(df: DataFrame, bounds: Limits | None = None) -> bool:
     size = estimated_bytes(df)
-    return size is not None and size <= bounds.small_bytes
+    return size is not None and size <= (bounds or LIMITS).small_bytes
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -74,8 +81,9 @@ def _key_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(c).cast("string") for c in columns])
 
 
-def hot_keys(df: DataFrame, columns: Sequence[str], bounds: Limits = LIMITS) -> list[int]:
+def hot_keys(df: DataFrame, columns: Sequence[str], bounds: Limits | None = None) -> list[int]:
     """Hashes of the keys that hold about ``hot_rows`` rows or more; a bounded number of them."""
+    bounds = bounds or LIMITS
     counts = (
         df.select(_key_hash(columns).alias("h")).sample(fraction=bounds.sample_share, seed=17).groupBy("h").count()
     )
@@ -95,11 +103,20 @@ class Probe:
     hot: tuple[int, ...] = ()
 
     @classmethod
-    def of(cls, df: DataFrame, columns: Sequence[str], bounds: Limits = LIMITS) -> Probe:
+    def of(cls, df: DataFrame, columns: Sequence[str], bounds: Limits | None = None) -> Probe:
         small = is_small(df, bounds)
         return cls(small, () if small else tuple(hot_keys(df, columns, bounds)))
 
 
+def distinct_keys(df: DataFrame, columns: Sequence[str], bounds: Limits | None = None) -> DataFrame:
+    """The key columns of a table, to test for; many rows are thinned out before they are shuffled.
+
+    A join on the same columns then needs no further shuffle of them.
+    """
+    keys = df.select(*columns)
+    return keys if is_small(keys, bounds) else keys.distinct()
+
+
 def _same_text_form(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> bool:
     for a, b in on:
         x, y = left.schema[a].dataType, right.schema[b].dataType
@@ -108,13 +125,15 @@ def _same_text_form(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, s
     return True
 
 
-def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, probe: Probe | None, bounds: Limits) -> DataFrame:
+def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, probe: Probe | None, bounds: Limits | None) -> DataFrame:
+    bounds = bounds or LIMITS
     names = [c for c, _ in on]
     right = [f"__key_{i}" for i in range(len(on))]
     renamed = keys.withColumnsRenamed({k: right[i] for i, (_, k) in enumerate(on)})
     match = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in zip(names, right, strict=True)])
     if probe.small if probe is not None else is_small(rows, bounds):
-        return rows.join(renamed, match, how).drop(*right)
+        one_each = renamed if how == "left_outer" else distinct_keys(renamed, right, bounds)
+        return rows.join(one_each, match, how).drop(*right)
     measured = materialize(renamed if how == "left_outer" else renamed.distinct(), "keys")
     if measured_bytes(measured) <= bounds.broadcast_bytes:
         return rows.join(F.broadcast(measured), match, how).drop(*right)
@@ -140,7 +159,7 @@ def keep_matching(
     *,
     absent: bool = False,
     probe: Probe | None = None,
-    bounds: Limits = LIMITS,
+    bounds: Limits | None = None,
 ) -> DataFrame:
     """Rows whose key occurs in ``keys`` (or, with ``absent``, does not).
 
@@ -157,7 +176,7 @@ def look_up(
     on: Sequence[tuple[str, str]],
     *,
     probe: Probe | None = None,
-    bounds: Limits = LIMITS,
+    bounds: Limits | None = None,
 ) -> DataFrame:
     """All rows with the other columns of ``table``, null where there is no match.
 

@@ -13,6 +13,7 @@ SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     session = local_session(8, "tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", 2)
     yield session
     session.stop()
 

@@ -1,18 +1,28 @@
 """Runs registered queries against their SQL in DuckDB.
 
 ``python -m tests.oracle <folder> [query ...]`` prints one line per query.
+With TEST_LIMITS=broadcast, shuffle or salted all joins take the path that large
+tables take.
 """
 
 from __future__ import annotations
 
 import datetime
 import decimal
+import os
 import sys
 import time
 from collections import Counter
 
 import duckdb
 
+from tenantry import skew
+
+LARGE = {
+    "broadcast": skew.limits(small_bytes=0),
+    "shuffle": skew.limits(small_bytes=0, broadcast_bytes=0, hot_rows=10**12),
+    "salted": skew.limits(small_bytes=0, broadcast_bytes=0, hot_rows=20, sample_share=1.0, salts=4),
+}
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -62,6 +72,8 @@ def main(folder: str, names: list[str]) -> int:
     from tenantry.plans import queries as registered
     from tenantry.session import local_session
 
+    if os.environ.get("TEST_LIMITS"):
+        skew.set_limits(LARGE[os.environ["TEST_LIMITS"]])
     spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
