@@ -60,7 +60,8 @@ def _number(key: Column, part: int) -> Column:
 
 
 def _pick(words: Sequence[str], number: Column) -> Column:
-    return F.get(F.array(*[F.lit(w) for w in words]), (number % len(words)).cast("int"))
+    # the split of a constant is worked out once, when the query is planned
+    return F.get(F.split(F.lit(" ".join(words)), " "), (number % len(words)).cast("int"))
 
 
 def _digits(number: Column, width: int) -> Column:

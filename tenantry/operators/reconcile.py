@@ -31,10 +31,8 @@ _PARTS = ((0, 22), (22, 21), (43, 21))
 
 
 def _hash_sums(columns: Sequence[str], name: str) -> list[Column]:
-    value = F.xxhash64(*[F.col(c) for c in columns])
-    return [
-        F.sum(F.shiftrightunsigned(value, start).bitwiseAND(F.lit(2**bits - 1))).alias(f"{name}_{start}") for start, bits in _PARTS
-    ]
+    value = f"xxhash64({', '.join(f'`{c}`' for c in columns)})"
+    return [F.expr(f"sum(shiftrightunsigned({value}, {start}) & {2**bits - 1}L) AS `{name}_{start}`") for start, bits in _PARTS]
 
 
 def checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -132,14 +130,12 @@ def row_differences(source: DataFrame, target: DataFrame, key: Sequence[str]) ->
     a, b = by_key(source, "a"), by_key(target, "b")
     match = reduce(lambda x, y: x & y, [F.col(f"a_key_{c}").eqNullSafe(F.col(f"b_key_{c}")) for c in key])
 
-    def same(c: str) -> Column:
-        return reduce(lambda x, y: x & y, [F.col(f"a_{c}_{start}") == F.col(f"b_{c}_{start}") for start, _ in _PARTS])
+    def changed(c: str) -> str:
+        same = " AND ".join(f"`a_{c}_{start}` = `b_{c}_{start}`" for start, _ in _PARTS)
+        return f"CASE WHEN NOT ({same}) THEN '{c}' END"
 
-    differing = F.array_compact(
-        F.array(*[F.when(~same(c), F.lit(c)) for c in columns])
-        if columns
-        else F.array().cast("array<string>")
-    )
+    names = f"array_compact(array({', '.join(changed(c) for c in columns)}))" if columns else "array()"
+    differing = F.expr(f"CAST({names} AS ARRAY<STRING>)")
     change = (
         F.when(F.col("b_rows").isNull(), "lost")
         .when(F.col("a_rows").isNull(), "added")
@@ -147,5 +143,5 @@ def row_differences(source: DataFrame, target: DataFrame, key: Sequence[str]) ->
     )
     joined = a.join(b, match, "full_outer")
     keys = [F.coalesce(f"a_key_{c}", f"b_key_{c}").alias(c) for c in key]
-    names = F.when(change == "changed", differing).otherwise(F.array().cast("array<string>"))
-    return joined.select(*keys, change.alias("change"), names.alias("columns")).filter("change IS NOT NULL")
+    shown = F.when(change == "changed", differing).otherwise(F.array().cast("array<string>"))
+    return joined.select(*keys, change.alias("change"), shown.alias("columns")).filter("change IS NOT NULL")

@@ -26,37 +26,43 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _message(template: str, failed: Column) -> Column:
+def _text(value: object) -> str:
+    """A SQL string literal, or a null string."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _message(template: str, failed: str) -> str:
     """The message of a failed check, with the count in place of %d; null if it passed."""
-    if "%d" not in template:
-        return F.when(failed > 0, F.lit(template))
-    before, after = template.split("%d", 1)
-    return F.when(failed > 0, F.concat(F.lit(before), failed.cast("string"), F.lit(after)))
+    before, found, after = template.partition("%d")
+    shown = f"concat({_text(before)}, CAST({failed} AS STRING), {_text(after)})" if found else _text(template)
+    return f"CASE WHEN {failed} > 0 THEN {shown} END"
 
 
-def _finding(check, rule, table, column, ref_table, severity, failed, message, sample=None) -> list[Column]:
-    text = lambda v: F.lit(v).cast("string")
-    return [
-        text(check).alias("check"),
-        text(rule).alias("rule"),
-        text(table).alias("table_name"),
-        text(column).alias("column_name"),
-        text(ref_table).alias("ref_table"),
-        text(severity).alias("severity"),
-        failed.cast("bigint").alias("failed"),
-        _message(message, failed).alias("message"),
-        (F.array().cast("array<string>") if sample is None else sample).alias("sample"),
-    ]
+def _finding(check, rule, table, column, ref_table, severity, failed: str, message: str) -> dict[str, str]:
+    """The columns of a finding as SQL; ``failed`` names the column that has the count."""
+    texts = (check, rule, table, column, ref_table, severity)
+    values = [_text(v) for v in texts]
+    values += [f"CAST({failed} AS BIGINT)", _message(message, failed), "CAST(array() AS ARRAY<STRING>)"]
+    return dict(zip(FINDING_COLUMNS, values, strict=True))
+
+
+def _one(counted: DataFrame, *finding) -> DataFrame:
+    """The finding for a frame of one row with the count in ``failed``."""
+    columns = _finding(*finding[:-1], "failed", finding[-1])
+    return counted.selectExpr(*[f"{value} AS `{name}`" for name, value in columns.items()])
 
 
 def row_findings(df: DataFrame, table: str, checks: Sequence[RowCheck]) -> DataFrame:
     """One finding per check, from one aggregation over the table."""
     counts = df.agg(*[F.count_if(c.failing).alias(f"f{i}") for i, c in enumerate(checks)])
-    rows = [
-        F.struct(*_finding(c.check, c.rule, table, c.column, c.ref_table, c.severity, F.col(f"f{i}"), c.message))
-        for i, c in enumerate(checks)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+    rows = []
+    for i, c in enumerate(checks):
+        columns = _finding(c.check, c.rule, table, c.column, c.ref_table, c.severity, f"f{i}", c.message)
+        rows.append(f"named_struct({', '.join(f'{_text(name)}, {value}' for name, value in columns.items())})")
+    return counts.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 # --- row checks -----------------------------------------------------------------
@@ -139,11 +145,9 @@ def missing_fields(df: DataFrame, table: str, rules: Sequence[RequiredFields]) -
     if not rows:
         return None
     found = spark.createDataFrame(rows, "rule STRING, field STRING")
-    message = F.concat(F.lit("Required field '"), F.col("field"), F.lit("' is missing"))
-    columns = _finding("completeness", None, table, None, None, "ERROR", F.lit(1), "")
-    named = dict(zip(FINDING_COLUMNS, columns, strict=True))
-    named.update(rule=F.col("rule"), column_name=F.col("field").alias("column_name"), message=message.alias("message"))
-    return found.select(*named.values())
+    columns = _finding("completeness", None, table, None, None, "ERROR", "1", "")
+    columns.update(rule="rule", column_name="field", message="concat('Required field \\'', field, '\\' is missing')")
+    return found.selectExpr(*[f"{value} AS `{name}`" for name, value in columns.items()])
 
 
 def id_checks(df: DataFrame, column: str = "id", strict: bool = False) -> list[RowCheck]:
@@ -275,11 +279,8 @@ def cross_table_finding(
     failed = left.join(right, match).agg(F.sum(F.when(differs, F.col("__rows")).otherwise(0)).alias("failed"))
     failed = failed.select(F.coalesce("failed", F.lit(0)).alias("failed"))
     column = ",".join(a for a, _ in compare)
-    return failed.select(
-        *_finding(
-            "business_rule", rule, key.child, column, key.parent, severity, F.col("failed"), f"%d records differ from {key.parent}"
-        )
-    )
+    message = f"%d records differ from {key.parent}"
+    return _one(failed, "business_rule", rule, key.child, column, key.parent, severity, message)
 
 
 def existence_finding(parent: DataFrame, child: DataFrame, key: ForeignKey, rule: str, severity: str = "WARNING") -> DataFrame:
@@ -287,11 +288,8 @@ def existence_finding(parent: DataFrame, child: DataFrame, key: ForeignKey, rule
     used = child.select(*[F.col(c).alias(f"__{c}") for c in key.columns]).distinct()
     idle = parent.select(*key.keys).join(used, _on_child(key), "left_anti")
     failed = idle.agg(F.count(F.lit(1)).alias("failed"))
-    return failed.select(
-        *_finding(
-            "business_rule", rule, key.parent, ",".join(key.keys), key.child, severity, F.col("failed"), f"%d records without {key.child}"
-        )
-    )
+    message = f"%d records without {key.child}"
+    return _one(failed, "business_rule", rule, key.parent, ",".join(key.keys), key.child, severity, message)
 
 
 def _on_child(key: ForeignKey) -> Column:
@@ -309,29 +307,15 @@ def minimum_children_finding(
     parent: DataFrame, child: DataFrame, key: ForeignKey, minimum: int, rule: str, severity: str = "WARNING"
 ) -> DataFrame:
     failed = children_per_parent(parent, child, key).agg(F.count_if(F.col("children") < minimum).alias("failed"))
-    return failed.select(
-        *_finding(
-            "completeness",
-            rule,
-            key.parent,
-            ",".join(key.keys),
-            key.child,
-            severity,
-            F.col("failed"),
-            f"%d records with fewer than {minimum} in {key.child}",
-        )
-    )
+    message = f"%d records with fewer than {minimum} in {key.child}"
+    return _one(failed, "completeness", rule, key.parent, ",".join(key.keys), key.child, severity, message)
 
 
 def duplicate_key_finding(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     """Rows beyond the first of each key; nulls are equal to each other."""
     groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     failed = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failed"))
-    return failed.select(
-        *_finding(
-            "data_quality", "unique_ids", table, ",".join(key), None, "ERROR", F.col("failed"), "Found %d duplicate ID values"
-        )
-    )
+    return _one(failed, "data_quality", "unique_ids", table, ",".join(key), None, "ERROR", "Found %d duplicate ID values")
 
 
 # --- checks across stores -------------------------------------------------------

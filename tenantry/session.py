@@ -15,6 +15,7 @@ def local_session(cores: int | str = 8, name: str = "tenantry", memory: str = "8
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # recording call sites slows plan building
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
