@@ -70,11 +70,11 @@ def topological_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     number = 0
     while not round_of(number, True).isEmpty():
         placed = round_of(number, True)
-        hits = keep_matching(edges, placed, [("parent", "name")], probe=probe).groupBy(F.col("child").alias("name"))
-        seen = hits.agg(F.count(F.lit(1)).alias("seen"))
+        hits = keep_matching(edges, placed, [("parent", "name")], probe=probe)
+        hits = hits.select(F.col("child").alias("name"), F.lit(1).cast("bigint").alias("seen"))
         if number > 0:
-            waiting = seen.unionByName(round_of(number, False))
-            seen = waiting.groupBy("name").agg(F.sum("seen").alias("seen"))
+            hits = hits.unionByName(round_of(number, False))
+        seen = hits.groupBy("name").agg(F.sum("seen").alias("seen"))
         reached = seen.join(needed, F.col("name") == F.col("child"))
         number += 1
         write(reached.select("name", "seen", (F.col("seen") == F.col("needed")).alias("ready")), number)
