@@ -19,7 +19,17 @@ from tenantry.skew import distinct_keys, keep_matching
 from tenantry.state import materialize
 
 FINDING_COLUMNS = ("check", "rule", "table_name", "column_name", "ref_table", "severity", "failed", "message", "sample")
+
+# The texts and limits of findings.
+NULLS_TEXT = "Column has %d NULL values"
+ORPHANS_TEXT = "{failed} orphaned FK values (not in {parent})"
+RULE_TEXT = "%d records failed rule: {description}"
+FIELD_MISSING_TEXT = "Required field '{field}' is missing"
+FIELD_NULLS_TEXT = "Required field '{field}' has %d NULL values"
+DUPLICATES_TEXT = "Found %d duplicate ID values"
+NEGATIVES_TEXT = "Found %d negative ID values"
 SAMPLE_VALUES = 5
+REVIEW_ABOVE = 10
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
@@ -71,7 +81,7 @@ def row_findings(df: DataFrame, table: str, checks: Sequence[RowCheck]) -> DataF
 def null_checks(df: DataFrame) -> list[RowCheck]:
     """A warning for every column that has nulls."""
     return [
-        RowCheck("schema_validation", "null_profile", F.col(c).isNull(), "WARNING", c, "Column has %d NULL values")
+        RowCheck("schema_validation", "null_profile", F.col(c).isNull(), "WARNING", c, NULLS_TEXT)
         for c in df.columns
     ]
 
@@ -113,7 +123,7 @@ def business_checks(rules: Sequence[BusinessRule]) -> list[RowCheck]:
             rule.name,
             ~F.coalesce(F.expr(rule.condition), F.lit(False)),
             rule.severity,
-            message=f"%d records failed rule: {rule.description or rule.condition}",
+            message=RULE_TEXT.format(description=rule.description or rule.condition),
         )
         for rule in rules
     ]
@@ -134,7 +144,7 @@ def required_checks(df: DataFrame, rules: Sequence[RequiredFields]) -> list[RowC
     for rule in rules:
         for field in rule.fields:
             if field in df.columns:
-                message = f"Required field '{field}' has %d NULL values"
+                message = FIELD_NULLS_TEXT.format(field=field)
                 checks.append(RowCheck("completeness", rule.name, F.col(field).isNull(), rule.severity, field, message))
     return checks
 
@@ -144,9 +154,10 @@ def missing_fields(df: DataFrame, table: str, rules: Sequence[RequiredFields]) -
     rows = [(rule.name, field) for rule in rules for field in rule.fields if field not in df.columns]
     if not rows:
         return None
-    found = spark.createDataFrame(rows, "rule STRING, field STRING")
+    shown = [(rule, field, FIELD_MISSING_TEXT.format(field=field)) for rule, field in rows]
+    found = spark.createDataFrame(shown, "rule STRING, field STRING, message STRING")
     columns = _finding("completeness", None, table, None, None, "ERROR", "1", "")
-    columns.update(rule="rule", column_name="field", message="concat('Required field \\'', field, '\\' is missing')")
+    columns.update(rule="rule", column_name="field", message="message")
     return found.selectExpr(*[f"{value} AS `{name}`" for name, value in columns.items()])
 
 
@@ -155,7 +166,7 @@ def id_checks(df: DataFrame, column: str = "id", strict: bool = False) -> list[R
     if column not in df.columns or not isinstance(df.schema[column].dataType, T.NumericType):
         return []
     failing = F.col(column) <= 0 if strict else F.col(column) < 0
-    return [RowCheck("data_quality", "positive_ids", failing, "ERROR", column, "Found %d negative ID values")]
+    return [RowCheck("data_quality", "positive_ids", failing, "ERROR", column, NEGATIVES_TEXT)]
 
 
 def created_checks(df: DataFrame, as_of: str, column: str = "created_at", earliest: str = "2000-01-01") -> list[RowCheck]:
@@ -223,7 +234,7 @@ def reference_findings(tables: Tables, keys: Sequence[ForeignKey], count_rows: b
     """
     spark = tables[keys[0].child].sparkSession
     checked = [(i, key) for i, key in enumerate(keys) if key.parent in tables]
-    unit = "orphaned rows" if count_rows else "orphaned FK values"
+    text = ORPHANS_TEXT.replace("FK values", "rows") if count_rows else ORPHANS_TEXT
     described = [
         (
             i,
@@ -231,7 +242,7 @@ def reference_findings(tables: Tables, keys: Sequence[ForeignKey], count_rows: b
             ",".join(key.columns),
             key.parent,
             "ERROR" if key.parent in tables else "SKIPPED",
-            f" {unit} (not in {key.parent})",
+            text.format(failed="", parent=key.parent),
         )
         for i, key in enumerate(keys)
     ]
@@ -315,7 +326,7 @@ def duplicate_key_finding(df: DataFrame, table: str, key: Sequence[str]) -> Data
     """Rows beyond the first of each key; nulls are equal to each other."""
     groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     failed = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failed"))
-    return _one(failed, "data_quality", "unique_ids", table, ",".join(key), None, "ERROR", "Found %d duplicate ID values")
+    return _one(failed, "data_quality", "unique_ids", table, ",".join(key), None, "ERROR", DUPLICATES_TEXT)
 
 
 # --- checks across stores -------------------------------------------------------
@@ -417,7 +428,7 @@ def outcome(findings: DataFrame, *, fail_on_warnings: bool = False, max_warnings
     if max_warnings is not None:
         failed = failed | (warnings > max_warnings)
     status = F.when(failed, "FAILED").when(warnings > 0, "PASSED_WITH_WARNINGS").otherwise("PASSED")
-    decision = F.when(F.col("total_failed") > 0, "STOP").when(warnings > 10, "REVIEW").otherwise("CONTINUE")
+    decision = F.when(F.col("total_failed") > 0, "STOP").when(warnings > REVIEW_ABOVE, "REVIEW").otherwise("CONTINUE")
     return totals.select(
         "total_checks",
         (F.col("total_checks") - F.col("total_failed")).alias("total_passed"),
