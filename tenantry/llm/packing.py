@@ -21,12 +21,15 @@ Repeated rows are packed like any others.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,73 +40,88 @@ from tenantry.state import materialize
 
 CAPACITY = 2048
 END_ID = 0
-#: Bytes of text that are tokenized at once, and words a task remembers.
-SLICE_BYTES = 4 << 20
-REMEMBERED = 200_000
+#: Bytes of text that are tokenized at once.
+SLICE_BYTES = 8 << 20
+#: Fixed: how a byte-level vocabulary cuts text before its merges.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space at an end of the text, or two side by side.
+_SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+LOOSE_SPACE = rf"\A{_SPACE}|{_SPACE}\z|{_SPACE}{{2}}"
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long, part int, nth long"
 
 
+def byte_level_ranks(path: str) -> dict[bytes, int]:
+    """Bytes and id of each token of a byte-level vocabulary file.
+
+    Such files write a printable byte as itself and the others, in order, as characters from 256 on.
+    """
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    to_byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+    special = {t["content"] for t in content.get("added_tokens", ())}
+    return {bytes(map(to_byte.__getitem__, token)): i for token, i in content["model"]["vocab"].items() if token not in special}
+
+
 class Encoder:
-    """Token ids of many texts, with each different word encoded once.
+    """Token ids of many texts, with each different word of a batch encoded once.
 
     A byte-level vocabulary never joins what stands before a single space with
     what follows, so a text may be cut there, if no other white space is beside
-    that space.  Other texts are encoded whole.
+    that space.  Texts with other white space are encoded whole.
     """
 
     def __init__(self, path: str):
-        import re
-
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, np.ndarray] = {}
-        self.beside = re.compile(r"\s\s")
-
-    def plain(self, strings: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        ranks = byte_level_ranks(path)
+        self.encoding = tiktoken.Encoding(path, pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+        self.spaced = np.zeros(max(ranks.values()) + 1, bool)
+        self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
 
-    def words(self, strings: list[str]) -> list[np.ndarray]:
-        new = [s for s in strings if s not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = strings
-        self.known.update(zip(new, self.plain(new), strict=True))
-        return [self.known[s] for s in strings]
+    def plain(self, text: str) -> np.ndarray:
+        return np.asarray(self.encoding.encode_to_numpy(text, disallowed_special=()), np.uint32)
 
-    def batch(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def batch(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of each text."""
-        whole = [i for i, s in enumerate(values) if self.beside.search(s)]
-        marked = set(whole)
-        cut = [v.split(" ") if i not in marked else [] for i, v in enumerate(values)]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        parts = [w for words in cut for w in words]
-        if parts:
-            coded = pa.array(parts, pa.string()).dictionary_encode()
-            place, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-            starts = (np.cumsum(counts) - counts)[counts > 0]
-            place[starts] += len(names)  # the first word of a text has no space before it
-            firsts, turned = np.unique(place[starts], return_inverse=True)
-            place[starts] = len(names) + turned
-            ids = self.words([" " + w for w in names] + [names[i - len(names)] for i in firsts.tolist()])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-            begin = np.cumsum(sizes) - sizes
-            taken = sizes[place]
-            tokens = flat[np.repeat(begin[place], taken) + ramps(taken)]
-            ends = np.concatenate([[0], np.cumsum(taken)])
-            upto = np.concatenate([[0], np.cumsum(counts)])
-            lengths = ends[upto[1:]] - ends[upto[:-1]]
-        else:
-            tokens, lengths = np.empty(0, np.uint32), np.zeros(len(values), np.int64)
-        if not whole:
-            return tokens, lengths
-        each = np.split(tokens, np.cumsum(lengths)[:-1])
-        for i, got in zip(whole, self.plain([values[i] for i in whole]), strict=True):
-            each[i], lengths[i] = got, len(got)
-        return np.concatenate(each), lengths
+        loose = pc.match_substring_regex(values, LOOSE_SPACE).to_numpy(zero_copy_only=False)
+        whole = loose | (pc.binary_length(values).to_numpy(zero_copy_only=False) == 0)
+        if whole.any():
+            lengths, parts = np.zeros(len(values), np.int64), [np.empty(0, np.uint32)] * len(values)
+            tight = np.flatnonzero(~whole)
+            tokens, sizes = self.spaced_words(values.take(pa.array(tight)))
+            lengths[tight] = sizes
+            for i, own in zip(tight.tolist(), np.split(tokens, np.cumsum(sizes)[:-1]), strict=False):
+                parts[i] = own
+            for i in np.flatnonzero(whole).tolist():
+                parts[i] = self.plain(values[i].as_py())
+                lengths[i] = len(parts[i])
+            return np.concatenate([*parts, np.empty(0, np.uint32)]), lengths
+        return self.spaced_words(values)
+
+    def spaced_words(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts whose spaces stand alone between words."""
+        if not len(values):
+            return np.empty(0, np.uint32), np.zeros(0, np.int64)
+        split = pc.split_pattern(values, " ")
+        upto = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        place, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(names)], names), " ")[0].as_py()
+        flat = self.plain(" " + joined)
+        begin = np.flatnonzero(self.spaced[flat])  # each word brings its space
+        # the first word of a text has no space before it
+        starts = upto[:-1]
+        firsts, turned = np.unique(place[starts], return_inverse=True)
+        bare = [self.plain(names[i].as_py()) for i in firsts.tolist()]
+        sizes = np.concatenate([np.diff(np.append(begin, len(flat))), np.fromiter(map(len, bare), np.int64, len(bare))])
+        flat = np.concatenate([flat, *bare])
+        begin = np.cumsum(sizes) - sizes
+        place[starts] = len(names) + turned
+        taken = sizes[place]
+        tokens = flat[np.repeat(begin[place], taken) + ramps(taken)]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        return tokens, ends[upto[1:]] - ends[upto[:-1]]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -118,7 +136,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         part = TaskContext.get().partitionId()
         for batch in batches:
             for some in slices(batch, "text", SLICE_BYTES):
-                tokens, lengths = encoder.batch(some.column(1).to_pylist())
+                tokens, lengths = encoder.batch(some.column(1))
                 lengths = lengths + 1
                 ends = np.cumsum(lengths)
                 closed = np.full(int(ends[-1]), end_id, "<u4")
@@ -251,6 +269,7 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.select(*columns, "rank").mapInArrow(placed, f"{kinds}, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset: one row per piece."""
-    return place_pieces(materialize(token_pieces(docs, tokenizer, capacity, end_id), "pieces"), capacity)
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset: one row per piece; ``ids`` only on request."""
+    pieces = token_pieces(docs, tokenizer, capacity, end_id)
+    return place_pieces(materialize(pieces if with_ids else pieces.drop("ids"), "pieces"), capacity)

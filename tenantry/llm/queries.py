@@ -7,20 +7,89 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tenantry.llm import packing
+from tenantry.llm import packing, quality, url_filter
 from tenantry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op2_digest_array(spark: SparkSession, folder: str) -> DataFrame:
+    """Each page's url against the rules, and against the hosts of pages with a spam label."""
+    pages = table(spark, folder, "pages")
+    judged = url_filter.filter_urls(pages, url_filter.spam_hosts(pages))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_risk_controlled(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's counts and whether base rules and proven cutoffs keep it."""
+    judged = quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     """Each piece of each document with its place in a sequence."""
-    packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+    packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_best_two_fit,)
+    f.__name__: f for f in (op2_digest_array, op4_risk_controlled, op8_best_two_fit)
 }
 
-SQL: dict[str, str] = {}
+
+def _op2_sql() -> str:
+    cases = [
+        f"SELECT '{rule}' AS rule, '{rule.partition('/')[0]}' AS rhost, '{rule[rule.index('/'):]}' AS rpath, '{verdict}' AS rverdict" for rule, verdict in url_filter.RULES
+    ]
+    labels = "|".join(url_filter.SPAM_LABELS)
+    return f"""
+    WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+    rules AS ({" UNION ALL ".join(cases)}),
+    best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(rverdict, length(rule)) AS rverdict
+        FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id)
+    SELECT page_id, host, path, rule,
+        coalesce(rverdict, CASE WHEN regexp_matches(host, '(^|\\.)({labels})(\\.|$)') THEN 'block' ELSE 'allow' END) AS verdict
+    FROM parts LEFT JOIN best USING (page_id)"""
+
+
+def _op4_sql() -> str:
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    figures = {
+        "symbols_per_word": "n_symbols / n_words",
+        "repeat_share": "n_repeat_words / n_words",
+        "dup_lines_per_word": "n_dup_lines / n_words",
+        "chars_per_word": "word_chars / n_words",
+        "shouts_per_word": "n_shouts / n_words",
+    }
+    rate = quality.TOLERATED / len(figures)
+    grid = " UNION ALL ".join(f"SELECT '{name}' AS figure, {j} AS step, {c!r}::DOUBLE AS cutoff" for name, chain in quality.CUTOFFS.items() for j, c in enumerate(chain))
+    long = " UNION ALL ".join(f"SELECT doc_id, stratum, '{name}' AS figure, {value} AS v FROM held" for name, value in figures.items())
+    over = " OR ".join(f"coalesce({value} > (SELECT cutoff FROM used WHERE used.figure = '{name}' AND used.stratum IS NOT DISTINCT FROM m.stratum), false)" for name, value in figures.items())
+    return f"""
+    WITH t AS (SELECT doc_id, lang AS stratum, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS word, generate_subscripts(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), 1) AS i FROM t),
+    g AS (SELECT doc_id, i, a, b, c, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM (
+        SELECT doc_id, i, word AS a, lead(word, 1) OVER p AS b, lead(word, 2) OVER p AS c FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)) WHERE c IS NOT NULL),
+    r AS (SELECT doc_id, count(DISTINCT i + d) AS n_repeat_words FROM g, (SELECT unnest([0, 1, 2]) AS d) WHERE n > 1 GROUP BY doc_id),
+    s AS (SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY doc_id),
+    l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+        WHERE trim(line, {white}) <> '' GROUP BY doc_id),
+    m AS MATERIALIZED (SELECT t.doc_id, stratum, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(text, '!!')) AS n_shouts, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(n_words, 0) < {quality.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {quality.MAX_REPEAT_PERCENT} * coalesce(n_words, 0) AS base_failed
+        FROM t LEFT JOIN s USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+    held AS (SELECT * FROM m WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)),
+    one AS ({long}), grid AS ({grid}),
+    tests AS (SELECT stratum, figure, step, cutoff, count(*) AS n, count(*) FILTER (WHERE v > cutoff) AS k FROM one JOIN grid USING (figure) GROUP BY ALL),
+    chains AS (SELECT count(*) AS chains FROM (SELECT DISTINCT stratum, figure FROM one)),
+    tails AS (SELECT stratum, figure, step, cutoff, CASE WHEN k > n * {rate} THEN 1.0 ELSE
+        list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * ln(1 - {rate})))) END AS p FROM tests),
+    passing AS (SELECT *, bool_and(p <= {quality.RISK} / (SELECT chains FROM chains)) OVER (PARTITION BY stratum, figure ORDER BY step) AS proven FROM tails),
+    used AS (SELECT stratum, figure, min(cutoff) AS cutoff FROM passing WHERE proven GROUP BY ALL)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept FROM m"""
+
+
+SQL: dict[str, str] = {"op2_digest_array": _op2_sql(), "op4_risk_controlled": _op4_sql()}
