@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tenantry.llm import packing, quality, url_filter
+from tenantry.llm import html_text, packing, quality, url_filter
 from tenantry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,6 +26,11 @@ def op4_risk_controlled(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of each page."""
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     """Each piece of each document with its place in a sequence."""
     packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
@@ -33,7 +38,7 @@ def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_digest_array, op4_risk_controlled, op8_best_two_fit)
+    f.__name__: f for f in (op2_digest_array, op4_risk_controlled, op5_tree_scoring, op8_best_two_fit)
 }
 
 
