@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tenantry.llm import html_text, packing, quality, url_filter
+from tenantry.llm import html_text, packing, quality, suffix_dedup, url_filter
 from tenantry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,8 +37,14 @@ def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_two_stage_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document without the bytes of 50-byte strings that a smaller doc_id has too."""
+    left = suffix_dedup.remove_repeated_strings(table(spark, folder, "documents"), outputs=False)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_digest_array, op4_risk_controlled, op5_tree_scoring, op8_best_two_fit)
+    f.__name__: f for f in (op2_digest_array, op4_risk_controlled, op5_tree_scoring, op8_best_two_fit, op9_two_stage_suffixes)
 }
 
 
