@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenantry.llm.common import slices, texts
+from tenantry.llm.common import ramps, slices, texts
 from tenantry.state import materialize
 
 #: Text bytes of a chunk, and text bytes per shard of keys and segments.
@@ -117,6 +117,29 @@ def runs_of(keys: np.ndarray, valid: np.ndarray, doc_starts: np.ndarray) -> tupl
     return cuts[:-1][taken], cuts[1:][taken]
 
 
+def windows_of(runs: Runs, mine: np.ndarray, which: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each window of the runs ``mine``: its place, the place of its flag, and which of those runs it is in."""
+    sizes = (runs.last - runs.first)[mine]
+    inside = ramps(sizes)
+    return np.repeat(runs.first[mine], sizes) + inside, np.repeat(begins[which], sizes) + inside, np.repeat(np.arange(len(mine)), sizes)
+
+
+def covered(total: int, windows: np.ndarray, length: int) -> np.ndarray:
+    """Which of ``total`` places are inside a window."""
+    edges = np.zeros(total + 1, np.int32)
+    np.add.at(edges, windows, 1)
+    np.add.at(edges, windows + length, -1)
+    return np.cumsum(edges)[:-1] > 0
+
+
+def spans_of(gone: np.ndarray) -> list[dict[str, int]]:
+    steps = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
+    return [{"start": a, "stop": b} for a, b in zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist(), strict=True)]
+
+
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
+
 def different(keys: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different keys in order; a key is marked where ``twice`` marks one of its rows."""
     order = np.argsort(keys, kind="stable")
@@ -268,7 +291,7 @@ def judge_segments(segments: DataFrame, method: Method) -> DataFrame:
         out = []
         for number, own, places in rows:
             n = counts[places]
-            picked = np.repeat(ends[places] - n, n) + (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n))
+            picked = np.repeat(ends[places] - n, n) + ramps(n)
             flags = method.flagged(verdicts[picked], np.repeat(own, n))
             out.append((number, int(group.column("shard")[0].as_py()), np.packbits(flags).tobytes()))
         return _table("chunk shard flags", list(zip(*out, strict=True)), [pa.int64(), pa.int32(), pa.binary()])

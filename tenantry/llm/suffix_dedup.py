@@ -219,32 +219,21 @@ class ByteStrings:
         return judged < own
 
     def result(self, chunk: Chunk, runs: Runs, mine: np.ndarray, which: np.ndarray, values: np.ndarray, begins: np.ndarray, flags: np.ndarray) -> pa.RecordBatch:
-        first, last = runs.first[mine], runs.last[mine]
+        windows, place, run = repeats.windows_of(runs, mine, which, begins)
+        # a segment's flags are those of its least document here; others have it from that one
         later = chunk.ids[runs.docs[mine]] > values[which] if len(mine) else np.empty(0, bool)
-        sizes = last - first
-        place = np.repeat(begins[which], sizes) + (np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes))
-        gone = flags[place] | np.repeat(later, sizes)
-        windows = (np.repeat(first, sizes) + (np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)))[gone]
-        edges = np.zeros(len(chunk.raw) + 1, np.int32)
-        np.add.at(edges, windows, 1)
-        np.add.at(edges, windows + self.length, -1)
-        covered = np.cumsum(edges)[:-1] > 0
+        covered = repeats.covered(len(chunk.raw), windows[flags[place] | later[run]], self.length)
         rows = []
-        keep = np.frombuffer(chunk.raw, np.uint8)
+        bytes_ = np.frombuffer(chunk.raw, np.uint8)
         for doc, a, b in zip(chunk.ids.tolist(), chunk.starts.tolist(), chunk.ends.tolist(), strict=True):
-            own = covered[a:b]
-            if own.any():
-                steps = np.diff(np.concatenate([[0], own.view(np.int8), [0]]))
-                spans = list(zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist(), strict=True))
-                kept = keep[a:b][~own].tobytes()
-            else:
-                spans, kept = [], chunk.raw[a:b]
-            rows.append((doc, b - a, b - a - len(kept), len(spans), spans if self.outputs else None, kept.decode("utf-8", "replace") if self.outputs else None, hashlib.sha256(kept).hexdigest()))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        pair = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
-        spans = pa.array([None if s is None else [{"start": x, "stop": y} for x, y in s] for s in columns[4]], pa.list_(pair))
-        arrays = [pa.array(c, pa.int64()) for c in columns[:4]] + [spans] + [pa.array(c, pa.string()) for c in columns[5:]]
-        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept", "kept_sha256"])
+            gone = covered[a:b]
+            spans, kept = (repeats.spans_of(gone), bytes_[a:b][~gone].tobytes()) if gone.any() else ([], chunk.raw[a:b])
+            more = (spans, kept.decode("utf-8", "replace")) if self.outputs else (None, None)
+            rows.append((doc, b - a, b - a - len(kept), len(spans), *more, hashlib.sha256(kept).hexdigest()))
+        kinds = [pa.int64()] * 4 + [repeats.SPANS, pa.string(), pa.string()]
+        columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept", "kept_sha256"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
 def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, outputs: bool = True, **sizes: int) -> DataFrame:
