@@ -7,12 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tenantry.llm import html_text, packing, quality, suffix_dedup, url_filter
+from tenantry.llm import fm_dedup, html_text, packing, quality, suffix_dedup, toxicity, url_filter
 from tenantry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_classifier_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's probabilities of low quality and of toxicity, and whether it is toxic."""
+    scored = toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "p_low_quality", "p_toxic", "toxic")
+
+
 def op2_digest_array(spark: SparkSession, folder: str) -> DataFrame:
     """Each page's url against the rules, and against the hosts of pages with a spam label."""
     pages = table(spark, folder, "pages")
@@ -43,8 +49,16 @@ def op9_two_stage_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op10_fm_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document without the words of 35-word windows that occur twice."""
+    left = fm_dedup.remove_repeated_windows(table(spark, folder, "documents"), outputs=False)
+    return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_digest_array, op4_risk_controlled, op5_tree_scoring, op8_best_two_fit, op9_two_stage_suffixes)
+    f.__name__: f for f in (
+        op1_classifier_chain, op2_digest_array, op4_risk_controlled, op5_tree_scoring, op8_best_two_fit, op9_two_stage_suffixes, op10_fm_index
+    )
 }
 
 
