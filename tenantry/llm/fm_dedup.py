@@ -25,48 +25,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tenantry.llm import repeats
-from tenantry.llm.common import WHITE, ramps
+from tenantry.llm.common import ramps
 from tenantry.llm.repeats import Chunk, Runs
+from tenantry.llm.word_hashes import BASE, Words, mixed
 
 LENGTH = 35
 #: Words of the grams that keys are made of.
 GRAM = 10
 #: Windows of a segment that one reader goes through.
 PART = 32
-_WHITE = np.zeros(256, bool)
-_WHITE[list(WHITE.encode())] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mixed(values: np.ndarray) -> np.ndarray:
-    values = values ^ (values >> np.uint64(31))
-    values = values * np.uint64(0xBF58476D1CE4E5B9)
-    return values ^ (values >> np.uint64(32))
-
-
-class Words:
-    """Where the words of a chunk begin and end, and a hash of each."""
-
-    def __init__(self, chunk: Chunk):
-        text = np.frombuffer(chunk.raw, np.uint8)
-        dark = ~_WHITE[text]
-        edge = np.zeros(len(text) + 1, bool)
-        edge[chunk.starts] = True
-        edge[-1] = True
-        open_ = dark.copy()
-        open_[1:] &= ~dark[:-1] | edge[1:-1]
-        close = dark.copy()
-        close[:-1] &= ~dark[1:] | edge[1:-1]
-        self.starts, self.ends = np.flatnonzero(open_), np.flatnonzero(close) + 1
-        lengths = self.ends - self.starts
-        self.first = np.searchsorted(self.starts, chunk.starts)  # of each document
-        self.last = np.searchsorted(self.starts, chunk.ends)
-        if not len(lengths):
-            self.hashes = np.empty(0, np.uint64)
-            return
-        powers = np.cumprod(np.full(int(lengths.max()), _BASE))
-        values = (text[dark].astype(np.uint64) + np.uint64(1)) * powers[ramps(lengths)]
-        self.hashes = mixed(np.add.reduceat(values, np.cumsum(lengths) - lengths))
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -165,7 +132,7 @@ class WordWindows:
 
     def words(self, chunk: Chunk) -> Words:
         if not hasattr(chunk, "words"):
-            chunk.words = Words(chunk)
+            chunk.words = Words(chunk.raw, chunk.starts, chunk.ends)
         return chunk.words
 
     def windows(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -176,7 +143,7 @@ class WordWindows:
             return (np.empty(0, np.uint64),) * 2 + (np.empty(0, bool),)
         grams = np.zeros(len(hashes) - GRAM + 1, np.uint64)
         for i in range(GRAM):
-            grams = grams * _BASE + hashes[i : i + len(grams)]
+            grams = grams * BASE + hashes[i : i + len(grams)]
         grams = mixed(grams)
         keys = repeats.sliding(np.minimum, grams, self.length - GRAM + 1)
         edges = np.zeros(len(hashes) + 1, np.int32)

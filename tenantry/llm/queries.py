@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tenantry.llm import fm_dedup, html_text, packing, quality, suffix_dedup, toxicity, url_filter
+from tenantry.llm import fm_dedup, html_text, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter
 from tenantry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,6 +37,11 @@ def op5_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def op6_probminhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's near-duplicate class."""
+    return near_dedup.classes(table(spark, folder, "documents"))
+
+
 def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     """Each piece of each document with its place in a sequence."""
     packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
@@ -57,7 +62,7 @@ def op10_fm_index(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_classifier_chain, op2_digest_array, op4_risk_controlled, op5_tree_scoring, op8_best_two_fit, op9_two_stage_suffixes, op10_fm_index
+        op1_classifier_chain, op2_digest_array, op4_risk_controlled, op5_tree_scoring, op6_probminhash, op8_best_two_fit, op9_two_stage_suffixes, op10_fm_index
     )
 }
 

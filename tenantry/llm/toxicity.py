@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 from tenantry.llm.common import byte_ends, slices, texts
 
 #: Labelled documents used to fit, n-grams per model, folds.
-SAMPLE_ROWS, FEATURES, FOLDS = 12_000, 1024, 5
+SAMPLE_ROWS, FEATURES, FOLDS = 8_000, 1024, 5
 #: Bytes of the n-grams, and bits of their hashes.
 ORDERS, BITS = (4, 6), 18
 BUCKETS = len(ORDERS) << BITS
 SLICE_BYTES = 2 << 20
 #: Least number of documents of the sample that have an n-gram, and the weight of the penalty on squared weights.
-LEAST_DOCS, PENALTY = 5, 1.0
+LEAST_DOCS, PENALTY = 5, 0.1
 
 _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[:128] = [b if chr(b).isalpha() else 32 for b in range(128)]
