@@ -34,8 +34,8 @@ from tenantry.llm.common import ramps, slices, texts
 from tenantry.state import materialize
 
 #: Text bytes of a chunk, and text bytes per shard of keys and segments.
-CHUNK_BYTES = 4 << 20
-SHARD_BYTES = 2 << 20
+CHUNK_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 
 
 class Chunk:
@@ -129,7 +129,7 @@ def covered(total: int, windows: np.ndarray, length: int) -> np.ndarray:
     edges = np.zeros(total + 1, np.int32)
     np.add.at(edges, windows, 1)
     np.add.at(edges, windows + length, -1)
-    return np.cumsum(edges)[:-1] > 0
+    return np.cumsum(edges, dtype=np.int32)[:-1] > 0
 
 
 def spans_of(gone: np.ndarray) -> list[dict[str, int]]:
@@ -255,11 +255,12 @@ def chunk_segments(chunks: DataFrame, shared: DataFrame, method: Method, shards:
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
+        squeezer = zstandard.ZstdCompressor(1)
         for number, blob in zip(left.column("chunk").to_pylist(), left.column("blob").to_pylist(), strict=True):
             *_, segments, values, keys = _segments(method, Chunk(blob), _joined(right.column("keys").to_pylist()))
             for s, part in _by_shard(keys, shards):
                 own = segments[part]
-                rows.append((s, number, np.fromiter(map(len, own), np.uint32, len(own)).tobytes(), values[part].tobytes(), b"".join(own)))
+                rows.append((s, number, np.fromiter(map(len, own), np.uint32, len(own)).tobytes(), values[part].tobytes(), squeezer.compress(b"".join(own))))
         return _table("shard chunk lengths data_values data", list(zip(*rows, strict=True)) or [[]] * 5, [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
 
     pairs = chunks.select("chunk", "blob").groupBy("chunk").cogroup(shared.groupBy("chunk"))
@@ -276,6 +277,7 @@ def judge_segments(segments: DataFrame, method: Method) -> DataFrame:
         for number, lengths, own, data in zip(*(group.column(c).to_pylist() for c in ("chunk", "lengths", "data_values", "data")), strict=True):
             ends = np.cumsum(np.frombuffer(lengths, np.uint32), dtype=np.int64).tolist()
             own = np.frombuffer(own, np.int64)
+            data = zstandard.decompress(data)
             places, a = [], 0
             for b, value in zip(ends, own.tolist(), strict=True):
                 n = known.setdefault(data[a:b], len(known))

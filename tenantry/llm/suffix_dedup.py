@@ -169,7 +169,7 @@ class ByteStrings:
         edges = np.zeros(len(chunk.raw) + 1, np.int32)
         np.add.at(edges, np.maximum(chunk.starts, chunk.ends - self.length + 1), 1)
         np.add.at(edges, chunk.ends, -1)
-        return keys, np.cumsum(edges)[:count] == 0
+        return keys, np.cumsum(edges, dtype=np.int32)[:count] == 0
 
     def runs(self, chunk: Chunk) -> Runs:
         keys, valid = self.windows(chunk)
@@ -205,7 +205,7 @@ class ByteStrings:
         edges = np.zeros(len(text) + 1, np.int32)
         np.add.at(edges, starts, 1)
         np.add.at(edges, stops, -1)
-        order = two_stage_order(text, np.cumsum(edges)[:-1] > 0, self.length)
+        order = two_stage_order(text, np.cumsum(edges, dtype=np.int32)[:-1] > 0, self.length)
         owner = np.searchsorted(starts, order, side="right") - 1
         whole = order < starts[owner] + counts[owner]
         order, owner = order[whole], owner[whole]
