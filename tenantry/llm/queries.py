@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tenantry.llm import fm_dedup, html_text, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter
+from tenantry.llm import chat, decontamination, fm_dedup, html_text, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter
 from tenantry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,6 +26,11 @@ def op2_digest_array(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_block_max_wand(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document and benchmark item that it leaks, with the best passage's figures."""
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_risk_controlled(spark: SparkSession, folder: str) -> DataFrame:
     """Each document's counts and whether base rules and proven cutoffs keep it."""
     judged = quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -42,6 +47,11 @@ def op6_probminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classes(table(spark, folder, "documents"))
 
 
+def op7_role_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """The turns of each conversation after the cheapest repair, rendered."""
+    return chat.repair(table(spark, folder, "conversations"))
+
+
 def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     """Each piece of each document with its place in a sequence."""
     packed = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
@@ -62,7 +72,8 @@ def op10_fm_index(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_classifier_chain, op2_digest_array, op4_risk_controlled, op5_tree_scoring, op6_probminhash, op8_best_two_fit, op9_two_stage_suffixes, op10_fm_index
+        op1_classifier_chain, op2_digest_array, op3_block_max_wand, op4_risk_controlled, op5_tree_scoring, op6_probminhash,
+        op7_role_repair, op8_best_two_fit, op9_two_stage_suffixes, op10_fm_index
     )
 }
 
