@@ -222,6 +222,6 @@ class WordWindows:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def remove_repeated_windows(docs: DataFrame, length: int = LENGTH, outputs: bool = True, **sizes: int) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, and on request the ``spans`` of words that went and the ``kept`` text."""
-    return repeats.remove_repeats(docs, WordWindows(length, outputs), **sizes)
+def remove_repeated_windows(docs: DataFrame, length: int = LENGTH, outputs: bool = True, carry: tuple[str, ...] = (), **sizes: int) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256, on request the ``spans`` of words that went and the ``kept`` text, and the columns ``carry`` of ``docs``."""
+    return repeats.remove_repeats(docs, WordWindows(length, outputs), carry, **sizes)

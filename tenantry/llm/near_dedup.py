@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tenantry.llm.common import slices, texts
 from tenantry.llm.components import connected
@@ -279,6 +280,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows
 
 
 def keep_first(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Rows of ``docs`` of one document per class, that with the least id."""
+    """One row of ``docs`` per class, with all its columns: that of the least id, and of rows with that id the one of least text."""
     kept = classes(docs, least).filter("doc_id = class_id").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    mine = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    return mine.withColumn("row_of_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).filter("row_of_id = 1").drop("row_of_id")

@@ -43,6 +43,7 @@ class Chunk:
 
     def __init__(self, blob: bytes):
         batch = pa.ipc.open_stream(zstandard.decompress(blob)).read_next_batch()
+        self.carried = {n: batch.column(n) for n in batch.schema.names[2:]}
         self.ids = batch.column(0).to_numpy(zero_copy_only=False)
         text = batch.column(1)
         offsets = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1, 0)
@@ -53,7 +54,8 @@ class Chunk:
     @staticmethod
     def packed(batch: pa.RecordBatch) -> bytes:
         sink = pa.BufferOutputStream()
-        own = pa.RecordBatch.from_arrays([pa.array(batch.column(0).to_pylist(), pa.int64()), pa.array(batch.column(1).to_pylist(), pa.large_string())], names=["doc_id", "text"])
+        own = [pa.concat_arrays([batch.column(0).cast(pa.int64())]), pa.concat_arrays([batch.column(1).cast(pa.large_string())]), *batch.columns[2:]]
+        own = pa.RecordBatch.from_arrays(own, names=batch.schema.names)
         with pa.ipc.new_stream(sink, own.schema) as writer:
             writer.write_batch(own)
         return zstandard.ZstdCompressor(3).compress(sink.getvalue().to_pybytes())
@@ -153,7 +155,7 @@ def shards_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
 
 
-def pack_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def pack_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         waiting: list[pa.RecordBatch] = []
@@ -173,7 +175,7 @@ def pack_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         if waiting:
             yield row()
 
-    return materialize(texts(docs).mapInArrow(packed, "chunk long, bytes long, blob binary"), "chunks")
+    return materialize(texts(docs, *carry).mapInArrow(packed, "chunk long, bytes long, blob binary"), "chunks")
 
 
 def _table(names: str, columns: list, kinds: list) -> pa.Table:
@@ -301,13 +303,14 @@ def judge_segments(segments: DataFrame, method: Method) -> DataFrame:
     return segments.groupBy("shard").applyInArrow(judged, "chunk long, shard int, flags binary")
 
 
-def remove_repeats(docs: DataFrame, method: Method, chunk_bytes: int = CHUNK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row per document, as ``method.result`` makes it."""
-    chunks = pack_chunks(docs, chunk_bytes)
+def remove_repeats(docs: DataFrame, method: Method, carry: tuple[str, ...] = (), chunk_bytes: int = CHUNK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """One row per document, as ``method.result`` makes it, and the columns ``carry`` of ``docs``."""
+    chunks = pack_chunks(docs, chunk_bytes, carry)
     total = chunks.agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     shared = materialize(shared_keys(chunk_keys(chunks, method, shards)), "shared")
     flags = judge_segments(chunk_segments(chunks, shared, method, shards), method)
+    schema = ", ".join([method.schema, *(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in carry)])
     back = shared.select("chunk", "keys", F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("flags")).unionByName(
         flags.select("chunk", F.lit(None).cast("binary").alias("keys"), "shard", "flags")
     )
@@ -327,7 +330,10 @@ def remove_repeats(docs: DataFrame, method: Method, chunk_bytes: int = CHUNK_BYT
             for s, part in _by_shard(seg_keys, shards):
                 a, b = int(ends[part.start] - sizes[part.start]), int(ends[part.stop - 1])
                 flags[a:b] = np.unpackbits(np.frombuffer(bits[s], np.uint8), count=b - a)
-            out.append(method.result(chunk, runs, mine, which, values, ends - sizes, flags))
-        return pa.Table.from_batches(out)
+            made = pa.Table.from_batches([method.result(chunk, runs, mine, which, values, ends - sizes, flags)])
+            for name, column in chunk.carried.items():
+                made = made.append_column(name, column)
+            out.append(made)
+        return pa.concat_tables(out)
 
-    return chunks.select("chunk", "blob").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(finished, method.schema)
+    return chunks.select("chunk", "blob").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(finished, schema)

@@ -25,8 +25,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tenantry.llm import repeats
+from tenantry.llm.common import WHITE
 from tenantry.llm.repeats import Chunk, Runs
 
 LENGTH = 50
@@ -228,7 +230,7 @@ class ByteStrings:
         for doc, a, b in zip(chunk.ids.tolist(), chunk.starts.tolist(), chunk.ends.tolist(), strict=True):
             gone = covered[a:b]
             spans, kept = (repeats.spans_of(gone), bytes_[a:b][~gone].tobytes()) if gone.any() else ([], chunk.raw[a:b])
-            more = (spans, kept.decode("utf-8", "replace")) if self.outputs else (None, None)
+            more = (spans, kept.decode("utf-8", "ignore")) if self.outputs else (None, None)
             rows.append((doc, b - a, b - a - len(kept), len(spans), *more, hashlib.sha256(kept).hexdigest()))
         kinds = [pa.int64()] * 4 + [repeats.SPANS, pa.string(), pa.string()]
         columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
@@ -236,9 +238,21 @@ class ByteStrings:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
-def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, outputs: bool = True, **sizes: int) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and on request ``spans`` and the ``kept`` text.
+def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, outputs: bool = True, carry: tuple[str, ...] = (), **sizes: int) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, on request ``spans`` and the ``kept`` text, and the columns ``carry`` of ``docs``.
 
-    Where a removal cuts through a character, what is left of it becomes U+FFFD in ``kept``; the digest is of the bytes.
+    Where a removal cuts through a character, ``kept`` has nothing of it; the digest is of all bytes that stay.
     """
-    return repeats.remove_repeats(docs, ByteStrings(length, outputs), **sizes)
+    return repeats.remove_repeats(docs, ByteStrings(length, outputs), carry, **sizes)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
+    """``docs`` with what is left of each text, in the same columns.
+
+    ``n_chars`` becomes the number of its characters.  A document that loses text and has no word left goes.
+    """
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    left = remove_repeated_strings(docs, length, carry=others, **sizes)
+    left = left.filter((F.col("n_removed") == 0) | (F.btrim("kept", F.lit(WHITE)) != ""))
+    made = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return left.select(*[made.get(c, F.col(c)).alias(c) for c in docs.columns])

@@ -225,6 +225,10 @@ def fit_chain(values: pa.Array, labels: np.ndarray, features: int = FEATURES, fo
     return Chain(chosen[used], weights[:, used], links, intercepts, cutoffs)
 
 
+def usual_categories() -> dict[str, Column]:
+    return {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], sample_rows: int = SAMPLE_ROWS, features: int = FEATURES) -> Chain:
     """``categories``: by name, in the order of the chain, a column of ``labels`` that is true, false or null."""
     known = labels.select("doc_id", *[c.cast("int").alias(n) for n, c in categories.items()]).dropna()
@@ -267,5 +271,22 @@ def score(docs: DataFrame, chain: Chain, names: Sequence[str]) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, Column] | None = None, sample_rows: int = SAMPLE_ROWS, features: int = FEATURES) -> DataFrame:
     """Scores of a chain fitted on ``labels``: by default text of low quality first, then toxic text."""
-    categories = categories or {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    categories = categories or usual_categories()
     return score(docs, train(docs, labels, categories, sample_rows, features), list(categories))
+
+
+def without(docs: DataFrame, labels: DataFrame, category: str = "toxic", categories: dict[str, Column] | None = None, **options: int) -> DataFrame:
+    """Rows of ``docs``, with all their columns, that are not of the category; decided where they are scanned."""
+    categories = categories or usual_categories()
+    raw, at = train(docs, labels, categories, **options).dumps(), list(categories).index(category)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Chain.loads(raw)
+        for batch in batches:
+            for some in slices(batch, "text", SLICE_BYTES):
+                values = pc.fill_null(some.column(some.schema.get_field_index("text")), "")
+                p = model.probabilities(values)[:, at]
+                full = pc.binary_length(values).to_numpy(zero_copy_only=False) > 0
+                yield some.filter(pa.array(~((p >= model.cutoffs[at]) & full)))
+
+    return docs.mapInArrow(kept, docs.schema)
