@@ -155,7 +155,8 @@ class WordWindows:
         _, keys, valid = self.windows(chunk)
         words = self.words(chunk)
         first, last = repeats.runs_of(keys, valid, words.first)
-        return Runs(keys[first], np.searchsorted(words.last, first, side="right"), first, last)
+        keys = repeats.spread(keys[first])
+        return Runs(keys, np.searchsorted(words.last, first, side="right"), first, last)
 
     def keys(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         grams, keys, valid = self.windows(chunk)
@@ -165,7 +166,7 @@ class WordWindows:
         width = self.length - GRAM + 1
         around = np.zeros(len(keys) + 2 * (width - 1), np.uint64)
         around[width - 1 : width - 1 + len(keys)] = np.where(valid, keys, 0)
-        least = grams[grams == repeats.sliding(np.maximum, around, width)] & ~np.uint64(1)
+        least = repeats.spread(grams[grams == repeats.sliding(np.maximum, around, width)]) & ~np.uint64(1)
         least.sort()
         return repeats.different(least, np.append(False, least[1:] == least[:-1])[: len(least)])
 

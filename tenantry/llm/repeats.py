@@ -35,7 +35,7 @@ from tenantry.state import materialize
 
 #: Text bytes of a chunk, and text bytes per shard of keys and segments.
 CHUNK_BYTES = 2 << 20
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 2 << 20
 
 
 class Chunk:
@@ -142,6 +142,11 @@ def spans_of(gone: np.ndarray) -> list[dict[str, int]]:
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
+def spread(keys: np.ndarray) -> np.ndarray:
+    """Other numbers for the keys, one for one: the least of many hashes are small, and shards are ranges of keys."""
+    return (keys ^ keys >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def different(keys: np.ndarray, twice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different keys in order; a key is marked where ``twice`` marks one of its rows."""
     order = np.argsort(keys, kind="stable")

@@ -42,8 +42,7 @@ END = 255
 
 def words_at(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as a number that compares like them; ``text`` must go on for as long."""
-    view = np.lib.stride_tricks.as_strided(text, (len(text) - 7, 8), (1, 1))
-    return np.ascontiguousarray(view[at]).view(">u8").ravel().astype(np.uint64)
+    return np.ndarray(len(text) - 7, np.uint64, text, strides=1)[at].byteswap()
 
 
 def gram_hashes(text: np.ndarray, count: int) -> np.ndarray:
@@ -69,7 +68,7 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
 def sort_directly(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     """``places`` in the order of their suffixes' first ``depth`` bytes or a few more; ``text`` must go on for as long."""
     key = words_at(text, places)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     places, key = places[order], key[order]
     group = np.cumsum(np.append(True, key[1:] != key[:-1])) if len(key) else key
     done = 8
@@ -168,6 +167,7 @@ class ByteStrings:
         for a in range(0, count, BLOCK):
             b = min(count, a + BLOCK)
             keys[a:b] = repeats.sliding(np.minimum, gram_hashes(text[a:], b - a + width - 1), width)
+        keys = repeats.spread(keys)
         edges = np.zeros(len(chunk.raw) + 1, np.int32)
         np.add.at(edges, np.maximum(chunk.starts, chunk.ends - self.length + 1), 1)
         np.add.at(edges, chunk.ends, -1)
