@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tenantry.llm import decontamination, near_dedup, packing, suffix_dedup, toxicity
-from tenantry.llm.common import table
+from tenantry.llm.common import ship, table
 from tenantry.state import materialize
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,10 +25,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return near_dedup.keep_first(docs)
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return suffix_dedup.without_repeats(docs)
 
 
@@ -37,6 +39,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), with_ids=False)
 
 

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +19,25 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application; tasks import it by name."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors that start later fetch it too
+        with zipfile.ZipFile(f"{folder}/{package.name}-{context.applicationId}.zip", "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(archive.filename)
+        _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
