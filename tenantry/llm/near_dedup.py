@@ -45,7 +45,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
 SLICE_BYTES = 2 << 20
 #: Documents of a block that are compared at once, shingles that are held at once, rows of one call.
-BLOCK, COLUMNS, GROUPED_ROWS = 128, 8192, 2000
+BLOCK, COLUMNS, GROUPED_ROWS = 512, 4096, 2000
 
 
 class Shingles:
