@@ -190,7 +190,9 @@ def _table(names: str, columns: list, kinds: list) -> pa.Table:
 def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
     """For keys in order: each shard and its part of them."""
     of = shards_of(keys, shards)
-    heads = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.empty(0, np.int64)
+    if not len(of):
+        return
+    heads = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
     for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(of)], strict=True):
         yield int(of[a]), slice(a, b)
 
