@@ -111,12 +111,12 @@ def proven_cutoffs(measures: DataFrame, labels: DataFrame, tolerated: float = TO
     held = measures.filter(~F.col("base_failed")).join(good.select("doc_id"), "doc_id", "left_semi")
     steps = max(map(len, cutoffs.values()))
     all_figures = figures()
-    # for each figure, the number of cutoffs that keep the document: it is rejected from the next one on
-    keeping = [
-        F.struct(F.lit(name).alias("figure"), F.size(F.filter(F.array(*map(F.lit, chain)), lambda c, v=all_figures[name]: v <= c)).alias("kept_by"))
-        for name, chain in cutoffs.items()
-    ]
-    one = held.select("stratum", F.inline(F.array(*keeping)))
+
+    def keeping(name: str) -> Column:
+        """The number of cutoffs that keep the document: it is rejected from the next one on."""
+        return F.size(F.filter(F.array(*map(F.lit, cutoffs[name])), lambda c: all_figures[name] <= c))
+
+    one = held.select("stratum", F.inline(F.array(*[F.struct(F.lit(name).alias("figure"), keeping(name).alias("kept_by")) for name in cutoffs])))
     counts = one.groupBy("stratum", "figure").agg(
         F.count(F.lit(1)).alias("n"), F.array(*[F.count_if(F.col("kept_by") <= j) for j in range(steps)]).alias("rejected")
     )

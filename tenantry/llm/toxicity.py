@@ -164,7 +164,8 @@ class Chain:
         logits = np.zeros_like(out)
         for c in range(out.shape[1]):
             if not np.isnan(self.intercepts[c]):
-                z = x @ self.weights[c] + self.intercepts[c] + logits[:, :c] @ self.links[c, :c]
+                # row by row, so that equal rows get equal values
+                z = (x * self.weights[c]).sum(axis=1, dtype=np.float64) + self.intercepts[c] + (logits[:, :c] * self.links[c, :c]).sum(axis=1)
                 out[:, c] = 1 / (1 + np.exp(-z))
                 logits[:, c] = odds(out[:, c])
         return out
