@@ -8,6 +8,7 @@ joins, and its result is written to the shared folder.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tenantry.model import Tables
 from tenantry.operators.ranking import number_rows
-from tenantry.skew import Probe, keep_matching
+from tenantry.skew import Probe, comparable, keep_matching
 from tenantry.state import materialize, new_folder
 
 
@@ -104,8 +105,8 @@ def _edges_among(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return materialize(keep_matching(inner, nodes, [("child", "name")]), "inner-edges")
 
 
-def simple_cycles(nodes: DataFrame, edges: DataFrame, max_length: int) -> DataFrame:
-    """Every cycle of up to ``max_length`` edges, once, as ``members``.
+def simple_cycles(nodes: DataFrame, edges: DataFrame, max_length: int | None = None) -> DataFrame:
+    """Every cycle, once, as ``members``; with ``max_length`` only those of so many edges at most.
 
     A cycle starts at its smallest member, which also ends it.  Paths only grow
     through members above their start, so no rotation is built twice.
@@ -116,7 +117,9 @@ def simple_cycles(nodes: DataFrame, edges: DataFrame, max_length: int) -> DataFr
     found = [loops]
     paths = steps.filter("child > parent").select(F.array("parent", "child").alias("path"))
     following = steps.select(F.col("parent").alias("at"), F.col("child").alias("next"))
-    for length in range(2, max_length + 1):
+    for length in itertools.count(2):
+        if max_length is not None and length > max_length:
+            break
         grown = paths.withColumn("at", F.element_at("path", -1)).join(following, "at").drop("at")
         grown = grown.filter(F.col("next") >= F.col("path")[0])
         closed = grown.filter(F.col("next") == F.col("path")[0])
@@ -129,6 +132,8 @@ def simple_cycles(nodes: DataFrame, edges: DataFrame, max_length: int) -> DataFr
             ),
             "paths",
         )
+        if paths.isEmpty():
+            break
     result = found[0]
     for part in found[1:]:
         result = result.unionByName(part)
@@ -158,9 +163,16 @@ def break_points(cycles: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def levels_with_breaks(nodes: DataFrame, edges: DataFrame, breaks: DataFrame) -> DataFrame:
-    """Topological levels after the broken edges are taken out."""
+    """Topological levels after the broken edges are taken out.
+
+    Raises a ValueError if cycles are left, as nodes on them would have no level.
+    """
     kept = keep_matching(edges, breaks, [("parent", "break_from"), ("child", "break_to")], absent=True)
-    return topological_levels(nodes, kept)
+    levels = materialize(topological_levels(nodes, kept), "levels")
+    lost = keep_matching(nodes, levels, [("name", "name")], absent=True).count()
+    if lost:
+        raise ValueError(f"{lost} nodes are on or behind cycles that have no break point")
+    return levels
 
 
 def order_by_store(levels: DataFrame) -> DataFrame:
@@ -202,8 +214,9 @@ def infer_foreign_keys(tables: Tables, names: Iterable[str] | None = None) -> Da
             known = parent in tables and "id" in tables[parent].columns
             values = df.select(F.col(column).alias("value")).dropna().distinct()
             if known:
-                ids = tables[parent].select(F.col("id").alias("value")).distinct().withColumn("hit", F.lit(1))
-                values = values.join(ids, "value", "left")
+                ids = tables[parent].select(F.col("id").alias("id")).dropna().distinct().withColumn("hit", F.lit(1))
+                mine, theirs = comparable(df.schema[column].dataType, F.col("value"), ids.schema["id"].dataType, F.col("id"))
+                values = values.join(ids, mine == theirs, "left")
             else:
                 values = values.withColumn("hit", F.lit(None).cast("int"))
             counted = values.agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ def number_rows(
 ) -> DataFrame:
     """Add the position of each row in ``order`` (within ``per``), counted from ``start``.
 
-    ``order`` has to be unique within ``per``.  The rows are range-partitioned by
+    ``order`` has to be unique within ``per``; null is a group like any other.  The rows are range-partitioned by
     (per, order) and written once; each range then counts its own rows, and a
     running sum over the ranges gives every range its offset.
     """
@@ -31,12 +32,13 @@ def number_rows(
         ranges.groupBy("__range", *per)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
-        .drop("__rows")
+        .select(F.col("__range").alias("__of"), *[F.col(c).alias(f"__of_{c}") for c in per], "__offset")
     )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in per], F.col("__range") == F.col("__of"))
     inside = Window.partitionBy("__range", *per).orderBy(*keys)
     return (
         ranges.withColumn("__inside", F.row_number().over(inside))
-        .join(offsets, ["__range", *per])
+        .join(offsets, same)
         .withColumn(name, (F.col("__inside") + F.col("__offset") + (start - 1)).cast("bigint"))
-        .drop("__range", "__inside", "__offset")
+        .drop("__range", "__inside", "__offset", "__of", *[f"__of_{c}" for c in per])
     )

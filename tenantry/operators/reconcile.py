@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenantry.model import ForeignKey, Tables
 
@@ -30,14 +31,17 @@ def compare_counts(source: Tables, target: Tables) -> DataFrame:
 _PARTS = ((0, 22), (22, 21), (43, 21))
 
 
-def _hash_sums(columns: Sequence[str], name: str) -> list[Column]:
-    value = f"xxhash64({', '.join(f'`{c}`' for c in columns)})"
+def _hash_sums(df: DataFrame, columns: Sequence[str], name: str) -> list[Column]:
+    """Sums of row hashes.  A hash passes over nulls, so it also takes where they are; maps are hashed as ordered entries."""
+    maps = {f.name for f in df.schema if isinstance(f.dataType, T.MapType)}
+    values = [f"array_sort(map_entries(`{c}`))" if c in maps else f"`{c}`" for c in columns]
+    value = f"xxhash64({', '.join([*values, *(f'isnull(`{c}`)' for c in columns)])})"
     return [F.expr(f"sum(shiftrightunsigned({value}, {start}) & {2**bits - 1}L) AS `{name}_{start}`") for start, bits in _PARTS]
 
 
 def checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows and the sum of their unsigned 64-bit hashes, which does not depend on the order of rows."""
-    sums = df.agg(F.count(F.lit(1)).alias("rows"), *_hash_sums(columns or df.columns, "h"))
+    sums = df.agg(F.count(F.lit(1)).alias("rows"), *_hash_sums(df, columns or df.columns, "h"))
     part = lambda start: F.coalesce(f"h_{start}", F.lit(0)).cast("decimal(19,0)")
     whole = part(0) + part(22) * F.lit(2**22) + part(43) * F.lit(2**43)
     return sums.select("rows", whole.cast("decimal(38,0)").alias("checksum"))
@@ -124,7 +128,7 @@ def row_differences(source: DataFrame, target: DataFrame, key: Sequence[str]) ->
     columns = [c for c in source.columns if c not in key]
 
     def by_key(df: DataFrame, side: str) -> DataFrame:
-        sums = [total for c in columns for total in _hash_sums([c], f"{side}_{c}")]
+        sums = [total for c in columns for total in _hash_sums(df, [c], f"{side}_{c}")]
         return df.groupBy(*[F.col(c).alias(f"{side}_key_{c}") for c in key]).agg(F.count(F.lit(1)).alias(f"{side}_rows"), *sums)
 
     a, b = by_key(source, "a"), by_key(target, "b")

@@ -70,9 +70,9 @@ def first_warnings(warnings: DataFrame, per: str, order: list[str], shown: int =
     """
     place = F.row_number().over(Window.partitionBy(per).orderBy(*order))
     first = warnings.withColumn("place", place).filter(F.col("place") <= shown)
-    totals = warnings.groupBy(per).agg(F.count(F.lit(1)).alias("all"))
+    totals = warnings.groupBy(F.col(per).alias("of")).agg(F.count(F.lit(1)).alias("all"))
     more = F.greatest(F.col("all") - shown, F.lit(0)).alias("more")
-    return first.join(totals, per).select(*warnings.columns, "place", more)
+    return first.join(totals, F.col(per).eqNullSafe(F.col("of"))).select(*warnings.columns, "place", more)
 
 
 def errors(findings: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenantry.model import BusinessRule, ForeignKey, RequiredFields, RowCheck, Tables
-from tenantry.skew import distinct_keys, keep_matching
+from tenantry.skew import comparable, distinct_keys, keep_matching
 from tenantry.state import materialize
 
 FINDING_COLUMNS = ("check", "rule", "table_name", "column_name", "ref_table", "severity", "failed", "message", "sample")
@@ -209,11 +209,15 @@ def name_length_checks(df: DataFrame, lowest: int = 1, highest: int = 100) -> li
 def orphans(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
     """Distinct non-null foreign keys that the parent lacks, with the rows that hold them.
 
+    A text that refers to a number is an orphan if it is no number.
+
     Rows are counted by key before the join, so a frequent key is one row in it.
     """
     values = child.dropna(subset=list(key.columns)).groupBy(*key.columns).agg(F.count(F.lit(1)).alias("rows"))
     ids = distinct_keys(parent, key.keys).toDF(*[f"__k{i}" for i in range(len(key.keys))])
-    match = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__k{i}") for i, c in enumerate(key.columns)])
+    kinds = [(child.schema[c].dataType, parent.schema[k].dataType) for c, k in zip(key.columns, key.keys, strict=True)]
+    pairs = [comparable(x, F.col(c), y, F.col(f"__k{i}")) for i, ((x, y), c) in enumerate(zip(kinds, key.columns, strict=True))]
+    match = reduce(lambda a, b: a & b, [a == b for a, b in pairs])
     return values.join(ids, match, "left_anti")
 
 
@@ -323,9 +327,14 @@ def minimum_children_finding(
 
 
 def duplicate_key_finding(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-    """Rows beyond the first of each key; nulls are equal to each other."""
-    groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    failed = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failed"))
+    """Rows beyond the first of each key; nulls are equal to each other.
+
+    Texts are grouped by a 256-bit digest, which is all that is shuffled of them.
+    """
+    plain_text = {f.name for f in df.schema if f.dataType == T.StringType()}
+    short = [(F.sha2(c, 256) if c in plain_text else F.col(c)).alias(f"__k{i}") for i, c in enumerate(key)]
+    groups = df.groupBy(*short).agg(F.count(F.lit(1)).alias("__rows"))
+    failed = groups.agg(F.coalesce(F.sum(F.col("__rows") - 1), F.lit(0)).alias("failed"))
     return _one(failed, "data_quality", "unique_ids", table, ",".join(key), None, "ERROR", DUPLICATES_TEXT)
 
 
@@ -360,34 +369,41 @@ def missing_in(first: DataFrame, second: DataFrame, key: Sequence[str]) -> DataF
     return keep_matching(first, second, [(c, c) for c in key], absent=True)
 
 
+def _hashed(column: str, kinds: Sequence[T.DataType]) -> Column:
+    """A hash that is equal for equal values of both stores; 0 for null."""
+    value = F.col(column)
+    if all(isinstance(k, T.IntegralType) for k in kinds):
+        value = value.cast("bigint")
+    elif any(isinstance(k, T.FractionalType) for k in kinds) and not all(isinstance(k, T.DecimalType) for k in kinds):
+        value = value.cast("double") + F.lit(0.0)  # -0.0 equals 0.0
+    elif kinds[0] != kinds[1]:
+        value = value.cast("string")
+    return F.when(F.col(column).isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(value))
+
+
 def conflicts(first: DataFrame, second: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Keys that both stores hold, and how many disagree, per column.
 
-    Each store is brought to one row per key first (smallest and largest value of
-    each column), so a repeated key cannot multiply rows.  Texts are compared by
-    their hash, which keeps the grouping free of sorts.
+    The stores agree on a key if they have the same set of values for it, null
+    counted as a value.  Values are brought to one row per key, column and value
+    by a grouping that Spark starts before the shuffle, so that neither repeated
+    keys nor frequent values cost more.
     """
+    places = {c: i for i, c in enumerate(columns)}
 
-    def by_key(df: DataFrame, side: str) -> DataFrame:
-        figures = []
-        for c in columns:
-            text = isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType))
-            value = F.when(F.col(c).isNotNull(), F.xxhash64(c)) if text else F.col(c)
-            figures += [F.min(value).alias(f"{side}_min_{c}"), F.max(value).alias(f"{side}_max_{c}")]
-            figures += [F.count_if(F.col(c).isNull()).alias(f"{side}_null_{c}")]
-        return df.groupBy(*key).agg(*figures)
+    def values(df: DataFrame, side: int) -> DataFrame:
+        each = [F.struct(F.lit(i).alias("place"), _hashed(c, (first.schema[c].dataType, second.schema[c].dataType)).alias("value")) for c, i in places.items()]
+        return df.dropna(subset=list(key)).select(*key, F.lit(side == 0).alias("in_first"), F.lit(side == 1).alias("in_second"), F.inline(F.array(*each)))
 
-    joined = by_key(first, "a").join(by_key(second, "b"), list(key))
-
-    def differs(c: str) -> Column:
-        same = F.col(f"a_min_{c}").eqNullSafe(F.col(f"b_min_{c}")) & F.col(f"a_max_{c}").eqNullSafe(F.col(f"b_max_{c}"))
-        return ~(same & ((F.col(f"a_null_{c}") > 0) == (F.col(f"b_null_{c}") > 0)))
-
-    counts = joined.agg(F.count(F.lit(1)).alias("keys"), *[F.count_if(differs(c)).alias(f"d_{c}") for c in columns])
-    rows = [
-        F.struct(F.lit(c).alias("column_name"), F.col("keys"), F.col(f"d_{c}").alias("conflicts")) for c in columns
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+    both = values(first, 0).unionByName(values(second, 1))
+    per_value = both.groupBy(*key, "place", "value").agg(F.max("in_first").alias("in_first"), F.max("in_second").alias("in_second"))
+    per_key = per_value.groupBy(*key, "place").agg(
+        (F.max("in_first") & F.max("in_second")).alias("shared"), F.max(F.col("in_first") != F.col("in_second")).alias("differs")
+    )
+    counts = per_key.filter("shared").groupBy("place").agg(F.count(F.lit(1)).alias("keys"), F.count_if("differs").alias("conflicts"))
+    names = first.sparkSession.createDataFrame([(c, i) for c, i in places.items()], "column_name string, place int")
+    found = names.join(counts, "place", "left")
+    return found.select("column_name", F.coalesce("keys", F.lit(0)).cast("bigint").alias("keys"), F.coalesce("conflicts", F.lit(0)).cast("bigint").alias("conflicts"))
 
 
 def row_sample(df: DataFrame, key: Sequence[str], size: int = 1000) -> DataFrame:

@@ -69,8 +69,9 @@ def is_small(df: DataFrame, bounds: Limits | None = None) -> bool:
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of a written table, from their number and the length of their texts."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    """Size of the rows of a written table, from their number and the length of their texts; nested values count as text."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    texts = [F.col(f.name).cast("string") if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType, *nested))]
     fixed = _ROW_OVERHEAD + 8 * len(df.columns)
     length = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts], F.lit(0))
     row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(length.cast("bigint")), F.lit(0)).alias("b")).first()
@@ -117,20 +118,36 @@ def distinct_keys(df: DataFrame, columns: Sequence[str], bounds: Limits | None =
     return keys if is_small(keys, bounds) else keys.distinct()
 
 
-def _same_text_form(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> bool:
+def _texts_decide(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> bool:
+    """Whether keys are equal exactly where their texts are, so that hot keys may be told by a hash of the text."""
+
+    def plain(kind: T.DataType) -> bool:
+        return isinstance(kind, (*_INTEGRAL, T.DateType, T.BooleanType)) or kind == T.StringType()
+
     for a, b in on:
         x, y = left.schema[a].dataType, right.schema[b].dataType
-        if x != y and not (isinstance(x, _INTEGRAL) and isinstance(y, _INTEGRAL)):
+        if not plain(x) or not (x == y or (isinstance(x, _INTEGRAL) and isinstance(y, _INTEGRAL))):
             return False
     return True
 
 
+def comparable(left: T.DataType, a: Column, right: T.DataType, b: Column) -> tuple[Column, Column]:
+    """Two key columns made ready for ``=``: a text next to a number is read as one, and is null where it is none."""
+    if isinstance(left, T.StringType) and isinstance(right, T.NumericType):
+        return a.try_cast(right), b
+    if isinstance(left, T.NumericType) and isinstance(right, T.StringType):
+        return a, b.try_cast(left)
+    return a, b
+
+
 def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, probe: Probe | None, bounds: Limits | None) -> DataFrame:
     bounds = bounds or LIMITS
     names = [c for c, _ in on]
     right = [f"__key_{i}" for i in range(len(on))]
     renamed = keys.withColumnsRenamed({k: right[i] for i, (_, k) in enumerate(on)})
-    match = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in zip(names, right, strict=True)])
+    kinds = [(rows.schema[c].dataType, keys.schema[k].dataType) for c, k in on]
+    pairs = [comparable(x, F.col(c), y, F.col(k)) for (x, y), c, k in zip(kinds, names, right, strict=True)]
+    match = reduce(lambda a, b: a & b, [a == b for a, b in pairs])
     if probe.small if probe is not None else is_small(rows, bounds):
         one_each = renamed if how == "left_outer" else distinct_keys(renamed, right, bounds)
         return rows.join(one_each, match, how).drop(*right)
@@ -138,11 +155,14 @@ def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how:
     if measured_bytes(measured) <= bounds.broadcast_bytes:
         return rows.join(F.broadcast(measured), match, how).drop(*right)
     hot: Sequence[int] = ()
-    if _same_text_form(rows, keys, on):
+    if _texts_decide(rows, keys, on):
         hot = probe.hot if probe is not None else hot_keys(rows, names, bounds)
     if not hot:
         return rows.join(measured, match, how).drop(*right)
-    spread = F.when(_key_hash(names).isin(list(hot)), F.monotonically_increasing_id() % bounds.salts).otherwise(F.lit(0))
+    # a hash of the row is the same if a task is run again
+    hashed = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(bounds.salts))
+    spread = F.when(_key_hash(names).isin(list(hot)), salt).otherwise(F.lit(0))
     repeats = F.when(_key_hash(right).isin(list(hot)), F.sequence(F.lit(0), F.lit(bounds.salts - 1))).otherwise(
         F.array(F.lit(0))
     )
