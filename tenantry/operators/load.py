@@ -27,11 +27,13 @@ class KeyConflict(ValueError):
 
 
 def conflicting_keys(target: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keys of new rows that the target has already, or that occur twice among the new rows."""
-    counts = new.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"))
-    taken = target.select(*key).distinct().withColumn("taken", F.lit(True))
-    joined = counts.join(taken, list(key), "left")
-    return joined.filter((F.col("rows") > 1) | F.col("taken").isNotNull()).select(*key)
+    """Keys of new rows that the target has already, or that occur twice among the new rows.
+
+    Only the new keys are moved, unless they are too many to be sent to the target's rows.
+    """
+    repeated = new.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1").select(*key)
+    taken = keep_matching(target.select(*key), new.select(*key), [(c, c) for c in key])
+    return repeated.unionByName(taken).distinct()
 
 
 def insert(target: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -79,7 +81,8 @@ def merge(
     policies = policies or {}
     fresh = latest_rows(new, key, order)
     columns = [c for c in target.columns if c not in key]
-    old = target.select(*key, F.struct(F.lit(True), *columns).alias("old"))
+    pairs = [(c, c) for c in key]  # rows that no new row touches never meet the others
+    old = keep_matching(target, new, pairs).select(*key, F.struct(F.lit(True), *columns).alias("old"))
     add = fresh.select(*key, F.struct(F.lit(True), *columns).alias("new"))
 
     def value(c: str) -> Column:
@@ -92,7 +95,8 @@ def merge(
         return F.when(F.col("new").isNull(), before).otherwise(chosen).alias(c)
 
     joined = old.join(add, list(key), "full_outer")
-    return joined.select(*[F.col(c) if c in key else value(c) for c in target.columns])
+    merged = joined.select(*[F.col(c) if c in key else value(c) for c in target.columns])
+    return keep_matching(target, new, pairs, absent=True).unionByName(merged)
 
 
 def choose_strategy(existing: Column, new: Column) -> Column:
@@ -170,6 +174,18 @@ def without_tenant(
     A row goes with any parent that goes.  Rows without a tenant stay.  Shared
     tables, which belong to no tenant, stay whole.  Doing it again changes nothing.
     """
+    return _parted(tables, keys, where, tenant_columns=tenant_columns, broken=broken)[0]
+
+
+def _parted(
+    tables: Tables,
+    keys: Sequence[ForeignKey],
+    where: Mapping[str, object],
+    *,
+    tenant_columns: Mapping[str, Mapping[str, object]] | None = None,
+    broken: Sequence[ForeignKey] = (),
+) -> tuple[Tables, Tables]:
+    """What stays of each table, and what goes of those that lose rows."""
     own = dict(tenant_columns or {})
     kept: Tables = {}
     doomed: Tables = {}
@@ -184,10 +200,10 @@ def without_tenant(
         above = [k for k in keys if k not in broken and k.child == name and k.parent in doomed]
         kept[name] = df
         for key in above:
-            kept[name] = keep_matching(kept[name], doomed[key.parent], key.pairs, absent=True)
-            part = keep_matching(df, doomed[key.parent], key.pairs)
+            part = keep_matching(kept[name], doomed[key.parent], key.pairs)
             doomed[name] = doomed[name].unionByName(part) if name in doomed else part
-    return {name: kept[name] for name in tables}
+            kept[name] = keep_matching(kept[name], doomed[key.parent], key.pairs, absent=True)
+    return {name: kept[name] for name in tables}, doomed
 
 
 def residual(tables: Tables, keys: Sequence[ForeignKey], where: Mapping[str, object], **options) -> DataFrame:
@@ -315,10 +331,28 @@ def reload_tenant(
 ) -> int:
     """Replace the tenant's rows by new ones in a single version.
 
-    Rows of shared tables that are there already stay as they are.
+    Rows of shared tables that are there already stay as they are.  So do rows that
+    belong to another tenant as well, as long as all that they refer to is there.
     """
     current = target.read()
-    kept = without_tenant(current, keys, where, **options)
+    kept, doomed = _parted(current, keys, where, **options)
+    theirs = extract_dataset(current, keys, where, **options)
+    broken = options.get("broken", ())
+    for name in table_order(list(current), keys, broken):
+        above = [k for k in keys if k not in broken and k.child == name and k.parent in current]
+        if name not in doomed or len(above) < 2:
+            continue
+        key = [(c, c) for c in primary_keys.get(name, ("id",))]
+        foreign = keep_matching(doomed[name], theirs[name], key, absent=True) if name in theirs else doomed[name]
+        if name in new:
+            foreign = keep_matching(foreign, new[name], key, absent=True)
+        for k in above:
+            parents = kept[k.parent].select(*k.keys)
+            if k.parent in new:
+                parents = parents.unionByName(new[k.parent].select(*k.keys))
+            lost = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in k.columns])
+            foreign = keep_matching(foreign, parents, k.pairs).unionByName(foreign.filter(lost))
+        kept[name] = kept[name].unionByName(foreign)
     result: Tables = {}
     for name, df in new.items():
         key = list(primary_keys.get(name, ("id",)))
