@@ -165,8 +165,8 @@ class Chain:
         for c in range(out.shape[1]):
             if not np.isnan(self.intercepts[c]):
                 # row by row, so that equal rows get equal values
-                z = (x * self.weights[c]).sum(axis=1, dtype=np.float64) + self.intercepts[c] + (logits[:, :c] * self.links[c, :c]).sum(axis=1)
-                out[:, c] = 1 / (1 + np.exp(-z))
+                z = (x * self.weights[c].astype(np.float64)).sum(axis=1) + self.intercepts[c] + (logits[:, :c] * self.links[c, :c]).sum(axis=1)
+                out[:, c] = np.round(1 / (1 + np.exp(-z)), 6)
                 logits[:, c] = odds(out[:, c])
         return out
 
