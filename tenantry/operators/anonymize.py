@@ -22,7 +22,6 @@ from tenantry.operators.ranking import number_rows
 from tenantry.skew import look_up
 
 Rules = Sequence[AnonymizationRule]
-MAPPED = ("surrogate", "tokenize")  # strategies whose results belong in a consistency map
 
 # What counts as personal data inside a text.
 PII_PATTERNS = {

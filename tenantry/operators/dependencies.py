@@ -54,7 +54,7 @@ def topological_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """
     spark = nodes.sparkSession
     folder = new_folder(spark, "levels")
-    edges = edges.select("parent", "child")
+    edges = materialize(edges.select("parent", "child"), "relations")  # every level reads them
     probe = Probe.of(edges, ["parent"])
     needed = materialize(edges.groupBy("child").agg(F.count(F.lit(1)).alias("needed")), "needed")
     schema = f"name {nodes.schema['name'].dataType.simpleString()}, seen BIGINT"

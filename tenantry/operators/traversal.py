@@ -19,15 +19,17 @@ def _both_ends(edges: DataFrame) -> tuple[Probe, Probe]:
 def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
     """``(node_id, dist)`` of every node within ``max_depth`` steps of a root.
 
-    Breadth first: each round joins the frontier with two columns of the edges,
-    drops nodes already reached, and stops when nothing new turns up.  Only the
-    nodes found are written and shuffled, never the edges as a whole, as long as
-    the frontier fits a broadcast.
+    The steps are written once, both ways, so that a round reads two columns and
+    nothing the edges were made from.  Breadth first: each round joins the
+    frontier with the steps, drops nodes already reached, and stops when nothing
+    new turns up.  Only the nodes found are shuffled, as long as the frontier
+    fits a broadcast.
     """
     spark = edges.sparkSession
     folder = new_folder(spark, "reached")
-    links = edges.select("start_id", "end_id")
-    by_start, by_end = _both_ends(links)
+    ends = F.array(F.struct(F.col("start_id").alias("at"), F.col("end_id").alias("next")), F.struct(F.col("end_id").alias("at"), F.col("start_id").alias("next")))
+    steps = materialize(edges.select(F.inline(ends)), "steps")
+    probe = Probe.of(steps, ["at"])
 
     def frontier(depth: int) -> DataFrame:
         return spark.read.schema("node_id BIGINT").parquet(f"{folder}/dist={depth}")
@@ -40,9 +42,8 @@ def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
         last = frontier(depth - 1)
         if last.isEmpty():
             break
-        forth = keep_matching(links, last, [("start_id", "node_id")], probe=by_start).select(F.col("end_id").alias("node_id"))
-        back = keep_matching(links, last, [("end_id", "node_id")], probe=by_end).select(F.col("start_id").alias("node_id"))
-        found = forth.union(back).distinct().join(reached().select("node_id"), "node_id", "left_anti")
+        beyond = keep_matching(steps, last, [("at", "node_id")], probe=probe).select(F.col("next").alias("node_id"))
+        found = beyond.distinct().join(reached().select("node_id"), "node_id", "left_anti")
         found.write.parquet(f"{folder}/dist={depth}")
     return reached()
 

@@ -90,11 +90,3 @@ COMPLETENESS_RULES = (
     ),
     RequiredFields("school_required_fields", "ids_schools", ("id", "district_id", "name", "state"), "ERROR"),
 )
-
-# Thresholds of the remaining checks.
-MINIMUM_STUDENTS_PER_SCHOOL = 10
-STUDENT_COUNT_TOLERANCE = 0.05
-EARLIEST_CREATED = "2000-01-01"
-NAME_LENGTH = (1, 100)
-MAX_WARNINGS = 10
-SAMPLE_SIZE = 1000
