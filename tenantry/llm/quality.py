@@ -33,7 +33,7 @@ from tenantry.llm.common import WHITE, words_of
 from tenantry.state import materialize
 
 #: Tolerated share of good documents rejected per stratum, and the probability that any stratum exceeds it.
-TOLERATED, RISK = 0.05, 0.1
+TOLERATED, RISK = 0.02, 0.1
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: By figure: cutoffs from loosest to strictest.
 CUTOFFS = {
