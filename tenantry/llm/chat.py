@@ -33,8 +33,8 @@ ROLES = ("system", "user", "assistant")
 #: States are what the last turn is: nothing yet, or a role.
 START, SYSTEM, USER, ASSISTANT = range(4)
 RELABEL, MERGE, INSERT = 2.0, 1.0, 3.0
-#: Turn numbers of one piece.
-PIECE = 1024
+#: Turn numbers of one piece, and turns of one call.
+PIECE, TOGETHER = 1024, 5000
 #: From each state: the states that may come next.
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 #: A rendered turn begins and ends like this.
@@ -152,46 +152,70 @@ def _pieces(conversations: DataFrame, piece: int) -> DataFrame:
     )
 
 
-ORDER = [("turn", "ascending"), ("role", "ascending"), ("text", "ascending")]
+ORDER = [(c, "ascending") for c in ("conv_id", "piece", "turn", "role", "text")]
 
 
-def repair(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
+def _cuts(*columns: pa.ChunkedArray) -> list[tuple[int, int]]:
+    """Begin and end of each stretch of rows with the same values; the rows are in order."""
+    n = len(columns[0])
+    change = np.ones(n, bool)
+    if n:
+        parts = [c.combine_chunks().fill_null(-(1 << 63)).to_numpy(zero_copy_only=False) for c in columns]
+        change[1:] = np.logical_or.reduce([p[1:] != p[:-1] for p in parts])
+    heads = np.flatnonzero(change).tolist()
+    return list(zip(heads, [*heads[1:], n], strict=True)) if n else []
+
+
+def repair(conversations: DataFrame, piece: int = PIECE, together: int = TOGETHER) -> DataFrame:
     """conv_id, position, turn (null if inserted), action, role, rendered: concatenated by position, a conversation's
     ``rendered`` are its text.  ``position`` is a piece number and a place in it, so that it only orders."""
-    turns = _pieces(conversations, piece)
+    calls = max(1, conversations.count() // together)  # a call gets many pieces, as one alone is not worth it
+    turns = _pieces(conversations, piece).withColumn("call", F.pmod(F.xxhash64("conv_id", "piece"), F.lit(calls)))
 
     def measured(group: pa.Table) -> pa.Table:
         group = group.sort_by(ORDER)
-        matrix = piece_matrix(group.column("given").to_pylist()).ravel().tolist()
-        return pa.table({"conv_id": group.column("conv_id").slice(0, 1), "piece": group.column("piece").slice(0, 1), "matrix": pa.array([matrix], pa.list_(pa.float64()))})
+        given = group.column("given").to_pylist()
+        cuts = _cuts(group.column("conv_id"), group.column("piece"))
+        matrices = [piece_matrix(given[a:b]).ravel().tolist() for a, b in cuts]
+        first = group.take(pa.array([a for a, _ in cuts], pa.int64()))
+        return pa.table({"conv_id": first.column("conv_id"), "piece": first.column("piece"), "matrix": pa.array(matrices, pa.list_(pa.float64()))})
 
-    keys = turns.select("conv_id", "piece", "turn", "given", "role", F.lit("").alias("text"))
-    matrices = materialize(keys.groupBy("conv_id", "piece").applyInArrow(measured, "conv_id long, piece long, matrix array<double>"), "matrices")
+    keys = turns.withColumn("text", F.lit(""))
+    matrices = materialize(keys.groupBy("call").applyInArrow(measured, "conv_id long, piece long, matrix array<double>"), "matrices")
 
     def chained(group: pa.Table) -> pa.Table:
-        group = group.sort_by("piece")
-        found = borders(np.asarray(group.column("matrix").to_pylist()).reshape(-1, 4, 4))
-        n = group.num_rows
+        group = group.sort_by([("conv_id", "ascending"), ("piece", "ascending")])
+        rows = group.column("matrix").to_pylist()
+        before, after, final, rank = [], [], [], []
+        for a, b in _cuts(group.column("conv_id")):
+            found = borders(np.asarray(rows[a:b]).reshape(-1, 4, 4))
+            before += found[:-1]
+            after += found[1:]
+            final += [i == b - 1 for i in range(a, b)]
+            rank += range(b - a)
         return pa.table({
-            "conv_id": group.column("conv_id"), "piece": group.column("piece"), "before": pa.array(found[:-1], pa.int32()),
-            "after": pa.array(found[1:], pa.int32()), "final": pa.array([i == n - 1 for i in range(n)]), "rank": pa.array(range(n), pa.int64()),
+            "conv_id": group.column("conv_id"), "piece": group.column("piece"), "before": pa.array(before, pa.int32()),
+            "after": pa.array(after, pa.int32()), "final": pa.array(final, pa.bool_()), "rank": pa.array(rank, pa.int64()),
         })
 
-    states = matrices.groupBy("conv_id").applyInArrow(chained, "conv_id long, piece long, before int, after int, final boolean, rank long")
+    by_conversation = matrices.groupBy(F.pmod(F.xxhash64("conv_id"), F.lit(calls)).alias("call"))
+    states = by_conversation.applyInArrow(chained, "conv_id long, piece long, before int, after int, final boolean, rank long")
+    states = states.withColumn("call", F.pmod(F.xxhash64("conv_id", "piece"), F.lit(calls)))
 
     def rendered(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by(ORDER)
-        state = right.to_pylist()[0]
-        rows = repaired_turns(left.column("given").to_pylist(), left.column("text").to_pylist(), state["before"], state["after"], state["final"])
-        number, conv = left.column("turn").to_pylist(), left.column("conv_id")[0].as_py()
-        return pa.table({
-            "conv_id": pa.array([conv] * len(rows), pa.int64()),
-            "position": pa.array([(state["rank"] << 32) + i for i in range(len(rows))], pa.int64()),
-            "turn": pa.array([None if at is None else number[at] for at, *_ in rows], pa.int64()),
-            "action": pa.array([a for _, a, *_ in rows], pa.string()),
-            "role": pa.array([ROLES[r - 1] for _, _, r, _ in rows], pa.string()),
-            "rendered": pa.array([t for *_, t in rows], pa.string()),
-        })
-
-    pairs = turns.groupBy("conv_id", "piece").cogroup(states.groupBy("conv_id", "piece"))
+        known = {(r["conv_id"], r["piece"]): r for r in right.to_pylist()}
+        given, texts, number = (left.column(c).to_pylist() for c in ("given", "text", "turn"))
+        convs, pieces = left.column("conv_id").to_pylist(), left.column("piece").to_pylist()
+        out: list[tuple] = []
+        for a, b in _cuts(left.column("conv_id"), left.column("piece")):
+            state = known[convs[a], pieces[a]]
+            rows = repaired_turns(given[a:b], texts[a:b], state["before"], state["after"], state["final"])
+            base = state["rank"] << 32
+            out += [(convs[a], base + i, None if at is None else number[a + at], action, ROLES[role - 1], text) for i, (at, action, role, text) in enumerate(rows)]
+        kinds = {"conv_id": pa.int64(), "position": pa.int64(), "turn": pa.int64(), "action": pa.string(), "role": pa.string(), "rendered": pa.string()}
+        columns = list(zip(*out, strict=True)) or [[]] * len(kinds)
+        return pa.table({n: pa.array(c, k) for (n, k), c in zip(kinds.items(), columns, strict=True)})
+
+    pairs = turns.groupBy("call").cogroup(states.groupBy("call"))
     return pairs.applyInArrow(rendered, "conv_id long, position long, turn long, action string, role string, rendered string")
