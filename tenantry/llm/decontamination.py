@@ -17,6 +17,13 @@ A retrieved item counts if the passage has enough of its question's and of its
 answer's word trigrams.  The last sentence of an item is its answer, what stands
 before it the question; an item of one sentence is all question.
 
+What may count need not reach half of the item's score, as a long answer can weigh
+more than the question.  Each item's question is therefore an entry of its own in
+a second index, by its trigrams with equal impacts, and the same walk retrieves
+what has half of them, which everything that counts has.  A question of under
+three words is entered by its answer's trigrams.  A question of fewer than
+``min_words`` words says too little alone: it needs its answer, or the item's score.
+
 Documents are read whole where they are scanned; only hits are shuffled.  The
 index goes to every task, so the items' size is checked.  Null items and those of
 fewer than ``min_words`` words are not searched for.  Null or empty documents
@@ -28,6 +35,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -77,27 +85,11 @@ def trigrams(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
-class Index:
+class Postings:
     """Posting lists over numbered items, with the greatest impact of each term per block and overall."""
 
-    def __init__(self, items: list[tuple[int, str]], min_words: int = MIN_WORDS, block: int = BLOCK):
-        split = [(i, text, words_of(text)) for i, text in sorted(items)]
-        split = [(i, text, words) for i, text, words in split if len(words) >= min_words]
-        self.ids = [i for i, _, _ in split]
-        self.parts = [tuple(trigrams(words_of(p)) for p in question_and_answer(text)) for _, text, _ in split]
-        self.block = block
-        self.cell = max([LEAST_CELL, *(len(words) for _, _, words in split)])
-        counts = [Counter(words) for _, _, words in split]
-        lengths = [len(words) for _, _, words in split]
-        mean = sum(lengths) / max(1, len(lengths))
-        df = Counter(t for c in counts for t in c)
-        idf = {t: math.log(1 + (len(split) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
-        postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
-        for item, (count, length) in enumerate(zip(counts, lengths, strict=True)):
-            own = {t: idf[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * length / mean)) for t, n in count.items()}
-            whole = sum(own.values())
-            for t, impact in own.items():
-                postings[t].append((item, impact / whole))
+    def __init__(self, postings: dict, count: int, block: int, cell: int):
+        self.count, self.block, self.cell = count, block, cell
         self.terms = sorted(postings)
         self.items = [[i for i, _ in postings[t]] for t in self.terms]
         self.impacts = [[w for _, w in postings[t]] for t in self.terms]
@@ -108,7 +100,7 @@ class Index:
             for i, w in zip(where, what, strict=True):
                 tops[i // block] = max(w, tops.get(i // block, 0.0))
             self.in_block.append(tops)
-        self.blocks = -(-len(split) // block)
+        self.blocks = -(-count // block)
         # terms of few blocks are listed, those of many are rows of a matrix
         many = [len(tops) > max(4, self.blocks // 8) for tops in self.in_block]
         self.column = np.where(many, np.cumsum(many) - 1, -1)
@@ -123,13 +115,77 @@ class Index:
         self.block_of = np.asarray([b for x in listed for b, _ in x], np.int64)
         self.block_top = np.asarray([w for x in listed for _, w in x], np.float64)
 
+    def score(self, item: int, terms: list[int]) -> float:
+        """Sum of an item's impacts for the terms."""
+        total = 0.0
+        for t in terms:
+            at = bisect_left(self.items[t], item)
+            if at < len(self.items[t]) and self.items[t][at] == item:
+                total += self.impacts[t][at]
+        return total
+
 
-def block_max_wand(index: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
+class Index(Postings):
+    """The items by their words, and their questions by their trigrams."""
+
+    def __init__(self, items: list[tuple[int, str]], min_words: int = MIN_WORDS, block: int = BLOCK):
+        split = [(i, text, words_of(text)) for i, text in sorted(items)]
+        split = [(i, text, words) for i, text, words in split if len(words) >= min_words]
+        self.ids = [i for i, _, _ in split]
+        halves = [tuple(map(words_of, question_and_answer(text))) for _, text, _ in split]
+        self.parts = [tuple(map(trigrams, own)) for own in halves]
+        self.brief = [len(question) < min_words for question, _ in halves]
+        counts = [Counter(words) for _, _, words in split]
+        lengths = [len(words) for _, _, words in split]
+        mean = sum(lengths) / max(1, len(lengths))
+        df = Counter(t for c in counts for t in c)
+        idf = {t: math.log(1 + (len(split) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        postings: dict[str, list[tuple[int, float]]] = defaultdict(list)
+        for item, (count, length) in enumerate(zip(counts, lengths, strict=True)):
+            own = {t: idf[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * length / mean)) for t, n in count.items()}
+            whole = sum(own.values())
+            for t, impact in own.items():
+                postings[t].append((item, impact / whole))
+        super().__init__(postings, len(split), block, max([LEAST_CELL, *lengths]))
+        # a trigram's number comes from its first two words' number and its last word's
+        number = {t: n for n, t in enumerate(self.terms)}
+        entries = [p[0] if len(own[0]) > 2 else p[1] for p, own in zip(self.parts, halves, strict=True)]
+        entries = [[[number[w] for w in gram] for gram in part if len(gram) == 3] for part in entries]
+        self.pairs = np.unique(np.asarray([a * len(number) + b for part in entries for a, b, _ in part], np.int64))
+        pair = {code: n for n, code in enumerate(self.pairs.tolist())}
+        by_gram: dict[int, list[tuple[int, float]]] = defaultdict(list)
+        for item, part in enumerate(entries):
+            for a, b, c in part:
+                by_gram[pair[a * len(number) + b] * len(number) + c].append((item, 1 / len(part)))
+        self.grams = Postings(by_gram, len(split), block, self.cell)
+        self.triples = np.asarray(self.grams.terms, np.int64)
+
+    def gram_numbers(self, numbers: np.ndarray, upto: np.ndarray) -> np.ndarray:
+        """For each word the number of the trigram that begins with it, or -1."""
+        found = np.full(len(numbers), -1, np.int64)
+        inside = numbers >= 0
+        ends = upto[1:]
+        for back in (1, 2):  # nothing goes over the end of a text
+            inside[ends[ends >= back] - back] = False
+        at = np.flatnonzero(inside)
+        for further, codes in ((1, self.pairs), (2, self.triples)):
+            at = at[numbers[at + further] >= 0]
+            code = (numbers if further == 1 else found)[at] * len(self.terms) + numbers[at + further]
+            place = np.searchsorted(codes, code)
+            hit = place < len(codes)
+            hit[hit] = codes[place[hit]] == code[hit]
+            at = at[hit]
+            found[:] = -1
+            found[at] = place[hit]
+        return found
+
+
+def block_max_wand(index: Postings, terms: list[int], threshold: float) -> list[tuple[int, float]]:
     """All items whose impacts for the terms sum to the threshold or more."""
     lists = [(index.items[t], index.impacts[t], float(index.greatest[t]), index.in_block[t]) for t in terms]
     at = [0] * len(lists)
     found = []
-    end = len(index.ids)
+    end = index.count
 
     def current(k: int) -> int:
         return lists[k][0][at[k]] if at[k] < len(lists[k][0]) else end
@@ -173,7 +229,7 @@ def block_max_wand(index: Index, terms: list[int], threshold: float) -> list[tup
                 forward(k, item)
 
 
-def passages_to_search(index: Index, numbers: np.ndarray, upto: np.ndarray, threshold: float) -> np.ndarray:
+def passages_to_search(index: Postings, numbers: np.ndarray, upto: np.ndarray, threshold: float) -> np.ndarray:
     """Rows (text, first cell) of passages that may reach the threshold in some block.
 
     ``numbers`` are the terms of all words, -1 for others, ``upto`` where each text's words begin and end.
@@ -195,6 +251,8 @@ def passages_to_search(index: Index, numbers: np.ndarray, upto: np.ndarray, thre
     passage, term = keys // len(index.terms), keys % len(index.terms)
     taken = starts[passage]
     passage, term = passage[taken], term[taken]
+    present, passage = np.unique(passage, return_inverse=True)  # those without any term reach nothing
+    total = len(present)
     wide = index.column[term] >= 0
     found = []
     step = max(1, CELLS_AT_ONCE // max(1, index.blocks))
@@ -210,7 +268,7 @@ def passages_to_search(index: Index, numbers: np.ndarray, upto: np.ndarray, thre
         place = np.repeat(own, many) * index.blocks + index.block_of[entry]
         bounds = np.bincount(place, weights=index.block_top[entry], minlength=rows * index.blocks).reshape(rows, index.blocks)
         found.append(at + np.flatnonzero((bounds + has @ index.wide_tops).max(axis=1) >= threshold - 1e-5))
-    taken = np.concatenate(found) if found else np.empty(0, np.int64)
+    taken = present[np.concatenate(found)] if found else np.empty(0, np.int64)
     return np.stack([text[taken], taken - first[text[taken]]], axis=1)
 
 
@@ -224,26 +282,65 @@ def shares(index: Index, item: int, seen: set[tuple[str, ...]], words: list[str]
     return out[0], out[1]
 
 
-def hits_in(index: Index, terms: pa.Array, values: pa.Array, threshold: float) -> list[tuple[int, int, int, float, float, float]]:
-    """(row, item_id, start, score, question_share, answer_share) of every passage and item it retrieves."""
+def numbered(terms: pa.Array, values: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All words, where each text's words begin and end, and the words' term numbers."""
     lists = word_lists(pc.fill_null(values, ""))
     upto = lists.offsets.to_numpy().astype(np.int64)
-    upto = upto - upto[0]
     flat = lists.flatten()
-    numbers = pc.fill_null(pc.index_in(flat, terms), -1).to_numpy().astype(np.int64)
-    found = []
-    for row, cell in passages_to_search(index, numbers, upto, threshold).tolist() if index.ids else ():
-        a = int(upto[row]) + cell * index.cell
-        b = min(int(upto[row + 1]), a + 2 * index.cell)
+    return flat, upto - upto[0], pc.fill_null(pc.index_in(flat, terms), -1).to_numpy().astype(np.int64)
+
+
+def span(index: Postings, upto: np.ndarray, row: int, cell: int) -> tuple[int, int]:
+    """The words of a passage."""
+    a = int(upto[row]) + cell * index.cell
+    return a, min(int(upto[row + 1]), a + 2 * index.cell)
+
+
+def retrieved(index: Postings, numbers: np.ndarray, upto: np.ndarray, threshold: float) -> dict[tuple[int, int], dict[int, float]]:
+    """By row and cell of a passage, the items it retrieves and their scores."""
+    found = {}
+    for row, cell in passages_to_search(index, numbers, upto, threshold).tolist() if index.terms else ():
+        a, b = span(index, upto, row, cell)
         asked = np.unique(numbers[a:b])
-        retrieved = block_max_wand(index, asked[asked >= 0].tolist(), threshold)
-        if retrieved:
-            words = flat[a:b].to_pylist()
-            seen = trigrams(words)
-            found += [(row, index.ids[i], cell * index.cell, s, *shares(index, i, seen, words)) for i, s in retrieved]
+        if items := dict(block_max_wand(index, asked[asked >= 0].tolist(), threshold)):
+            found[row, cell] = items
     return found
 
 
+def verified(index: Index, flat: pa.Array, upto: np.ndarray, found: dict[tuple[int, int], dict[int, float]]) -> Iterator[tuple[int, int, int, float, float, float]]:
+    """(row, item, start, score, question_share, answer_share) of what was retrieved."""
+    for (row, cell), items in found.items():
+        a, b = span(index, upto, row, cell)
+        words = flat[a:b].to_pylist()
+        seen = trigrams(words)
+        for i, score in items.items():
+            yield row, i, cell * index.cell, score, *shares(index, i, seen, words)
+
+
+def hits_in(index: Index, terms: pa.Array, values: pa.Array, threshold: float) -> list[tuple[int, int, int, float, float, float]]:
+    """(row, item_id, start, score, question_share, answer_share) of every passage and item it retrieves by the item's score."""
+    flat, upto, numbers = numbered(terms, values)
+    return [(row, index.ids[i], *more) for row, i, *more in verified(index, flat, upto, retrieved(index, numbers, upto, threshold))]
+
+
+def candidates_in(index: Index, terms: pa.Array, values: pa.Array, threshold: float) -> list[tuple[int, int, int, float, float, float]]:
+    """The same of every passage and item it retrieves by the item's score or by the question's trigrams."""
+    flat, upto, numbers = numbered(terms, values)
+    found = retrieved(index, numbers, upto, threshold)
+    out = [(row, index.ids[i], *more) for row, i, *more in verified(index, flat, upto, found)]
+    more: dict[tuple[int, int], dict[int, float]] = {}
+    for place, items in retrieved(index.grams, index.gram_numbers(numbers, upto), upto, OVERLAP).items():
+        if new := items.keys() - found.get(place, {}).keys():
+            a, b = span(index, upto, *place)
+            asked = np.unique(numbers[a:b])
+            asked = asked[asked >= 0].tolist()
+            more[place] = {i: index.score(i, asked) for i in sorted(new)}
+    for row, i, start, score, question, answer in verified(index, flat, upto, more):
+        if not index.brief[i] or (question >= OVERLAP and answer >= OVERLAP):
+            out.append((row, index.ids[i], start, score, question, answer))
+    return out
+
+
 def is_leak(question: float, answer: float) -> bool:
     return (question >= OVERLAP and answer >= OVERLAP) or question >= ALONE
 
@@ -265,7 +362,7 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, **op
         terms = pa.array(index.terms, pa.string())
         for batch in batches:
             for some in slices(batch, "text", SLICE_BYTES):
-                row, *more = list(zip(*hits_in(index, terms, some.column(1), threshold), strict=True)) or [[]] * 6
+                row, *more = list(zip(*candidates_in(index, terms, some.column(1), threshold), strict=True)) or [[]] * 6
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
                 columns = [some.column(0).take(pa.array(row, pa.int64())), *(pa.array(c, k) for c, k in zip(more, kinds, strict=True))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "start", "score", "question_share", "answer_share"])
@@ -296,7 +393,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
             for some in slices(batch, "text", SLICE_BYTES):
                 keep = np.ones(some.num_rows, bool)
                 values = some.column(some.schema.get_field_index("text"))
-                keep[[row for row, _, _, _, q, a in hits_in(index, terms, values, threshold) if is_leak(q, a)]] = False
+                keep[[row for row, _, _, _, q, a in candidates_in(index, terms, values, threshold) if is_leak(q, a)]] = False
                 yield some.filter(pa.array(keep))
 
     return docs.mapInArrow(clean, docs.schema)

@@ -152,6 +152,45 @@ def test_leaks(spark, documents, rows):
         decontamination.leaks(docs, table, max_bytes=5)
 
 
+def test_whatever_counts_is_retrieved(spark, documents, rows):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    some = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, f"{some(6)}? {some(20)}.") for i in range(20)]  # the answers carry most of the weight
+    items += [(50, f"Why so? {some(12)}."), (51, f"Who is it? {some(12)}."), (52, f"{'common ' * 8}{word()} common common.")]
+    questions = [text.partition("?")[0] for _, text in items]
+    half = " ".join(items[7][1].partition("? ")[2].split()[:12])
+    docs = [(i, f"{some(30)} {questions[i]} {some(300)}") for i in range(5)]
+    docs += [(5, some(200)), (6, f"{questions[7]} {some(5)} {half}"), (7, f"why so {some(50)} who is it"), (8, questions[9].rpartition(" ")[0] + " " + some(40)), (9, "")]
+    docs += [(10, "x"), (11, questions[3][:20])]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    expected = [(i, i) for i in range(5)] + [(6, 7)]
+    got = rows(decontamination.leaks(documents(docs), table), "doc_id", "item_id")
+    assert got == expected
+    assert rows(decontamination.without_leaks(documents(docs), table), "doc_id") == [(5,), (7,), (8,), (9,), (10,), (11,)]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_retrieval_against_counting_trigrams(seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(rng.choice([4, 12, 60]))]
+    some = lambda low, high: " ".join(rng.choices(vocabulary, k=rng.randint(low, high)))
+    items = [(i, f"{some(3, 12)}. {some(1, 25)}") for i in range(20)]
+    index = decontamination.Index(items, block=rng.choice([1, 2, 4]))
+    texts = [f"{some(0, 90)} {rng.choice(items)[1].partition('.')[0]} {some(0, 90)}" for _ in range(8)]
+    got = {x[:3] for x in decontamination.candidates_in(index, pa.array(index.terms), pa.array(texts), 0.5) if decontamination.is_leak(*x[4:])}
+    lacking = set()
+    for row, text in enumerate(texts):
+        words = text.split()
+        for cell in range(max(1, -(-len(words) // index.cell) - 1)):
+            own = words[cell * index.cell : (cell + 2) * index.cell]
+            for i, brief in enumerate(index.brief):
+                question, answer = decontamination.shares(index, i, decontamination.trigrams(own), own)
+                if (question >= 0.5 and answer >= 0.5) or (question >= 0.8 and not brief):
+                    lacking.add((row, index.ids[i], cell * index.cell))
+    assert lacking <= got
+
+
 # 4: quality rules
 
 
