@@ -5,7 +5,14 @@ its ancestors, all to the nearest and less to each further one.  A container's
 points are discounted by the share of its text inside links.  The best container
 is taken, or the article around it, and beside it those siblings that score a
 fifth as much or read like paragraphs.  Scripts, forms, menus, headers, footers,
-asides and elements whose class, id or role names such a thing never take part.
+asides and elements whose role names such a thing never take part.
+
+A class or id that names such a thing is only a doubt, as layout wrappers have
+such names too.  A page with doubtful elements is read twice.  The first time all
+of them take part, at a fifth of their points, and none passes points to what is
+around it.  Excused are those around the best container, around ``main``, and, if
+no article is outside doubtful elements, those around an article or around more
+than half of the text.  The second time the others are left out.
 
 Pages are read one by one, whole, inside the tasks that scan them; there is no
 shuffle.  A null or empty page gives an empty text, as does a page without
@@ -47,6 +54,10 @@ _NEVER_NAME = re.compile(
     r"share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|toolbar|tags|pagination|pager|skip|widgets?|hidden)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+#: Parts of names that say nothing against an element: what it is without or beside, and the head of an article.
+_HARMLESS_NAME = re.compile(r"(?:^|(?<=[\s_-]))(?:(?:no|has|with|without)[_-]+[^\s_-]+|(?:entry|post|article)[_-]+header)(?=$|[\s_-])", re.IGNORECASE)
+#: Much text does not excuse these.
+_ANSWERS_NAME = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?=$|[\s_-])", re.IGNORECASE)
 _LIKELY_NAME = re.compile(r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|post|story|text|blog|page)(?=$|[\s_-])", re.IGNORECASE)
 _CLOSES_P = _BLOCK - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary"}
 #: A start tag ends the last open element of the first list, unless one of the second list was opened since.
@@ -64,13 +75,20 @@ _CONTAINERS = frozenset("article main section div body td blockquote html".split
 _FIRST_SCORE = {"article": 10.0, "main": 10.0, "section": 3.0, "div": 5.0, "td": 3.0, "blockquote": 3.0}
 #: By level above the paragraph: what its points are divided by.
 _DIVIDED = (1, 2, 6, 9, 12)
+#: By what the points of a doubtful element are divided.
+_DOUBT = 5
 
 
 class Page:
-    """The kept blocks of a page, and for each element the block around it, its tag, names and whether it is left out."""
+    """The kept blocks of a page, and for each element the block around it, its tag, names and whether it is left out.
+
+    Of the elements with a doubtful name those in ``left_out`` are left out; elements have the same numbers in every reading.
+    """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, left_out: frozenset[int] = frozenset()):
         self.parents, self.tags, self.names = [-1], ["#page"], [""]
+        self.above, self.shown, self.own_size = [-1], [True], [0]
+        self.left_out, self.doubtful = left_out, set()
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters inside links
         self.open, self.out = [0], [False]
         self.homes = [0]  # of each open element, the block it is in
@@ -102,6 +120,7 @@ class Page:
         if piece and not self.out[-1]:
             piece = html.unescape(piece) if "&" in piece else piece
             self.parts.append(piece)
+            self.own_size[self.open[-1]] += len(piece.strip())
             if self.opened["a"]:
                 self.linked += len(piece.strip())
 
@@ -142,6 +161,7 @@ class Page:
             self.close_implied(*_ENDS[tag])
         if tag in _VOID:
             return
+        element = len(self.tags)
         names = ""
         out = self.out[-1] or (tag in _NEVER and not (tag == "header" and (self.opened["article"] or self.opened["main"])))
         if attributes and not out:
@@ -152,9 +172,13 @@ class Page:
                 or "hidden" in given
                 or given.get("aria-hidden", "").lower() == "true"
                 or "display:none" in given.get("style", "").replace(" ", "").lower()
-                or (tag not in ("html", "body", "article", "main") and bool(_NEVER_NAME.search(names)))
             )
-        element = len(self.tags)
+            if not out and tag not in ("html", "body", "article", "main") and _NEVER_NAME.search(_HARMLESS_NAME.sub("", names)):
+                self.doubtful.add(element)
+                out = element in self.left_out
+        self.above.append(self.open[-1])
+        self.shown.append(not out)
+        self.own_size.append(0)
         self.parents.append(self.homes[-1])
         self.tags.append(tag)
         self.names.append(names)
@@ -187,15 +211,49 @@ def ancestors(page: Page, element: int) -> list[int]:
     return found
 
 
-def chosen(page: Page) -> set[int]:
-    """The elements whose text is the main text; the page itself if there is no container."""
+def doubts(page: Page) -> frozenset[int]:
+    """The elements with a doubtful name that nothing excuses."""
+    count = len(page.tags)
+    size, mains, articles = page.own_size[:], [0] * count, [0] * count
+    for e in range(count - 1, 0, -1):  # children come after their parents
+        mains[e] += page.shown[e] and page.tags[e] == "main"
+        articles[e] += page.shown[e] and page.tags[e] == "article"
+        for sums in (size, mains, articles):
+            sums[page.above[e]] += sums[e]
+    doubted, in_article, clean = [False] * count, [False] * count, False
+    for e in range(1, count):
+        doubted[e] = doubted[page.above[e]] or e in page.doubtful
+        in_article[e] = in_article[page.above[e]] or page.tags[e] == "article"
+        clean |= page.tags[e] in ("article", "main") and page.shown[e] and not doubted[e]
+    left = set()
+    for e in page.doubtful:
+        most = 2 * size[e] > size[0] and not _ANSWERS_NAME.search(page.names[e])
+        if not (mains[e] or (not clean and (most or (articles[e] and not in_article[e])))):
+            left.add(e)
+    if left:
+        final, _, _ = scored(page, left)
+        e = max(final, key=lambda e: (final[e], -e)) if final else 0
+        while e > 0:
+            left.discard(e)
+            e = page.above[e]
+    return frozenset(left)
+
+
+def scored(page: Page, doubtful: set[int] | frozenset[int] = frozenset()) -> tuple[dict[int, float], Counter[int], Counter[int]]:
+    """Points of containers, and of all elements the characters and those inside links."""
     scores: dict[int, float] = {}
     sizes: Counter[int] = Counter()
     links: Counter[int] = Counter()
+    lowered = set()
+    for e in range(1, len(page.tags) if doubtful else 0):
+        if e in doubtful or page.above[e] in lowered:
+            lowered.add(e)
     for element, text, linked in page.blocks:
         points = 1 + sum(map(text.count, ",،、，")) + min(len(text) / 100, 3.0)
         level = 0
         for e in ancestors(page, element):
+            if element in lowered and e not in lowered:
+                break
             sizes[e] += len(text)
             links[e] += linked
             if page.tags[e] in _CONTAINERS:
@@ -203,9 +261,15 @@ def chosen(page: Page) -> set[int]:
                     scores[e] = _FIRST_SCORE.get(page.tags[e], 0.0) + (25.0 if _LIKELY_NAME.search(page.names[e]) else 0.0)
                 scores[e] += points / _DIVIDED[min(level, len(_DIVIDED) - 1)]
                 level += 1
-    if not scores:
+    final = {e: s * (1 - links[e] / sizes[e]) / (_DOUBT if e in lowered else 1) for e, s in scores.items()}
+    return final, sizes, links
+
+
+def chosen(page: Page) -> set[int]:
+    """The elements whose text is the main text; the page itself if there is no container."""
+    final, sizes, links = scored(page)
+    if not final:
         return {0}
-    final = {e: s * (1 - links[e] / sizes[e]) for e, s in scores.items()}
     best = max(final, key=lambda e: (final[e], -e))
     around = [e for e in ancestors(page, best) if page.tags[e] in ("article", "main")]
     if around:
@@ -224,6 +288,8 @@ def chosen(page: Page) -> set[int]:
 def main_text(source: str | None) -> str:
     """The main text: blocks in page order, one per line."""
     page = Page(source or "")
+    if page.doubtful and (left := doubts(page)):
+        page = Page(source or "", left)
     if not page.blocks:
         return ""
     keep = chosen(page)

@@ -257,6 +257,26 @@ def test_main_text(source, expected):
     assert html_text.main_text(source) == expected
 
 
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        ("<div class='content no-sidebar'><p>one, two</p></div>", "one, two"),
+        ("<div class='site has-sidebar'><article><p>one, two</p></article></div><p>other, words, stand, here, too</p>", "one, two"),
+        ("<div class='with-sidebar'><div class='sidebar'>s, s, s</div><div><p>one, two, three</p></div></div>", "one, two, three"),
+        ("<div class='header-fixed'><main><p>one</p></main></div><div><p>a, b, c, d, e</p></div>", "one"),
+        ("<div id=menu-open><p>one, two, three</p><p>four</p></div><div class='widget'>w, w</div>", "one, two, three\nfour"),
+        ("<x-page class='menu-open'><article><p>one</p></article></x-page>", "one"),
+        ("<article><div class='entry-header'><h1>H</h1></div><p>one</p><div class='share'>s</div> <span class='tags'>t</span></article>", "H\none"),
+        ("<main><article><p>one</p></article><div id='comments'><article><p>c, c, c</p></article></div></main>", "one"),
+        ("<div class='menu-open'><article><p>one</p><div id='comments'><article><p>c, c, c</p></article></div></article></div>", "one"),
+        ("<div class='post'><p>one, two</p></div><div id='comments'><p>c, c, c, c, c, c, c</p></div>", "one, two"),
+        ("<div id='comments'><p>all, there, is</p></div>", "all, there, is"),
+    ],
+)
+def test_names_of_layout_do_not_hide_the_text(source, expected):
+    assert html_text.main_text(source) == expected
+
+
 def test_pages(spark, folder, rows):
     ship(spark)
     pages = spark.read.parquet(f"{folder}/pages.parquet")
