@@ -15,7 +15,8 @@ rank among the pieces of its length.  Neither the driver nor any task sees more
 than the counts, and the result does not depend on how the input is partitioned,
 beyond which of several equally long pieces takes which slot.
 
-Null text counts as empty (one end token).  An empty table gives an empty result.
+A text that holds an added token of the vocabulary file, such as <|endoftext|>, has
+that token's id there.  Null text counts as empty (one end token).  An empty table gives an empty result.
 Repeated rows are packed like any others.  Extra columns are ignored.
 """
 
@@ -34,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from tenantry.llm.common import ramps, slices, texts
 from tenantry.state import materialize
@@ -65,8 +67,14 @@ def byte_level_ranks(path: str) -> dict[bytes, int]:
     return {bytes(map(to_byte.__getitem__, token)): i for token, i in content["model"]["vocab"].items() if token not in special}
 
 
+def added_tokens(path: str) -> list[str]:
+    """The texts that a vocabulary file reads as one token each, wherever they stand."""
+    with open(path, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file).get("added_tokens", ())]
+
+
 class Encoder:
-    """Token ids of many texts, with each different word of a batch encoded once.
+    """Token ids of many texts, with each different word of a batch encoded once; ``batch`` reads added tokens like other text.
 
     A byte-level vocabulary never joins what stands before a single space with
     what follows, so a text may be cut there, if no other white space is beside
@@ -78,6 +86,25 @@ class Encoder:
         self.encoding = tiktoken.Encoding(path, pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
         self.spaced = np.zeros(max(ranks.values()) + 1, bool)
         self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
+        self.path, self.added, self.reference = path, added_tokens(path), None
+
+    def ids(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``batch``, but a text with an added token in it is read by the tokenizer itself, which gives that token its id."""
+        marked = np.zeros(len(values), bool)
+        for content in self.added:
+            marked |= pc.match_substring(values, content).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return self.batch(values)
+        self.reference = self.reference or Tokenizer.from_file(self.path)
+        lengths, parts = np.zeros(len(values), np.int64), [np.empty(0, np.uint32)] * len(values)
+        others = np.flatnonzero(~marked)
+        tokens, lengths[others] = self.batch(values.take(pa.array(others)))
+        for i, own in zip(others.tolist(), np.split(tokens, np.cumsum(lengths[others])[:-1]), strict=False):
+            parts[i] = own
+        for i in np.flatnonzero(marked).tolist():
+            parts[i] = np.asarray(self.reference.encode(values[i].as_py(), add_special_tokens=False).ids, np.uint32)
+            lengths[i] = len(parts[i])
+        return np.concatenate(parts), lengths
 
     def plain(self, text: str) -> np.ndarray:
         return np.asarray(self.encoding.encode_to_numpy(text, disallowed_special=()), np.uint32)
@@ -136,7 +163,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         part = TaskContext.get().partitionId()
         for batch in batches:
             for some in slices(batch, "text", SLICE_BYTES):
-                tokens, lengths = encoder.batch(some.column(1))
+                tokens, lengths = encoder.ids(some.column(1))
                 lengths = lengths + 1
                 ends = np.cumsum(lengths)
                 closed = np.full(int(ends[-1]), end_id, "<u4")

@@ -371,6 +371,20 @@ def test_packing(documents, sample):
     assert got.sequence_id.nunique() <= -(-got.length.sum() // capacity) * 1.02 + 1
 
 
+def test_added_tokens_have_their_ids(documents):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    end = "<|endoftext|>"
+    texts = ["plain text", f"hello {end} world", end, f"{end}{end} a", f"a{end}b  c{end}", "", "<|endoftext |>", " x ", f"\n{end}\n " + "w " * 300]
+    for some in (texts, texts[1:4], texts[::-1]):
+        tokens, lengths = packing.Encoder(TOKENIZER).ids(pa.array(some))
+        for text, own in zip(some, np.split(tokens, np.cumsum(lengths)[:-1]), strict=True):
+            assert own.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    got = packing.pack(documents(list(enumerate(texts))), TOKENIZER).collect()
+    expected = {i: tokenizer.encode(text, add_special_tokens=False).ids + [0] for i, text in enumerate(texts)}
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == expected
+    assert 50256 in expected[1]
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_fillings_use_every_piece_once(seed):
     rng = random.Random(seed)
