@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tenantry.llm import chat, decontamination, fm_dedup, html_text, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter
+from tenantry.llm import chat, decontamination, fm_dedup, html_text, merkle, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter
 from tenantry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -70,10 +70,16 @@ def op10_fm_index(spark: SparkSession, folder: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_octopus_multiproof(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's leaf, proof and verdict in the manifest of all documents, some of them tampered with."""
+    proven = merkle.verify(table(spark, folder, "documents"), merkle.tampered())
+    return proven.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_classifier_chain, op2_digest_array, op3_block_max_wand, op4_risk_controlled, op5_tree_scoring, op6_probminhash,
-        op7_role_repair, op8_best_two_fit, op9_two_stage_suffixes, op10_fm_index
+        op7_role_repair, op8_best_two_fit, op9_two_stage_suffixes, op10_fm_index, op11_octopus_multiproof,
     )
 }
 
@@ -133,4 +139,46 @@ def _op4_sql() -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept FROM m"""
 
 
-SQL: dict[str, str] = {"op2_digest_array": _op2_sql(), "op4_risk_controlled": _op4_sql()}
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of an ASCII text."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)] || [-1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(s, x) WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END"
+    return f"xor(list_reduce([4294967295::BIGINT] || list_transform({steps}, lambda v: v::BIGINT), lambda s, x: {step}), 4294967295)"
+
+
+def _op11_sql() -> str:
+    def encoded(value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+    def leaf(n_chars: str) -> str:
+        return f"sha256({' || '.join(encoded(n_chars if c == 'n_chars' else c) for c in merkle.FIELDS)})"
+
+    def levels(name: str, leaves: str) -> str:
+        return f"""{name} AS (SELECT tree, 0::BIGINT AS level, pos AS idx, digest, n AS width FROM {leaves}
+        UNION ALL SELECT tree, level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), any_value((width + 1) // 2)
+        FROM {name} WHERE width > 1 GROUP BY tree, level, idx // 2)"""
+
+    def folds(name: str, rows: str, nodes: str) -> str:
+        return f"""{name} AS (SELECT row, tree, pos, n AS width, claimed AS digest, '' AS proof, 0::BIGINT AS level FROM {rows}
+        UNION ALL SELECT f.row, f.tree, f.pos // 2, (f.width + 1) // 2,
+            sha256(CASE WHEN s.digest IS NULL THEN f.digest WHEN f.pos % 2 = 1 THEN s.digest || f.digest ELSE f.digest || s.digest END),
+            f.proof || coalesce(s.digest, ''), f.level + 1
+        FROM {name} f LEFT JOIN {nodes} s ON s.tree = f.tree AND s.level = f.level AND s.idx = xor(f.pos, 1) WHERE f.width > 1)"""
+
+    return f"""
+    WITH RECURSIVE d AS MATERIALIZED (SELECT *, {leaf("n_chars")} AS digest, {leaf("hit_chars")} AS claimed, {encoded("lang")} AS tree, row_number() OVER () AS row
+        FROM (SELECT *, CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS hit_chars FROM documents)),
+    l AS MATERIALIZED (SELECT row, doc_id, tree, digest, claimed, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
+    {levels("nodes", "l")},
+    subroots AS MATERIALIZED (SELECT 'top' AS tree, nodes.tree AS row, digest, digest AS claimed, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+        FROM nodes JOIN (SELECT DISTINCT tree, lang FROM d) USING (tree) WHERE width = 1),
+    {levels("crown", "subroots")},
+    {folds("low", "l", "nodes")},
+    {folds("high", "(SELECT low.row, 'top' AS tree, s.pos, s.n, low.digest AS claimed FROM low JOIN subroots s ON s.row = low.tree WHERE low.width = 1)", "crown")}
+    SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, r.digest AS root, sha256(low.proof || high.proof) AS proof_sha256,
+        high.digest AS folded_root, high.digest = r.digest AS verified
+    FROM l JOIN low ON low.row = l.row AND low.width = 1 JOIN high ON high.row = l.row AND high.width = 1
+        JOIN subroots s ON s.row = l.tree, (SELECT digest FROM crown WHERE width = 1) r"""
+
+
+SQL: dict[str, str] = {"op2_digest_array": _op2_sql(), "op4_risk_controlled": _op4_sql(), "op11_octopus_multiproof": _op11_sql()}
