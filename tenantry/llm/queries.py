@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tenantry.llm import chat, decontamination, fm_dedup, html_text, merkle, near_dedup, packing, quality, suffix_dedup, toxicity, url_filter
+from tenantry.llm import chat, decontamination, fm_dedup, html_text, language, merkle, near_dedup, packing, quality, spelling, suffix_dedup, toxicity, url_filter
 from tenantry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -76,10 +76,21 @@ def op11_octopus_multiproof(spark: SparkSession, folder: str) -> DataFrame:
     return proven.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_word_first_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's language by a model of the documents that are not held out."""
+    return language.identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op13_search_schemes(spark: SparkSession, folder: str) -> DataFrame:
+    """Each word with the number of its near words, and the frequent one that it is a variant of."""
+    return spelling.variants(table(spark, folder, "documents")).select("word", "n", "n_near", "form", "form_n", "root")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_classifier_chain, op2_digest_array, op3_block_max_wand, op4_risk_controlled, op5_tree_scoring, op6_probminhash,
         op7_role_repair, op8_best_two_fit, op9_two_stage_suffixes, op10_fm_index, op11_octopus_multiproof,
+        op12_word_first_backoff, op13_search_schemes,
     )
 }
 
