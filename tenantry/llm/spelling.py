@@ -63,14 +63,14 @@ def vocabulary(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: i
 
 def _keyed(rows: DataFrame) -> DataFrame:
     """Words of one key agree in the first ``i`` and the last ``j`` code points and are searched by words of length ``size``."""
-    return rows.withColumn("key", F.expr("xxhash64(size, i, j, substring(word, 1, i), right(word, j))"))
+    return rows.withColumn("key", F.expr("xxhash64(size, i, j, substring(word, 1, int(i)), right(word, int(j)))"))
 
 
 def _groups(words: DataFrame, least_length: int, group_rows: int) -> DataFrame:
     """Each word under the keys where words near it look for it, and (``size`` is its length) where it looks for them."""
-    size = F.explode(F.expr(f"sequence(greatest(length(word) - 1, {least_length}), length(word) + 1)"))
+    size = F.explode(F.expr(f"sequence(greatest(length(word) - 1L, {least_length}L), length(word) + 1L)"))
     halves = F.explode(F.expr("array(struct(size div 2 as i, 0L as j), struct(0L as i, size - size div 2 as j))"))
-    rows = words.select("word", "n", size.cast("long").alias("size")).withColumn("half", halves).select("word", "n", "size", "half.i", "half.j")
+    rows = words.select("word", "n", size.alias("size")).withColumn("half", halves).select("word", "n", "size", "half.i", "half.j")
     rows, small = materialize(_keyed(rows), "halves"), []
     while True:
         hot = rows.filter("size - i - j > 1").groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") > group_rows)
