@@ -43,7 +43,7 @@ from tenantry.state import materialize
 CAPACITY = 2048
 END_ID = 0
 #: Bytes of text that are tokenized at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 #: Fixed: how a byte-level vocabulary cuts text before its merges.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space at an end of the text, or two side by side.
@@ -151,13 +151,15 @@ class Encoder:
         return tokens, ends[upto[1:]] - ends[upto[:-1]]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """The pieces of all documents; ``ids`` are little-endian unsigned 32-bit numbers.
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+    """The pieces of all documents; ``ids``, little-endian unsigned 32-bit numbers, only on request.
 
     ``part`` and ``nth`` number the pieces of one length within one task.  They
     are only meaningful in a written table, where they cannot change any more.
     """
 
+    schema = PIECES if with_ids else PIECES.replace("ids binary, ", "")
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, used = Encoder(tokenizer), np.zeros(capacity + 1, np.int64)
         part = TaskContext.get().partitionId()
@@ -168,14 +170,18 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                 ends = np.cumsum(lengths)
                 closed = np.full(int(ends[-1]), end_id, "<u4")
                 closed[np.arange(len(tokens)) + np.repeat(np.arange(len(lengths)), lengths - 1)] = tokens
-                raw = closed.tobytes()
+                del tokens
+                raw = memoryview(closed.view(np.uint8))
                 number = -(-lengths // capacity)
                 row, piece = np.repeat(np.arange(len(lengths)), number), ramps(number)
                 first = lengths - (number - 1) * capacity
                 start = np.where(piece == 0, 0, first[row] + (piece - 1) * capacity)
                 length = np.where(piece == 0, first[row], capacity)
                 at = (ends - lengths)[row] + start
-                ids = [raw[4 * a : 4 * (a + n)] for a, n in zip(at.tolist(), length.tolist(), strict=True)]
+                spans = [(4 * a, 4 * (a + n)) for a, n in zip(at.tolist(), length.tolist(), strict=True)]
+                checks = pa.array([zlib.crc32(raw[a:b]) for a, b in spans], pa.int64())
+                ids = [pa.array([raw[a:b].tobytes() for a, b in spans], pa.binary())] if with_ids else []
+                del raw, closed
                 nth = np.empty(len(length), np.int64)
                 order = np.argsort(length, kind="stable")
                 _, head, many = np.unique(length[order], return_index=True, return_counts=True)
@@ -187,15 +193,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                         pa.array(piece, pa.int32()),
                         pa.array(start, pa.int64()),
                         pa.array(length, pa.int64()),
-                        pa.array(ids, pa.binary()),
-                        pa.array(list(map(zlib.crc32, ids)), pa.int64()),
+                        *ids,
+                        checks,
                         pa.array(np.full(len(row), part), pa.int32()),
                         pa.array(nth, pa.int64()),
                     ],
-                    names=[f.split()[0] for f in PIECES.split(", ")],
+                    names=[f.split()[0] for f in schema.split(", ")],
                 )
 
-    return texts(docs).mapInArrow(pieces, PIECES)
+    return texts(docs).mapInArrow(pieces, schema)
 
 
 def fillings(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -298,5 +304,4 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset: one row per piece; ``ids`` only on request."""
-    pieces = token_pieces(docs, tokenizer, capacity, end_id)
-    return place_pieces(materialize(pieces if with_ids else pieces.drop("ids"), "pieces"), capacity)
+    return place_pieces(materialize(token_pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces"), capacity)
