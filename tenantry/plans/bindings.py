@@ -125,26 +125,26 @@ def row_hierarchy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
 
 
 def trade_edges(spark: SparkSession, folder: str, level: str) -> DataFrame:
-    """Buyer and seller (nations or regions) with at least the average number of order lines."""
+    """Buyer and seller of every order line: nations, regions, or nations in the year of the shipment (which leads to the next)."""
     t = reader(spark, folder)
     place = t("nation").select(
         F.col("n_nationkey").alias("key"),
-        (F.col("n_name") if level == "nation" else F.concat(F.lit("R"), F.col("n_regionkey").cast("string"))).alias("place"),
+        (F.concat(F.lit("R"), F.col("n_regionkey").cast("string")) if level == "region" else F.col("n_name")).alias("place"),
     )
     buyers = t("customer").join(place, F.col("c_nationkey") == F.col("key")).select("c_custkey", F.col("place").alias("parent"))
     sellers = t("supplier").join(place, F.col("s_nationkey") == F.col("key")).select("s_suppkey", F.col("place").alias("child"))
-    per_pair = (
-        t("lineitem")
-        .groupBy("l_orderkey", "l_suppkey")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = t("lineitem").select("l_orderkey", "l_suppkey", F.year("l_shipdate").alias("year")).distinct()
+    sold = (
+        lines.join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
         .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("parent", "child")
-        .agg(F.sum("n").alias("lines"))
     )
-    average = per_pair.agg(F.sum("lines") / F.count(F.lit(1))).scalar()
-    return per_pair.filter(F.col("lines") >= average).select("parent", "child")
+    if level != "year":
+        return sold.select("parent", "child").distinct()
+    at = lambda place, year: F.concat(place, F.lit("@"), year.cast("string"))
+    within = sold.select(at("parent", F.col("year")).alias("parent"), at("child", F.col("year")).alias("child"))
+    onward = sold.select(at("parent", F.col("year")).alias("parent"), at("parent", F.col("year") + 1).alias("child"))
+    return within.union(onward).distinct()
 
 
 def named_tables(spark: SparkSession, folder: str) -> Tables:

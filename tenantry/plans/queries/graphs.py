@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantry.operators import dependencies, traversal
+from tenantry.operators import cycles, dependencies, traversal
 from tenantry.plans.bindings import named_tables, numbered_edges, property_graph, reader, row_hierarchy, trade_edges
 from tenantry.sources.graph import entries_text, nodes_with
 from tenantry.state import materialize
@@ -101,22 +101,38 @@ def cycle_core(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def simple_cycles(spark: SparkSession, folder: str) -> DataFrame:
-    found = dependencies.simple_cycles(*_trade(spark, folder, "nation"), max_length=3)
+    found = dependencies.simple_cycles(*_trade(spark, folder, "region"))
     return found.select(F.concat_ws(">", "members").alias("cycle"), (F.size("members") - 1).alias("length"))
 
 
 def break_points(spark: SparkSession, folder: str) -> DataFrame:
-    nodes, edges = _trade(spark, folder, "nation")
-    chosen = dependencies.break_points(dependencies.simple_cycles(nodes, edges, max_length=3), edges)
+    nodes, edges = _trade(spark, folder, "region")
+    chosen = dependencies.break_points(dependencies.simple_cycles(nodes, edges), edges)
     return chosen.select(F.concat_ws(">", "members").alias("cycle"), "break_from", "break_to", "affected")
 
 
 def order_with_breaks(spark: SparkSession, folder: str) -> DataFrame:
     nodes, edges = _trade(spark, folder, "region")
-    breaks = dependencies.break_points(dependencies.simple_cycles(nodes, edges, max_length=5), edges)
+    breaks = dependencies.break_points(dependencies.simple_cycles(nodes, edges), edges)
     return dependencies.levels_with_breaks(nodes, edges, materialize(breaks, "breaks"))
 
 
+def strong_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations in each year, tied by trade within the year and by time to the next."""
+    return cycles.strong_components(_trade(spark, folder, "year")[1])
+
+
+def cycle_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """The edges to give up for all cycles of the trade between nations, of which there are too many to list."""
+    return cycles.cycle_breaks(_trade(spark, folder, "nation")[1])
+
+
+def order_of_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Levels of all nations, with the cycles among them broken."""
+    nodes, edges = _trade(spark, folder, "nation")
+    return dependencies.levels_with_breaks(nodes, edges, materialize(cycles.cycle_breaks(edges), "breaks"))
+
+
 def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
     """Types sold by each brand early and late, as columns of a table, with the largest size."""
     t = reader(spark, folder)
@@ -198,28 +214,47 @@ SELECT s AS start_id, v AS end_id, array_to_string(path, '-') AS path, depth FRO
 
 def _trade_sql(place: str) -> str:
     return f"""
-pairs AS (
-  SELECT {place.format('b')} AS parent, {place.format('s')} AS child, count(*) AS lines
+sold AS (
+  SELECT {place.format('b')} AS parent, {place.format('s')} AS child, year(l_shipdate) AS y
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  JOIN nation b ON c_nationkey = b.n_nationkey JOIN supplier ON l_suppkey = s_suppkey
-  JOIN nation s ON s_nationkey = s.n_nationkey GROUP BY 1, 2
+  JOIN nation b ON c_nationkey = b.n_nationkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation s ON s_nationkey = s.n_nationkey
 ),
-trade AS (SELECT parent, child FROM pairs WHERE lines >= (SELECT sum(lines)::DOUBLE / count(*) FROM pairs))
+trade AS MATERIALIZED (SELECT DISTINCT parent, child FROM sold)
 """
 
 
 _NATIONS = _trade_sql("{}.n_name")
 _REGIONS = _trade_sql("'R' || {}.n_regionkey")
+_YEARS = """
+links AS MATERIALIZED (SELECT DISTINCT parent || '@' || y AS a, child || '@' || y AS b FROM sold UNION SELECT parent || '@' || y, parent || '@' || (y + 1) FROM sold),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+"""
+# every cycle from its smallest member
 _CYCLES = """
-cycles AS (
-  SELECT [parent] AS m FROM trade WHERE parent = child
-  UNION ALL
-  SELECT [x.parent, y.parent] FROM trade x JOIN trade y ON x.child = y.parent AND y.child = x.parent WHERE x.parent < y.parent
-  UNION ALL
-  SELECT [x.parent, y.parent, z.parent] FROM trade x JOIN trade y ON x.child = y.parent
-  JOIN trade z ON y.child = z.parent AND z.child = x.parent
-  WHERE x.parent < y.parent AND x.parent < z.parent AND y.parent <> z.parent
-)
+walks AS (SELECT [parent, child] AS m FROM trade WHERE child >= parent
+  UNION ALL SELECT list_append(w.m, t.child) FROM walks w JOIN trade t ON t.parent = w.m[len(w.m)]
+  WHERE w.m[len(w.m)] <> w.m[1] AND t.child >= w.m[1] AND (t.child = w.m[1] OR NOT list_contains(w.m, t.child))),
+cycles AS (SELECT m[1:len(m) - 1] AS m FROM walks WHERE m[1] = m[len(m)]),
+degree AS (SELECT parent, count(*) AS n FROM trade GROUP BY parent),
+members AS (SELECT m, unnest(m) AS v, unnest(range(1, len(m) + 1)) AS i FROM cycles),
+ranked AS (SELECT m, v, i, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY m ORDER BY coalesce(n, 0), i) AS r
+  FROM members LEFT JOIN degree ON v = parent)
+"""
+# an edge up closes a cycle over nodes that come after its start
+_BREAKS = """
+rank AS MATERIALIZED (SELECT name, coalesce(n, 0) AS n, row_number() OVER (ORDER BY coalesce(n, 0), name) AS r
+  FROM (SELECT parent AS name FROM trade UNION SELECT child FROM trade) LEFT JOIN (SELECT parent, count(*) AS n FROM trade GROUP BY parent) ON parent = name),
+steps AS MATERIALIZED (SELECT parent, child, f.r AS fr, f.n AS n, t.r AS tr FROM trade JOIN rank f ON f.name = parent JOIN rank t ON t.name = child),
+away AS (SELECT parent AS a, child AS b, fr AS least, child AS head FROM steps WHERE fr <= tr
+  UNION SELECT w.a, w.b, w.least, s.child FROM away w JOIN steps s ON s.parent = w.head WHERE s.tr >= w.least),
+breaks AS (SELECT DISTINCT a, b FROM away WHERE head = a)
+"""
+_LEVELS = """
+kept AS (SELECT parent, child FROM trade WHERE NOT EXISTS (SELECT 1 FROM breaks WHERE a = parent AND b = child)),
+names AS (SELECT parent AS name FROM trade UNION SELECT child FROM trade),
+walk AS (SELECT name, 0 AS level FROM names WHERE name NOT IN (SELECT child FROM kept)
+  UNION SELECT child, level + 1 FROM walk JOIN kept ON parent = name)
+SELECT name, max(level) AS level FROM walk GROUP BY name
 """
 
 
@@ -266,6 +301,9 @@ QUERIES = {
     "simple_cycles": simple_cycles,
     "break_points": break_points,
     "order_with_breaks": order_with_breaks,
+    "strong_components": strong_components,
+    "cycle_breaks": cycle_breaks,
+    "order_of_all": order_of_all,
     "schema_drift": schema_drift,
 }
 
@@ -322,31 +360,19 @@ SQL = {
         WHERE n_name IN (SELECT v FROM ring)
            OR (n_name IN (SELECT b FROM reach WHERE a IN (SELECT v FROM ring)) AND n_name IN (SELECT a FROM reach WHERE b IN (SELECT v FROM ring)))
     """,
-    "simple_cycles": f"""WITH {_NATIONS}, {_CYCLES}
+    "simple_cycles": f"""WITH RECURSIVE {_REGIONS}, {_CYCLES}
         SELECT array_to_string(list_append(m, m[1]), '>') AS cycle, CAST(len(m) AS INTEGER) AS length FROM cycles""",
-    "break_points": f"""WITH {_NATIONS}, {_CYCLES},
-        degree AS (SELECT parent, count(*) AS n FROM trade GROUP BY parent),
-        members AS (SELECT m, unnest(m) AS v, unnest(range(1, len(m) + 1)) AS i FROM cycles),
-        ranked AS (SELECT m, v, i, coalesce(n, 0) AS n, row_number() OVER (PARTITION BY m ORDER BY coalesce(n, 0), i) AS r
-          FROM members LEFT JOIN degree ON v = parent)
+    "break_points": f"""WITH RECURSIVE {_REGIONS}, {_CYCLES}
         SELECT array_to_string(list_append(m, m[1]), '>') AS cycle, v AS break_from, m[i % len(m) + 1] AS break_to, n AS affected
         FROM ranked WHERE r = 1""",
-    "order_with_breaks": f"""
-        WITH RECURSIVE {_REGIONS},
-        paths AS (SELECT [parent, child] AS m FROM trade WHERE child >= parent
-          UNION ALL SELECT list_append(p.m, t.child) FROM paths p JOIN trade t ON t.parent = p.m[len(p.m)]
-          WHERE p.m[len(p.m)] <> p.m[1] AND t.child >= p.m[1] AND (t.child = p.m[1] OR NOT list_contains(p.m, t.child))),
-        cycles AS (SELECT m[1:len(m) - 1] AS m FROM paths WHERE m[1] = m[len(m)]),
-        degree AS (SELECT parent, count(*) AS n FROM trade GROUP BY parent),
-        members AS (SELECT m, unnest(m) AS v, unnest(range(1, len(m) + 1)) AS i FROM cycles),
-        ranked AS (SELECT m, v, i, row_number() OVER (PARTITION BY m ORDER BY coalesce(n, 0), i) AS r FROM members LEFT JOIN degree ON v = parent),
-        breaks AS (SELECT DISTINCT v AS a, m[i % len(m) + 1] AS b FROM ranked WHERE r = 1),
-        kept AS (SELECT parent, child FROM trade WHERE NOT EXISTS (SELECT 1 FROM breaks WHERE a = parent AND b = child)),
-        names AS (SELECT parent AS name FROM trade UNION SELECT child FROM trade),
-        walk AS (SELECT name, 0 AS level FROM names WHERE name NOT IN (SELECT child FROM kept)
-          UNION SELECT child, level + 1 FROM walk JOIN kept ON parent = name)
-        SELECT name, max(level) AS level FROM walk GROUP BY name
-    """,
+    "order_with_breaks": f"""WITH RECURSIVE {_REGIONS}, {_CYCLES},
+        breaks AS (SELECT DISTINCT v AS a, m[i % len(m) + 1] AS b FROM ranked WHERE r = 1), {_LEVELS}""",
+    "strong_components": f"""WITH RECURSIVE {_NATIONS}, {_YEARS},
+        mutual AS (SELECT a, b FROM reach WHERE (b, a) IN (SELECT (a, b) FROM reach) UNION SELECT a, a FROM links UNION SELECT b, b FROM links)
+        SELECT a AS name, min(b) AS component, count(*) AS size FROM mutual GROUP BY a""",
+    "cycle_breaks": f"""WITH RECURSIVE {_NATIONS}, {_BREAKS}
+        SELECT a AS break_from, b AS break_to, n AS affected FROM breaks JOIN rank ON name = a""",
+    "order_of_all": f"WITH RECURSIVE {_NATIONS}, {_BREAKS}, {_LEVELS}",
     "schema_drift": """
         WITH b AS (SELECT p_brand AS t, p_name AS c, max(p_size) AS w FROM lineitem JOIN part ON l_partkey = p_partkey
           WHERE l_shipdate < DATE '1996-01-01' GROUP BY 1, 2),
