@@ -115,7 +115,7 @@ def cycle_breaks(edges: DataFrame) -> DataFrame:
     total = times.count()
     # what is left of a question: the node that comes back last settles it between low and high
     asked = spans.select(F.lit(0).cast("long").alias("low"), F.lit(total).cast("long").alias("high"), "parent", "child", "at", "cut")
-    asked, settled = materialize(asked.filter("parent <> child"), "asked"), [spans.filter("parent = child").select("cut")]
+    asked, settled = asked.filter("parent <> child"), [spans.filter("parent = child").select("cut")]
     while not asked.isEmpty():
         half = F.expr("(low + high) div 2")
         early = asked.filter(F.col("at") <= half).select(F.struct("low", F.col("parent").alias("node")).alias("parent"), F.struct("low", F.col("child").alias("node")).alias("child"))
@@ -133,7 +133,7 @@ def cycle_breaks(edges: DataFrame) -> DataFrame:
         halved = materialize(halved, "halved")
         # ends that are one node by then were on a common cycle before the edge was there
         settled.append(halved.filter("parent = child OR (low = high AND low = at)").select("cut"))
-        asked = materialize(halved.filter("parent <> child AND low < high"), "asked")
+        asked = halved.filter("parent <> child AND low < high")
     cuts = reduce(DataFrame.unionByName, settled).filter("cut IS NOT NULL").select(F.col("cut.parent").alias("break_from"), F.col("cut.child").alias("break_to"))
     return look_up(cuts, children.withColumnRenamed("children", "affected"), [("break_from", "of")]).select("break_from", "break_to", "affected")
 

@@ -1,25 +1,18 @@
-"""Bringing new rows into a target, and taking a tenant out again.
-
-Parquet has no transactions, so a load never touches files that are in use: it
-writes new folders and then adds one line to the log of the target.  The line
-says where each table of the version lives; before it is there, readers see the
-version before.
-"""
+"""Bringing new rows into a target, and taking a tenant out again; ``target`` has the versions and their folders."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenantry.model import ForeignKey, Tables
 from tenantry.operators.extract import extract_dataset, table_order
+from tenantry.operators.target import Change, Target
 from tenantry.skew import keep_matching
 from tenantry.sources.graph import ordered_entries
-from tenantry.sources.tables import write_manifest, write_table
 
 
 class KeyConflict(ValueError):
@@ -215,63 +208,7 @@ def residual(tables: Tables, keys: Sequence[ForeignKey], where: Mapping[str, obj
     return reduce(DataFrame.unionByName, parts)
 
 
-# --- versioned target -----------------------------------------------------------
-
-LOG_SCHEMA = "version BIGINT, note STRING, paths MAP<STRING,STRING>"
-
-
-@dataclass(frozen=True)
-class Target:
-    """Versions of a dataset under one folder."""
-
-    spark: SparkSession
-    root: str
-
-    @property
-    def _log(self) -> str:
-        return f"{self.root.rstrip('/')}/_log"
-
-    def _exists(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._log)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
-    def version(self) -> tuple[int, dict[str, str]]:
-        """Number of the current version and the folder of each of its tables."""
-        if not self._exists():
-            return 0, {}
-        log = self.spark.read.schema(LOG_SCHEMA).json(self._log)
-        last = log.orderBy(F.desc("version")).limit(1).collect()
-        return (last[0].version, dict(last[0].paths or {})) if last else (0, {})
-
-    def read(self) -> Tables:
-        return {name: self.spark.read.parquet(path) for name, path in self.version()[1].items()}
-
-    def publish(self, tables: Tables, note: str = "", partition_by: str | None = None) -> int:
-        """Write the given tables as a new version; others keep their folder.
-
-        Nothing becomes visible before the last table is written.
-        """
-        number, paths = self.version()
-        number += 1
-        for name, df in tables.items():
-            path = f"{self.root.rstrip('/')}/v{number}/{name}"
-            write_table(df, path, partition_by if partition_by in df.columns else None, mode="overwrite")
-            paths[name] = path
-        self._commit(number, note, paths)
-        return number
-
-    def restore(self, version: int) -> int:
-        """Make an earlier version current again, as a new entry of the log."""
-        log = self.spark.read.schema(LOG_SCHEMA).json(self._log)
-        wanted = log.filter(F.col("version") == version).limit(1).collect()
-        if not wanted:
-            raise ValueError(f"no version {version}")
-        number = self.version()[0] + 1
-        self._commit(number, f"restore {version}", dict(wanted[0].paths or {}))
-        return number
-
-    def _commit(self, number: int, note: str, paths: dict[str, str]) -> None:
-        write_manifest(self.spark.createDataFrame([(number, note, paths)], LOG_SCHEMA), self._log)
+# --- loads into a versioned target ------------------------------------------------
 
 
 def load_dataset(
@@ -287,6 +224,7 @@ def load_dataset(
 ) -> list[str]:
     """Load several tables, all or none; missing and empty tables are skipped.
 
+    An insert adds its rows; upsert and merge write the folders anew that hold a row of a loaded key.
     Returns the names of the tables that were loaded, in load order.
     """
     if strategy not in ("insert", "upsert", "merge"):
@@ -295,7 +233,7 @@ def load_dataset(
     if not wanted:
         raise ValueError("there is nothing to load")
     current = target.read()
-    result: Tables = {}
+    changes: dict[str, Change] = {}
     for name in wanted:
         df = new[name]
         if df.isEmpty():
@@ -304,21 +242,30 @@ def load_dataset(
         sort = (order_by or {}).get(name)
         base = current[name] if name in current else df.limit(0)
         if strategy == "insert":
-            result[name] = insert(base, df, key)
-        elif strategy == "upsert":
-            result[name] = upsert(base, df, key, sort)
-        else:
-            result[name] = merge(base, df, key, (policies or {}).get(name), sort)
-    if result:
-        target.publish(result, note or strategy)
-    return list(result)
+            insert(base, df, key)  # a conflict is an error
+            changes[name] = Change(df)
+            continue
+        touched = target.tenants(name, keep_matching(base, df.select(*key), [(c, c) for c in key])) if name in current else []
+        part = target.read(tenants=touched, only=[name])[name] if touched else base.limit(0)
+        done = upsert(part, df, key, sort) if strategy == "upsert" else merge(part, df, key, (policies or {}).get(name), sort)
+        changes[name] = Change(done, touched)
+    if changes:
+        target.commit(changes, note or strategy)
+    return list(changes)
+
+
+def _left_over(target: Target, name: str, kept: DataFrame, doomed: DataFrame, *more: DataFrame) -> Change:
+    """The change that takes rows out of a table: only folders that hold one are written anew, if anything is left for them."""
+    touched = target.tenants(name, doomed)
+    if not touched and not more:
+        return Change()
+    return Change(reduce(DataFrame.unionByName, more, target.among(name, kept, touched)), touched)
 
 
 def remove_tenant(target: Target, keys: Sequence[ForeignKey], where: Mapping[str, object], **options) -> int:
     """Publish the target without the tenant; the version before stays available."""
-    current = target.read()
-    kept = without_tenant(current, keys, where, **options)
-    return target.publish({n: df for n, df in kept.items() if df is not current[n]}, note="remove")
+    kept, doomed = _parted(target.read(), keys, where, **options)
+    return target.commit({name: _left_over(target, name, kept[name], df) for name, df in doomed.items()}, "remove")
 
 
 def reload_tenant(
@@ -338,6 +285,7 @@ def reload_tenant(
     kept, doomed = _parted(current, keys, where, **options)
     theirs = extract_dataset(current, keys, where, **options)
     broken = options.get("broken", ())
+    staying: Tables = {}
     for name in table_order(list(current), keys, broken):
         above = [k for k in keys if k not in broken and k.child == name and k.parent in current]
         if name not in doomed or len(above) < 2:
@@ -348,21 +296,24 @@ def reload_tenant(
             foreign = keep_matching(foreign, new[name], key, absent=True)
         for k in above:
             parents = kept[k.parent].select(*k.keys)
-            if k.parent in new:
-                parents = parents.unionByName(new[k.parent].select(*k.keys))
+            for more in (staying, new):
+                if k.parent in more:
+                    parents = parents.unionByName(more[k.parent].select(*k.keys))
             lost = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in k.columns])
             foreign = keep_matching(foreign, parents, k.pairs).unionByName(foreign.filter(lost))
-        kept[name] = kept[name].unionByName(foreign)
-    result: Tables = {}
+        staying[name] = foreign
+    changes: dict[str, Change] = {}
     for name, df in new.items():
         key = list(primary_keys.get(name, ("id",)))
         if name not in kept:
-            result[name] = df
-        elif kept[name] is current[name]:
-            result[name] = kept[name].unionByName(keep_matching(df, kept[name], [(c, c) for c in key], absent=True))
+            changes[name] = Change(df)
+        elif name not in doomed:
+            changes[name] = Change(keep_matching(df, kept[name], [(c, c) for c in key], absent=True))
         else:
-            result[name] = insert(kept[name], df, key)
-    for name, df in kept.items():
-        if name not in result and df is not current[name]:
-            result[name] = df
-    return target.publish(result, note="reload")
+            back = [staying[name]] if name in staying else []
+            insert(reduce(DataFrame.unionByName, back, kept[name]), df, key)  # a conflict is an error
+            changes[name] = _left_over(target, name, kept[name], doomed[name], df, *back)
+    for name, df in doomed.items():
+        if name not in changes:
+            changes[name] = _left_over(target, name, kept[name], df, *([staying[name]] if name in staying else []))
+    return target.commit(changes, "reload")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,7 +161,7 @@ def residual(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _history(target: Target, names: list[str]) -> list[DataFrame]:
-    version = target.version()[0]
+    version = target.version()
     return [
         df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(version).alias("version"), F.lit(name).alias("table_name"), "rows")
         for name, df in target.read().items()
@@ -168,24 +170,24 @@ def _history(target: Target, names: list[str]) -> list[DataFrame]:
 
 
 def versioned_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Insert, upsert, go back to the first version, remove a nation, load it again."""
+    """All tables: insert, upsert, go back to the first version, remove a nation, load it again."""
     target = Target(spark, new_folder(spark, "target"))
-    data = tables(spark, folder, "nation", "customer", "orders")
-    keys = [k for k in KEYS if k.child in data and k.parent in data]
+    data = tables(spark, folder, *ALL_TABLES)
     early = data["orders"].filter("o_orderdate < TIMESTAMP_NTZ'1998-01-01'")
     late = data["orders"].filter("o_orderdate >= TIMESTAMP_NTZ'1997-01-01'")
     nothing = data["orders"].filter("o_totalprice < -1")
-    names = ["customer", "orders"]
-    load.load_dataset(target, {**data, "orders": early, "empty": nothing}, {**PRIMARY_KEYS, "empty": ["o_orderkey"]})
+    names = ["customer", "orders", "lineitem"]
+    first = {**data, "orders": early}
+    load.load_dataset(target, {**first, "empty": nothing}, {**PRIMARY_KEYS, "empty": ["o_orderkey"]})
     steps = _history(target, names)
     load.load_dataset(target, {"orders": late}, PRIMARY_KEYS, "upsert")
     steps += _history(target, names)
     target.restore(1)
     steps += _history(target, names)
-    load.remove_tenant(target, keys, {}, tenant_columns=NATION)
+    load.remove_tenant(target, KEYS, {}, tenant_columns=NATION)
     steps += _history(target, names)
-    subset = extract.extract_dataset({**data, "orders": early}, keys, {}, tenant_columns=NATION)
-    load.reload_tenant(target, subset, keys, {}, PRIMARY_KEYS, tenant_columns=NATION)
+    subset = extract.extract_dataset(first, KEYS, {}, tenant_columns=NATION)
+    load.reload_tenant(target, subset, KEYS, {}, PRIMARY_KEYS, tenant_columns=NATION)
     steps += _history(target, names)
     result = steps[0]
     for step in steps[1:]:
@@ -193,6 +195,31 @@ def versioned_load(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+def incremental_load(spark: SparkSession, folder: str) -> DataFrame:
+    """What each version of tables kept by nation and by status holds, and how many rows were written for it."""
+    t = reader(spark, folder)
+    target = Target(spark, new_folder(spark, "target"), {"customer": "c_nationkey", "orders": "o_orderstatus"})
+    orders, customers = t("orders"), t("customer")
+    early, late = orders.filter("o_orderdate < TIMESTAMP_NTZ'1998-01-01'"), orders.filter("o_orderdate >= TIMESTAMP_NTZ'1998-01-01'")
+    load.load_dataset(target, {"customer": customers, "orders": early}, PRIMARY_KEYS)
+    load.load_dataset(target, {"orders": late}, PRIMARY_KEYS)
+    paid = orders.filter("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit(0.0))
+    load.load_dataset(target, {"orders": paid}, PRIMARY_KEYS, "upsert")
+    load.remove_tenant(target, [], {}, tenant_columns={"customer": {"c_nationkey": 7}})
+    target.compact(1)
+    parts, seen = [], set()
+    for version in range(1, target.version() + 1):
+        now = target.folders(version)
+        for name, df in target.read(version).items():
+            added = [f.path for f in now[name] if f not in seen]
+            seen |= set(now[name])
+            written = spark.read.schema(df.schema).option("recursiveFileLookup", True).parquet(*[f"{target.root}/{p}" for p in added]) if added else df.limit(0)
+            # as every version is read after the last one was made, it has to be as it was
+            held = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("o_totalprice" if name == "orders" else "c_custkey"), F.lit(0)).cast("decimal(20,2)").cast("double").alias("total"))
+            parts.append(held.select(F.lit(version).alias("version"), F.lit(name).alias("table_name"), "rows", "total", F.lit(written.count()).cast("long").alias("written")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _before_after(spark: SparkSession, folder: str) -> tuple[Tables, Tables]:
     """The tables, and the same with orders replaced by an upsert and lines of one flag lost."""
     t = reader(spark, folder)
@@ -349,6 +376,12 @@ def _distance(name: str, source: str, target: str, bucket: str) -> str:
 
 _KEPT_LINES = "(SELECT * FROM lineitem WHERE l_returnflag <> 'R')"
 _STEPS = ((1, "old"), (2, "all"), (3, "old"), (4, "without"), (5, "old"))
+# a line goes with its order or its supplier, and comes back with both
+_LINES = """
+WITH lines AS (SELECT coalesce(o_orderdate < DATE '1998-01-01' AND c_nationkey = 7 AND s_nationkey = 7, false) AS back,
+    coalesce(o_orderdate < DATE '1998-01-01' AND c_nationkey = 7, false) OR coalesce(s_nationkey = 7, false) AS gone
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN supplier ON l_suppkey = s_suppkey)
+"""
 _STEP_SQL = {
     "old": "SELECT count(*) FROM orders WHERE o_orderdate < DATE '1998-01-01'",
     "all": "SELECT count(*) FROM orders",
@@ -369,6 +402,7 @@ QUERIES = {
     "rollback": rollback,
     "residual": residual,
     "versioned_load": versioned_load,
+    "incremental_load": incremental_load,
     "count_check": count_check,
     "checksum_check": checksum_check,
     "fan_out_check": fan_out_check,
@@ -444,11 +478,24 @@ SQL = {
         SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem']) AS table_name,
           (SELECT count(*) FROM nation WHERE n_nationkey = 7 AND n_nationkey <> 7) AS "rows"
     """,
-    "versioned_load": " UNION ALL ".join(
+    "versioned_load": _LINES + " UNION ALL ".join(
         f"""SELECT {v} AS version, 'orders' AS table_name, ({_STEP_SQL[kind]}) AS "rows"
-        UNION ALL SELECT {v}, 'customer', (SELECT count(*) FROM customer WHERE {v} <> 4 OR c_nationkey <> 7)"""
+        UNION ALL SELECT {v}, 'customer', (SELECT count(*) FROM customer WHERE {v} <> 4 OR c_nationkey <> 7)
+        UNION ALL SELECT {v}, 'lineitem', (SELECT count(*) FROM lines WHERE {v} < 4 OR NOT gone OR ({v} = 5 AND back))"""
         for v, kind in _STEPS
     ),
+    "incremental_load": """
+        WITH o AS (SELECT *, o_orderdate < TIMESTAMP '1998-01-01' AS early FROM orders),
+        c AS (SELECT count(*) AS n, sum(c_custkey) AS s FROM customer), k AS (SELECT count(*) AS n, sum(c_custkey) AS s FROM customer WHERE c_nationkey <> 7)
+        SELECT 1 AS version, 'customer' AS table_name, n AS "rows", s::DOUBLE AS total, n AS written FROM c
+        UNION ALL SELECT v, 'customer', n, s::DOUBLE, 0 FROM c, (SELECT unnest([2, 3]) AS v)
+        UNION ALL SELECT v, 'customer', n, s::DOUBLE, 0 FROM k, (SELECT unnest([4, 5]) AS v)
+        UNION ALL SELECT 1, 'orders', count(*), sum(o_totalprice)::DECIMAL(20, 2)::DOUBLE, count(*) FROM o WHERE early
+        UNION ALL SELECT 2, 'orders', count(*), sum(o_totalprice)::DECIMAL(20, 2)::DOUBLE, count(*) FILTER (WHERE NOT early) FROM o
+        UNION ALL SELECT v, 'orders', count(*), sum(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END)::DECIMAL(20, 2)::DOUBLE,
+            CASE v WHEN 3 THEN count(*) FILTER (WHERE o_orderstatus = 'P') WHEN 4 THEN 0 ELSE count(*) FILTER (WHERE o_orderstatus <> 'P') END
+            FROM o, (SELECT unnest([3, 4, 5]) AS v) GROUP BY v
+    """,
     "count_check": f"""
         SELECT 'customer' AS table_name, count(*) AS source_rows, count(*) AS target_rows, true AS equal FROM customer
         UNION ALL SELECT 'orders', count(*), count(*), true FROM orders
