@@ -12,30 +12,32 @@ five-word shingles, weighted by how often a document has them.
    merged before, and only one document of each takes part.
 3. Links are verified on the shingles of the whole texts.  First, members of a
    bucket are compared with the bucket's first document, in blocks.  Links make
-   classes.  Of a bucket that then still has several classes, every block is
-   compared with every other, so that no link between candidates is lost,
-   whatever the first document was like.  A block's pairs never leave the task:
+   classes.  Of a bucket that then still has several classes, all documents in
+   different classes are compared, so that no link between candidates is lost,
+   whatever the first document was like; the largest class is not compared with
+   itself.  A block's pairs never leave the task:
    one matrix product gives the shares they have in common, which bound the
    similarity; what passes is computed in full, and links are all that is returned.
 
 A document of fewer than five words has one shingle, all its words; without
 words it is equal to all such documents (null and empty texts).  The class id is
-the least doc_id of the class.  Rows with the same doc_id are one document in the
-result.  An empty table gives an empty result; extra columns are ignored.
+the least doc_id of the class, null if it has no id.  Each text is compared, also if
+ids are null or repeated: an id with texts in several classes has a row for each.
+Equal rows are one.  An empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenantry.llm.common import slices, texts
+from tenantry.llm.common import WHITE_RUN, slices, texts
 from tenantry.llm.components import connected
 from tenantry.llm.word_hashes import BASE, Words, mixed
 from tenantry.state import materialize
@@ -190,6 +192,7 @@ def possible_pairs(sets: list[tuple[np.ndarray, np.ndarray]], least: float) -> l
 
 def _sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     """doc_id, a 128-bit hash of the word sequence, and the band keys (none without words)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,28 +200,37 @@ def _sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 raws = [x.as_buffer().to_pybytes() for x in some.column(1).cast(pa.binary())]
                 shingles = Shingles(raws)
                 keys = band_keys(registers(shingles, len(raws), bands * rows), bands, rows)
-                same = [xxhash.xxh3_128_digest(b" ".join(raw.split())) for raw in raws]
                 with_words = (np.diff(shingles.upto) > 0).tolist()
                 lists = [k if w else [] for k, w in zip(keys.tolist(), with_words, strict=True)]
-                yield pa.RecordBatch.from_arrays([some.column(0).cast(pa.int64()), pa.array(same, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "same", "keys"])
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(_same(raws), pa.binary()), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "same", "keys"])
 
-    return texts(docs).mapInArrow(sketched, "doc_id long, same binary, keys array<long>")
+    return texts(docs).mapInArrow(sketched, f"doc_id {kind}, same binary, keys array<long>")
+
+
+def _same(raws: list[bytes]) -> list[bytes]:
+    return [hashlib.md5(b" ".join(raw.split()), usedforsecurity=False).digest() for raw in raws]
+
+
+def same_words(text: Column) -> Column:
+    """The same hash as a column."""
+    return F.unhex(F.md5(F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), WHITE_RUN, " "))))
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc, and its shingles as hashes and counts."""
+    """The hash of each word sequence, and its shingles as hashes and counts."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in slices(batch, "text", SLICE_BYTES):
-                shingles = Shingles([x.as_buffer().to_pybytes() for x in some.column(1).cast(pa.binary())])
+                raws = [x.as_buffer().to_pybytes() for x in some.column(0).cast(pa.binary())]
+                shingles = Shingles(raws)
                 each = [shingles.of(i) for i in range(some.num_rows)]
                 hashes = pa.array([h.tobytes() for h, _ in each], pa.binary())
                 # counts are only kept where one is not 1
                 counts = pa.array([c.astype(np.uint32).tobytes() if (c > 1).any() else b"" for _, c in each], pa.binary())
-                yield pa.RecordBatch.from_arrays([some.column(0).cast(pa.int64()), hashes, counts], names=["doc", "hashes", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(_same(raws), pa.binary()), hashes, counts], names=["same", "hashes", "counts"])
 
-    return texts(docs).mapInArrow(made, "doc long, hashes binary, counts binary")
+    return texts(docs).select("text").mapInArrow(made, "same binary, hashes binary, counts binary")
 
 
 def _links(groups: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -245,17 +257,22 @@ def _links(groups: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return materialize(together.groupBy("call").applyInArrow(linked, "u long, v long").distinct(), "links")
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id and class_id, one row per different doc_id."""
+def _grouped(docs: DataFrame, least: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and of each different word sequence the least id that has it and the class it is in.
+
+    Word sequences are what is compared, under numbers of their own, so ids may be null or repeated.
+    """
     sketches = materialize(_sketches(docs, bands, rows), "sketches")
-    firsts = materialize(sketches.groupBy("same").agg(F.min("doc_id").alias("first")), "firsts")
-    keyed = sketches.join(firsts.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("keys").alias("keys"))
-    buckets = keyed.select(F.col("doc_id").alias("doc"), F.explode("keys").alias("key"))
+    firsts = sketches.groupBy("same").agg(F.min("doc_id").alias("first"), F.max("keys").alias("keys"))
+    firsts = materialize(firsts.withColumn("doc", F.monotonically_increasing_id()), "firsts")  # written, so that numbers stay
+    buckets = firsts.select("doc", F.explode("keys").alias("key"))
     sized = buckets.groupBy("key").agg(F.min("doc").alias("leader"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = materialize(buckets.join(sized, "key"), "members")
-    wanted = members.select("doc").distinct()
-    sets = _sets(docs.join(wanted, F.col("doc_id") == F.col("doc"), "left_semi"))
-    sets = materialize(sets.groupBy("doc").agg(F.max_by("hashes", "hashes").alias("hashes"), F.max_by("counts", "hashes").alias("counts")), "sets")
+    wanted = materialize(firsts.join(members.select("doc").distinct(), "doc", "left_semi").select("doc", "same", "first"), "wanted")
+    ids = wanted.select("first").distinct()
+    sets = _sets(docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi"))
+    sets = sets.join(wanted.select("doc", "same"), "same").groupBy("doc").agg(F.max_by("hashes", "hashes").alias("hashes"), F.max_by("counts", "hashes").alias("counts"))
+    sets = materialize(sets, "sets")
 
     # first round: each bucket's first document with those it was brought together with, in blocks
     pairs = members.filter("doc <> leader").select("leader", "doc").distinct()
@@ -266,21 +283,54 @@ def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows
     found = _links(blocks.unionByName(heads).withColumn("class", F.col("doc")), sets, least)
     known = materialize(connected(found), "classes")
 
-    # second round: what is left of buckets with several classes, every block with every other
     now = members.join(known, F.col("doc") == F.col("node"), "left").select("key", "doc", F.coalesce("component", "doc").alias("class"))
-    open_ = now.groupBy(F.col("key").alias("of")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.min("class").alias("low"), F.max("class").alias("high"))
-    open_ = open_.filter("low < high").select("of", "blocks")
-    rest = now.join(open_, F.col("key") == F.col("of")).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-    crossed = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    groups = crossed.select("doc", "class", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("grp"))
-    more = _links(groups, sets, least)
+    more = _links(_across(now), sets, least)
     final = connected(found.unionByName(more))
-    merged = firsts.join(final, F.col("first") == F.col("node"), "left").select("same", F.coalesce("component", "first").alias("class_id"))
-    return sketches.select("doc_id", "same").join(merged, "same").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    return sketches, firsts.join(final, F.col("doc") == F.col("node"), "left").select("same", "first", F.coalesce("component", "doc").alias("component"))
+
+
+def _across(now: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Second round: (grp, doc, class) so that any two documents of a bucket that are in different classes meet.
+
+    A bucket's largest class is cut into blocks and the rest together into others.  Each block of the rest meets all
+    blocks of both, but blocks of the largest class never meet each other.
+    """
+    sizes = now.groupBy("key", "class").agg(F.count(F.lit(1)).alias("many"))
+    open_ = sizes.groupBy(F.col("key").alias("of")).agg(F.count(F.lit(1)).alias("classes"), F.sum("many").alias("all"), F.max(F.struct("many", "class")).alias("largest"))
+    open_ = open_.filter("classes > 1").select(
+        "of", F.col("largest.class").alias("large"), F.ceil(F.col("largest.many") / block).alias("parts"), F.ceil((F.col("all") - F.col("largest.many")) / block).alias("others")
+    )
+    placed = now.join(open_, F.col("key") == F.col("of")).withColumn("is_large", F.col("class") == F.col("large"))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("doc"), F.when(F.col("is_large"), F.col("parts")).otherwise(F.col("others"))))
+    meets_large = "transform(sequence(0L, parts - 1), p -> struct(true AS with_large, p AS x, own AS y))"
+    meets_rest = "transform(sequence(0L, others - 1), p -> struct(false AS with_large, least(own, p) AS x, greatest(own, p) AS y))"
+    from_large = "transform(sequence(0L, others - 1), p -> struct(true AS with_large, own AS x, p AS y))"
+    where = F.explode(F.expr(f"CASE WHEN is_large THEN {from_large} ELSE concat({meets_large}, {meets_rest}) END"))
+    return placed.select("key", "doc", "class", where.alias("at")).select("doc", "class", F.xxhash64("key", "at.with_large", "at.x", "at.y").alias("grp"))
+
+
+def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id and class_id: one row for each different doc_id, or for each class that an id's texts are in."""
+    sketches, grouped = _grouped(docs, least, bands, rows)
+    named = grouped.groupBy("component").agg(F.min("first").alias("class_id"))
+    return sketches.select("doc_id", "same").join(grouped, "same").join(named, "component").select("doc_id", "class_id").distinct()
 
 
 def keep_first(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row of ``docs`` per class, with all its columns: that of the least id, and of rows with that id the one of least text."""
-    kept = classes(docs, least).filter("doc_id = class_id").select(F.col("doc_id").alias("kept_id"))
-    mine = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    return mine.withColumn("row_of_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).filter("row_of_id = 1").drop("row_of_id")
+    """One row of ``docs`` per class, with all its columns: that of the least id (null only if there is no other)."""
+    _, grouped = _grouped(docs, least, BANDS, ROWS)
+    best = grouped.groupBy("component").agg(F.min(F.struct(F.col("first").isNull().alias("none"), F.col("first").alias("id"), "same")).alias("best"))
+    kept = materialize(best.select(F.col("best.id").alias("__id"), F.col("best.same").alias("__same")), "kept")
+    columns = docs.columns
+
+    def one_each(rows: DataFrame, *key: str) -> DataFrame:
+        """The row of least text of each key."""
+        turn = F.row_number().over(Window.partitionBy(*key).orderBy("text"))
+        return rows.withColumn("__turn", turn).filter("__turn = 1").select(*columns)
+
+    # an id has one text as a rule, so that it decides; repeated ids are told apart by the text
+    by_id = kept.filter("__id IS NOT NULL").groupBy("__id").agg(F.collect_set("__same").alias("__sames"))
+    named = docs.filter("doc_id IS NOT NULL").join(by_id, F.col("doc_id") == F.col("__id")).withColumn("__same", same_words(F.col("text")))
+    nameless = docs.filter("doc_id IS NULL").withColumn("__word_hash", same_words(F.col("text")))
+    nameless = nameless.join(kept.filter("__id IS NULL"), F.col("__word_hash") == F.col("__same"), "left_semi")
+    return one_each(named.filter(F.array_contains("__sames", F.col("__same"))), "doc_id", "__same").unionByName(one_each(nameless, "__word_hash"))

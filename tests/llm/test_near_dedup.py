@@ -96,3 +96,31 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(100, 130)] + [(5, 1), (5, 9), (9, 3), (7, 7), (1, 5)] + [(200, i) for i in range(201, 240)]
     got = {r.node: r.component for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 100 for i in range(100, 131)} | {1: 1, 5: 1, 9: 1, 3: 1} | {i: 200 for i in range(200, 240)}
+
+
+def test_null_and_repeated_ids(documents, rows):
+    docs = documents([(None, "a b"), (None, "c d"), (None, "c d"), (1, "e f"), (1, "g h"), (2, "g  h"), (3, "a b")])
+    assert rows(near_dedup.classes(docs)) == rows(near_dedup.classes(docs).distinct())
+    got = Counter(tuple(r) for r in near_dedup.classes(docs).collect())
+    assert got == Counter([(None, None), (None, 3), (1, 1), (2, 1), (3, 3)])
+    kept = near_dedup.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(None, "c d"), (1, "e f"), (1, "g h"), (3, "a b")])
+
+
+def test_columns_of_names_used_inside(documents):
+    docs = documents([(1, "a b"), (2, "a b")]).selectExpr("*", "3 AS kept_id", "4 AS row_of_id", "5 AS same", "6 AS doc", "7 AS first")
+    kept = near_dedup.keep_first(docs)
+    assert kept.columns == docs.columns and [tuple(r)[-5:] for r in kept.collect()] == [(3, 4, 5, 6, 7)]
+
+
+def test_second_round_is_linear_in_the_largest_class(spark):
+    rows = [("k", i, 1) for i in range(2000)] + [("k", 5000 + i, 2 + i % 3) for i in range(20)] + [("l", 1, 1), ("l", 2, 1)]
+    placed = near_dedup._across(spark.createDataFrame(rows, "key string, doc long, class long"), block=100).collect()
+    groups = defaultdict(list)
+    for r in placed:
+        groups[r.grp].append((r.doc, r["class"]))
+    met = {(a, b) for g in groups.values() for a, x in g for b, y in g if x != y}
+    docs = {d: c for k, d, c in rows if k == "k"}
+    assert met == {(a, b) for a in docs for b in docs if docs[a] != docs[b]}
+    assert len(placed) < 2000 + 20 * 22 + 1
