@@ -5,8 +5,8 @@ has not seen is read as ``_word_``; the longest n-grams of which at least one is
 score in its place, as the mean over the known ones, and if none of any length is known
 the word says nothing.  A text's language is the one with the highest mean over all its
 words; the score is that language's share if the means are taken as evidence of one
-word, exp(mean) of the best over the sum.  Frequencies are smoothed, as a word known in
-one language may be new to another.
+word, exp(mean) of the best over the sum.  An entry that a language lacks has the same low
+frequency in all languages.
 
 The model is fitted on a bounded number of labelled texts (``sample_rows``), dealt out
 evenly over the languages, all of which are read whole; counting is a distributed
@@ -40,7 +40,9 @@ N = 5
 SAMPLE_ROWS, CELLS = 20_000, 800_000
 #: Longer words are not kept; their n-grams are.
 WORD_BYTES = 64
-SMOOTHING = 0.1
+#: Times that an entry counts in a language without it, out of the entries of the language with most of them, so that
+#: languages with little text gain nothing.
+UNSEEN = 0.1
 SLICE_BYTES = 2 << 20
 
 _NO_LETTERS = r"[^\p{L}\p{M}]+"
@@ -190,7 +192,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, cells: int = CELLS, n:
             for lang, many in by:
                 number[row, column[lang]] = many
         total = np.asarray([totals.get((kind, lang), 0) for lang in languages], np.float64)
-        logs = np.log((number + SMOOTHING) / (total + SMOOTHING * (kept.num_rows + 1)))
+        seen = np.log(np.maximum(number, 1) / np.maximum(total, 1))
+        logs = np.where(number > 0, seen, np.log(UNSEEN / max(1.0, total.max(initial=0))))
         model.entries.append(kept["entry"].combine_chunks())
         model.logs.append(logs.astype(np.float32))
     return model

@@ -94,7 +94,7 @@ def build(docs: DataFrame, tree: str = "lang", order: str = "doc_id", fields: Se
     roots = materialize(roots, "subroots")
     crown = grown(roots)
     root = roots.filter("n = 1").select("digest").union(crown.filter("is_top").select("digest")).first()
-    trees = proven(roots, crown, None).select(
+    trees = proven(roots, roots, crown, None).select(
         F.col("of_tree").alias("tree"), F.col("pos").alias("tree_pos"), F.col("digest").alias("subroot"), F.col("siblings").alias("above"), F.lit(root and root.digest).alias("root")
     )
     return Manifest(leaves, nodes, materialize(trees, "trees"))
@@ -171,7 +171,7 @@ def folded(digest: str, position: int, siblings: Sequence[str | None]) -> str:
     return digest
 
 
-def proven(claims: DataFrame, nodes: DataFrame, trees: DataFrame | None, bits: int = BITS) -> DataFrame:
+def proven(claims: DataFrame, leaves: DataFrame, nodes: DataFrame, trees: DataFrame | None, bits: int = BITS) -> DataFrame:
     """Each claim (a row of ``leaves`` with its own ``claimed`` digest) with its proof and the root that follows from it.
 
     Any set of leaves may be given.  With ``trees`` proofs go on to the root of all; ``siblings`` are null at levels
@@ -186,7 +186,7 @@ def proven(claims: DataFrame, nodes: DataFrame, trees: DataFrame | None, bits: i
                          "level": pa.array([p[0] for p in places], pa.int32()), "idx": pa.array([p[1] for p in places], pa.int64())})
 
     places = materialize(claims.select("tree", "block", "pos", "n").groupBy("tree", "block").applyInArrow(wanted, _WANTED), "wanted")
-    fetched = _fetched(places, claims, nodes, bits)
+    fetched = _fetched(places, leaves, nodes, bits)
     none = F.lit(None)
     fetched = fetched.select("tree", "block", "level", "idx", "digest", none.cast("array<string>").alias("above"), none.cast("string").alias("root"))
     if trees is not None:
@@ -247,7 +247,7 @@ def _fetched(places: DataFrame, leaves: DataFrame, nodes: DataFrame, bits: int)
 def verify(docs: DataFrame, claims: Sequence[Column], tree: str = "lang", order: str = "doc_id", fields: Sequence[str] = FIELDS) -> DataFrame:
     """Each row of a table with its proof against the table's manifest, where ``claims`` are the values it is said to have."""
     made = build(docs, tree, order, fields, {"claimed": leaf(claims)})
-    out = proven(made.leaves, made.nodes, made.trees).withColumn("verified", F.col("folded_root") == F.col("root"))
+    out = proven(made.leaves, made.leaves, made.nodes, made.trees).withColumn("verified", F.col("folded_root") == F.col("root"))
     return out.select(F.col("key").alias(order), F.col("digest").alias("leaf"), "subroot", "root", "siblings", "proof_sha256", "folded_root", "verified")
 
 

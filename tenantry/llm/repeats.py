@@ -37,6 +37,9 @@ from tenantry.state import materialize
 CHUNK_BYTES = 2 << 20
 SHARD_BYTES = 2 << 20
 
+#: Stands for a null id; real ids are greater.
+NO_ID = -(1 << 63)
+
 
 class Chunk:
     """Documents in a row: their ids, and their UTF-8 bytes one after the other."""
@@ -311,7 +314,11 @@ def judge_segments(segments: DataFrame, method: Method) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, method: Method, carry: tuple[str, ...] = (), chunk_bytes: int = CHUNK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """One row per document, as ``method.result`` makes it, and the columns ``carry`` of ``docs``."""
+    """One row per document, as ``method.result`` makes it, and the columns ``carry`` of ``docs``.
+
+    Null ids are one id that is smaller than all others; documents that share an id do not take from each other.
+    """
+    docs = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
     chunks = pack_chunks(docs, chunk_bytes, carry)
     total = chunks.agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
@@ -343,4 +350,5 @@ def remove_repeats(docs: DataFrame, method: Method, carry: tuple[str, ...] = (),
             out.append(made)
         return pa.concat_tables(out)
 
-    return chunks.select("chunk", "blob").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(finished, schema)
+    done = chunks.select("chunk", "blob").groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(finished, schema)
+    return done.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))

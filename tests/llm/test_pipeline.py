@@ -38,5 +38,5 @@ def test_run_and_guard(spark, folder):
     import __spark_entry__
 
     assert not corpus_pipeline.run(spark, folder).isEmpty()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in __spark_entry__.queries() if re.match(r"op\d+_", q)}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in __spark_entry__.queries() if re.match(r"op\d+_", q)}
     assert "pipeline" in __spark_entry__.queries()

@@ -130,3 +130,13 @@ def test_sliding():
     values = np.asarray([3, 1, 4, 1, 5, 9, 2, 6], np.uint64)
     for width in range(1, 9):
         assert repeats.sliding(np.minimum, values, width).tolist() == [min(values[i : i + width]) for i in range(9 - width)]
+
+
+def test_null_ids(documents):
+    line = "one line of more than fifty bytes that three of the documents have"
+    got = Counter(tuple(r) for r in suffix_dedup.remove_repeated_strings(documents([(None, line), (None, line), (4, line), (5, "other")]), outputs=False).select("doc_id", "n_bytes", "n_removed").collect())
+    size = len(line)
+    assert got == Counter([(None, size, 0), (None, size, 0), (4, size, size), (5, 5, 0)])
+    words = " ".join(f"w{i}" for i in range(40))
+    got = Counter(tuple(r) for r in fm_dedup.remove_repeated_windows(documents([(None, words), (3, words)]), outputs=False).select("doc_id", "n_words", "n_removed").collect())
+    assert got == Counter([(None, 40, 40), (3, 40, 40)])
