@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tenantry.model import ForeignKey, Tables
 from tenantry.skew import keep_matching, look_up
 from tenantry.sources.tables import matching
+from tenantry.state import materialize
 
 
 def extract_direct(df: DataFrame, where: Mapping[str, object]) -> DataFrame:
@@ -54,24 +55,64 @@ def table_order(tables: Sequence[str], keys: Sequence[ForeignKey], broken: Seque
     return list(sorter.static_order())
 
 
-def _with_all_parents(df: DataFrame, keys: Sequence[ForeignKey], extracted: Tables) -> DataFrame:
-    """Rows where every non-null foreign key was extracted, and at least one is non-null."""
+def _with_all_parents(df: DataFrame, keys: Sequence[ForeignKey], extracted: Tables, more: Mapping[str, Sequence[DataFrame]]) -> DataFrame:
+    """Rows where every non-null foreign key was extracted, and at least one is non-null.
+
+    Rows in ``more`` are there for others that refer to them: they may be referred to, but bring no rows of their own.
+    """
     if len(keys) == 1:
         return keep_matching(df, extracted[keys[0].parent], keys[0].pairs)
     columns = df.columns
     fits, linked = F.lit(True), F.lit(False)
     for i, key in enumerate(keys):
-        marks = extracted[key.parent].select(*key.keys).distinct()
-        marks = marks.toDF(*[f"__p{i}_{j}" for j in range(len(key.keys))]).withColumn(f"__hit{i}", F.lit(True))
+        marks = extracted[key.parent].select(*key.keys).distinct().withColumn("__own", F.lit(True))
+        for part in more.get(key.parent, ()):
+            marks = marks.unionByName(part.select(*key.keys).distinct().withColumn("__own", F.lit(False)))
+        if more.get(key.parent):
+            marks = marks.groupBy(*key.keys).agg(F.max("__own").alias("__own"))
+        marks = marks.toDF(*[f"__p{i}_{j}" for j in range(len(key.keys))], f"__own{i}")
         df = look_up(df, marks, [(c, f"__p{i}_{j}") for j, c in enumerate(key.columns)])
-        hit = F.coalesce(F.col(f"__hit{i}"), F.lit(False))
         empty = F.lit(False)
         for c in key.columns:
             empty = empty | F.col(c).isNull()
-        fits, linked = fits & (hit | empty), linked | hit
+        fits, linked = fits & (F.col(f"__own{i}").isNotNull() | empty), linked | F.coalesce(F.col(f"__own{i}"), F.lit(False))
     return df.filter(fits & linked).select(*columns)
 
 
+def _referred_in_turn(tables: Tables, own: Tables, more: dict[str, list[DataFrame]], name: str, keys: Sequence[ForeignKey]) -> None:
+    """Adds to ``more`` what the rows of a table refer to in it, what those refer to, and so on, in any table that is there.
+
+    Each round only follows the rows that are new, and only looks for keys that are not there yet.
+    """
+    known: dict[tuple[str, tuple[str, ...]], DataFrame] = {}
+    new = {name: own[name]}
+    first = True
+    while new:
+        wanted: dict[tuple[str, tuple[str, ...]], DataFrame] = {}
+        for key in keys:
+            # rows that were extracted have all they refer to in other tables
+            if key.child not in new or key.parent not in own or (first and key.child != key.parent):
+                continue
+            values, at = new[key.child].select(*key.columns).dropna().toDF(*key.keys), (key.parent, key.keys)
+            wanted[at] = wanted[at].unionByName(values) if at in wanted else values
+        first, found = False, {}
+        for (parent, columns), values in wanted.items():
+            pairs = [(c, c) for c in columns]
+            if (parent, columns) not in known:
+                there = own[parent].select(*columns)
+                for part in more.get(parent, ()):
+                    there = there.unionByName(part.select(*columns))
+                known[parent, columns] = materialize(there.dropna().distinct(), "known")
+            lacking = materialize(keep_matching(values.distinct(), known[parent, columns], pairs, absent=True), "lacking")
+            if lacking.isEmpty():
+                continue
+            known[parent, columns] = known[parent, columns].unionByName(lacking)
+            rows = materialize(keep_matching(tables[parent], lacking, pairs), "referred")
+            more.setdefault(parent, []).append(rows)
+            found[parent] = found[parent].unionByName(rows) if parent in found else rows
+        new = found
+
+
 def extract_dataset(
     tables: Tables,
     keys: Sequence[ForeignKey],
@@ -87,14 +128,33 @@ def extract_dataset(
     gives the filter of tables that name the tenant differently).  A table below
     extracted tables keeps the rows whose foreign keys were all extracted.  A
     table that is neither, such as a shared code list, keeps the rows that
-    extracted rows refer to, so that the subset is closed.  A broken key is not
-    enforced.  ``save`` stores each table as it is done and returns a scan of it,
+    extracted rows refer to, so that the subset is closed.  Where a table refers to
+    itself, the rows that extracted ones refer to come too, with all that those refer
+    to in turn, but nothing below them.  A broken key is not enforced.  ``save`` stores each table as it is done and returns a scan of it,
     so that later tables read the small result instead of computing it again.
     """
     own = dict(tenant_columns or {})
     order = table_order(list(tables), keys, broken)
-    live = [k for k in keys if k not in broken and k.child != k.parent and {k.child, k.parent} <= set(tables)]
-    store = save or (lambda name, df: df)
+    linked = [k for k in keys if k not in broken and {k.child, k.parent} <= set(tables)]
+    live = [k for k in linked if k.child != k.parent]
+    looped = {k.child for k in linked if k.child == k.parent} if where or own else set()
+    # tables that may get rows later on are saved at the end
+    open_ = set(looped)
+    for name in reversed(order):
+        if any(k.parent == name and k.child in open_ for k in live):
+            open_.add(name)
+    final = save or (lambda name, df: df)
+    more: dict[str, list[DataFrame]] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return materialize(df, "extracted") if name in open_ else final(name, df)
+
+    def whole(name: str) -> DataFrame:
+        df = done[name]
+        for part in more.get(name, ()):
+            df = df.unionByName(part)
+        return df
+
     done: Tables = {}
     for name in order:
         df = tables[name]
@@ -106,14 +166,18 @@ def extract_dataset(
         elif not where and not own:
             done[name] = store(name, df)
         elif above:
-            done[name] = store(name, _with_all_parents(df, above, done))
+            done[name] = store(name, _with_all_parents(df, above, done, more))
+        if name in looped and name in done:
+            _referred_in_turn(tables, done, more, name, linked)
     for name in reversed(order):
         if name in done:
             continue
         below = [k for k in live if k.parent == name and k.child in done]
         if below:
-            done[name] = store(name, _referred(tables[name], below, done))
-    return {name: done[name] for name in order if name in done}
+            done[name] = store(name, _referred(tables[name], below, {k.child: whole(k.child) for k in below}))
+            if name in looped:
+                _referred_in_turn(tables, done, more, name, linked)
+    return {name: final(name, whole(name)) if name in open_ else done[name] for name in order if name in done}
 
 
 def _referred(df: DataFrame, keys: Sequence[ForeignKey], extracted: Tables) -> DataFrame:

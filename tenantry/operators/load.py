@@ -13,6 +13,7 @@ from tenantry.operators.extract import extract_dataset, table_order
 from tenantry.operators.target import Change, Target
 from tenantry.skew import keep_matching
 from tenantry.sources.graph import ordered_entries
+from tenantry.state import materialize
 
 
 class KeyConflict(ValueError):
@@ -164,7 +165,7 @@ def without_tenant(
 ) -> Tables:
     """The dataset after the tenant's rows, direct and through foreign keys, are taken out.
 
-    A row goes with any parent that goes.  Rows without a tenant stay.  Shared
+    A row goes with any parent that goes, also one in its own table.  Rows without a tenant stay.  Shared
     tables, which belong to no tenant, stay whole.  Doing it again changes nothing.
     """
     return _parted(tables, keys, where, tenant_columns=tenant_columns, broken=broken)[0]
@@ -189,16 +190,40 @@ def _parted(
             match = reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in direct.items()])
             theirs = F.coalesce(match, F.lit(False))
             kept[name], doomed[name] = df.filter(~theirs), df.filter(theirs)
-            continue
-        above = [k for k in keys if k not in broken and k.child == name and k.parent in doomed]
-        kept[name] = df
-        for key in above:
+        else:
+            kept[name] = df
+        above = [k for k in keys if k not in broken and k.child == name and k.parent in doomed and k.parent != name]
+        for key in above if not direct else ():
             part = keep_matching(kept[name], doomed[key.parent], key.pairs)
             doomed[name] = doomed[name].unionByName(part) if name in doomed else part
             kept[name] = keep_matching(kept[name], doomed[key.parent], key.pairs, absent=True)
+        loops = [k for k in keys if k not in broken and k.child == k.parent == name]
+        if loops and name in doomed:
+            kept[name], doomed[name] = _with_rows_below(kept[name], doomed[name], loops)
     return {name: kept[name] for name in tables}, doomed
 
 
+def _with_rows_below(kept: DataFrame, doomed: DataFrame, loops: Sequence[ForeignKey]) -> tuple[DataFrame, DataFrame]:
+    """What stays and what goes if rows go with the row of their own table that they refer to, and so on.
+
+    Rounds carry keys only, and only those that are new.
+    """
+    ids = loops[0].keys
+    if any(k.keys != ids for k in loops):
+        raise ValueError(f"{loops[0].parent} is referred to by different keys")
+    pairs = [(c, c) for c in ids]
+    steps = materialize(kept.select(*{c: None for k in loops for c in (*ids, *k.columns)}), "steps")
+    gone = new = materialize(doomed.select(*ids).dropna().distinct(), "gone")
+    while not new.isEmpty():
+        below = [keep_matching(steps, new, k.pairs).select(*ids).dropna() for k in loops]
+        new = materialize(keep_matching(reduce(DataFrame.unionByName, below).distinct(), gone, pairs, absent=True), "gone")
+        gone = gone.unionByName(new)
+    for key in loops:
+        doomed = doomed.unionByName(keep_matching(kept, gone, key.pairs))
+        kept = keep_matching(kept, gone, key.pairs, absent=True)
+    return kept, doomed
+
+
 def residual(tables: Tables, keys: Sequence[ForeignKey], where: Mapping[str, object], **options) -> DataFrame:
     """Rows of the tenant that are still there, per table; all zero after a removal."""
     left = extract_dataset(tables, keys, where, **options)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantry.model import BusinessRule, RequiredFields, Tables
+from tenantry.model import BusinessRule, ForeignKey, RequiredFields, Tables
 from tenantry.operators import extract, load, reconcile
 from tenantry.operators.anonymize import Anonymizer
 from tenantry.operators.load import Target
@@ -156,6 +156,33 @@ def rollback(spark: SparkSession, folder: str) -> DataFrame:
     return result
 
 
+def _staff(spark: SparkSession, folder: str) -> tuple[Tables, list[ForeignKey]]:
+    """Customers as staff in chains of command of sixteen across nations, with their orders."""
+    t = reader(spark, folder)
+    boss = F.when(F.col("c_custkey") % 16 != 0, F.col("c_custkey") - 1).alias("boss_id")
+    staff = t("customer").select(F.col("c_custkey").alias("id"), boss, F.col("c_nationkey").alias("nation"))
+    orders = t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("staff_id"))
+    keys = [ForeignKey.of("staff", "boss_id", "staff"), ForeignKey.of("staff", "nation", "nation", "n_nationkey"), ForeignKey.of("orders", "staff_id", "staff")]
+    return {"staff": staff, "orders": orders, "nation": t("nation")}, keys
+
+
+def _listed(found: Tables) -> DataFrame:
+    names = {"staff": "id", "orders": "id", "nation": "n_nationkey"}
+    return reduce(DataFrame.unionByName, [found[n].select(F.lit(n).alias("table_name"), F.col(c).cast("bigint").alias("id")) for n, c in names.items()])
+
+
+def extract_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
+    """The staff of a nation with all bosses above them, and the orders of the staff itself."""
+    data, keys = _staff(spark, folder)
+    return _listed(extract.extract_dataset(data, keys, {"nation": 7}))
+
+
+def remove_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left without the staff of a nation, all staff below them, and the orders of both."""
+    data, keys = _staff(spark, folder)
+    return _listed(load.without_tenant(data, keys, {"nation": 7}))
+
+
 def residual(spark: SparkSession, folder: str) -> DataFrame:
     return load.residual(_rest(spark, folder), KEYS, {}, tenant_columns=NATION)
 
@@ -401,6 +428,8 @@ QUERIES = {
     "edge_upsert": edge_upsert,
     "rollback": rollback,
     "residual": residual,
+    "extract_hierarchy": extract_hierarchy,
+    "remove_hierarchy": remove_hierarchy,
     "versioned_load": versioned_load,
     "incremental_load": incremental_load,
     "count_check": count_check,
@@ -411,7 +440,20 @@ QUERIES = {
     "row_differences": row_differences,
 }
 
+_STAFF = """
+WITH RECURSIVE staff AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 16 <> 0 THEN c_custkey - 1 END AS boss, c_nationkey AS nation FROM customer),
+own AS (SELECT id FROM staff WHERE nation = 7),
+up AS (SELECT id, boss, nation FROM staff WHERE nation = 7 UNION SELECT s.id, s.boss, s.nation FROM up JOIN staff s ON s.id = up.boss),
+down AS (SELECT id FROM own UNION SELECT s.id FROM down JOIN staff s ON s.boss = down.id)
+"""
+
 SQL = {
+    "extract_hierarchy": f"""{_STAFF} SELECT 'staff' AS table_name, id FROM up
+        UNION ALL SELECT 'orders', o_orderkey FROM orders WHERE o_custkey IN (SELECT id FROM own)
+        UNION ALL SELECT 'nation', n_nationkey FROM nation WHERE n_nationkey IN (SELECT nation FROM up)""",
+    "remove_hierarchy": f"""{_STAFF} SELECT 'staff' AS table_name, id FROM staff WHERE id NOT IN (SELECT id FROM down)
+        UNION ALL SELECT 'orders', o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT id FROM down)
+        UNION ALL SELECT 'nation', n_nationkey FROM nation""",
     "migrate_tenant": f"""
         WITH {_SUBSET},
         warned AS (SELECT count(*) FILTER (WHERE c_acctbal < 0) AS debt,
