@@ -70,3 +70,42 @@ class RequiredFields:
     table: str
     fields: tuple[str, ...]
     severity: str = "ERROR"
+
+
+@dataclass(frozen=True)
+class SchemaRule:
+    """Types, columns that must not be null, and bounds of values of a table."""
+
+    table: str
+    types: dict[str, str] = field(default_factory=dict)
+    filled: tuple[str, ...] = ()
+    bounds: dict[str, tuple[object, object]] = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class RelationRule:
+    """What holds between the rows of two tables along a key.
+
+    With ``compare`` (child column, parent column) these agree on joined rows; else
+    every parent has at least ``minimum`` children.
+    """
+
+    name: str
+    key: ForeignKey
+    compare: tuple[tuple[str, str], ...] = ()
+    minimum: int = 1
+    severity: str = "WARNING"
+
+
+@dataclass(frozen=True)
+class StoreRule:
+    """Tables of several stores agree: on the keys they have, or with ``tolerance`` on how many rows.
+
+    ``columns`` gives the key column of each table.  With ``values`` the first two tables also agree on these columns.
+    """
+
+    name: str
+    columns: dict[str, str]
+    tolerance: float | None = None
+    values: tuple[str, ...] = ()
+    severity: str = "WARNING"

@@ -128,13 +128,14 @@ def token_text(number: Column) -> Column:
 def build_tokens(values: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """``(original, surrogate)`` with one token per distinct value, numbered by value.
 
-    Values in ``stored`` keep their token; new ones continue after the last.
+    Values in ``stored`` keep their token; new ones continue after the greatest number there.
     """
     fresh = values.select(F.col(values.columns[0]).cast("string").alias("original")).dropna().distinct()
     start = 1
     if stored is not None:
         fresh = fresh.join(stored, "original", "left_anti")
-        start = stored.count() + 1
+        number = F.regexp_extract("surrogate", r"([0-9]+)$", 1).try_cast("bigint")
+        start = stored.agg(F.coalesce(F.max(number), F.lit(0)).alias("last")).first().last + 1
     numbered = number_rows(fresh, ["original"], name="number", start=start)
     tokens = numbered.select("original", token_text(F.col("number")).alias("surrogate"))
     return tokens if stored is None else stored.select("original", "surrogate").unionByName(tokens)

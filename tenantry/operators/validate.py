@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenantry.model import BusinessRule, ForeignKey, RequiredFields, RowCheck, Tables
+from tenantry.model import BusinessRule, ForeignKey, RelationRule, RequiredFields, RowCheck, SchemaRule, StoreRule, Tables
 from tenantry.skew import comparable, distinct_keys, keep_matching
 from tenantry.state import materialize
 
@@ -412,6 +412,104 @@ def row_sample(df: DataFrame, key: Sequence[str], size: int = 1000) -> DataFrame
     return df.orderBy(mark, *key).limit(size)
 
 
+# --- rules between tables and stores, as findings ----------------------------------
+
+
+def schema_checks(df: DataFrame, rules: Sequence[SchemaRule]) -> list[RowCheck]:
+    """The row checks of a table's schema rules; a column that is missing fails as such and is not looked at otherwise."""
+    checks = []
+    for rule in rules:
+        there = {c: b for c, b in rule.bounds.items() if c in df.columns}
+        needed = {c: "any type" for c in (*rule.filled, *rule.bounds) if c not in df.columns and c not in rule.types}
+        checks += type_checks(df, {**rule.types, **needed}) + not_null_checks([c for c in rule.filled if c in df.columns]) + range_checks(there)
+    return checks
+
+
+def relation_findings(tables: Tables, rules: Sequence[RelationRule]) -> list[DataFrame]:
+    """Findings of all rules between tables, with one join for each key however many rules use it.
+
+    Children are counted by key and compared columns, parents by the same, before they meet.  A rule with an absent
+    table or column is SKIPPED.
+    """
+    parts = []
+    for key in dict.fromkeys(r.key for r in rules):
+        mine, skipped = [], []
+        for r in (r for r in rules if r.key == key):
+            there = {key.child, key.parent} <= set(tables) and all(a in tables[key.child].columns for a in (*key.columns, *[a for a, _ in r.compare]))
+            (mine if there and all(b in tables[key.parent].columns for b in (*key.keys, *[b for _, b in r.compare])) else skipped).append(r)
+        if mine:
+            parts.append(_relations_of_key(tables[key.child], tables[key.parent], key, mine))
+        if skipped:
+            spark = next(iter(tables.values())).sparkSession
+            parts += [_one(spark.range(1).selectExpr("0 AS failed"), *_described(r)[:5], "SKIPPED", "") for r in skipped]
+    return parts
+
+
+def _described(rule: RelationRule) -> tuple[str, str, str, str, str, str, str]:
+    key = rule.key
+    if rule.compare:
+        return "business_rule", rule.name, key.child, ",".join(a for a, _ in rule.compare), key.parent, rule.severity, f"%d records differ from {key.parent}"
+    if rule.minimum == 1:
+        return "business_rule", rule.name, key.parent, ",".join(key.keys), key.child, rule.severity, f"%d records without {key.child}"
+    return "completeness", rule.name, key.parent, ",".join(key.keys), key.child, rule.severity, f"%d records with fewer than {rule.minimum} in {key.child}"
+
+
+def _relations_of_key(child: DataFrame, parent: DataFrame, key: ForeignKey, rules: Sequence[RelationRule]) -> DataFrame:
+    compared = list(dict.fromkeys(pair for r in rules for pair in r.compare))
+    lefts, rights = list(dict.fromkeys(a for a, _ in compared)), list(dict.fromkeys(b for _, b in compared))
+    left = child.select(*[F.col(c).alias(f"__c{i}") for i, c in enumerate(key.columns)], *[F.col(a).alias(f"__a{i}") for i, a in enumerate(lefts)])
+    left = left.groupBy(*left.columns).agg(F.count(F.lit(1)).alias("__rows"))
+    right = parent.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key.keys)], *[F.col(b).alias(f"__b{i}") for i, b in enumerate(rights)])
+    right = right.groupBy(*right.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    kinds = [(parent.schema[k].dataType, child.schema[c].dataType) for c, k in key.pairs]
+    match = reduce(lambda a, b: a & b, [x == y for x, y in (comparable(p, F.col(f"__k{i}"), c, F.col(f"__c{i}")) for i, (p, c) in enumerate(kinds))])
+    joined = right.join(left, match, "left")
+    figures = [F.coalesce(F.sum("__rows"), F.lit(0)).alias("__children")]
+    for i, r in enumerate(rules):
+        if r.compare:
+            differs = reduce(lambda a, b: a | b, [~F.col(f"__a{lefts.index(a)}").eqNullSafe(F.col(f"__b{rights.index(b)}")) for a, b in r.compare])
+            figures.append(F.coalesce(F.sum(F.when(differs, F.col("__rows"))), F.lit(0)).alias(f"__d{i}"))
+    per_parent = joined.groupBy(*right.columns).agg(*figures)
+    totals = [
+        F.coalesce(F.sum(F.col("__copies") * F.col(f"__d{i}")) if r.compare else F.sum(F.when(F.col("__children") < r.minimum, F.col("__copies"))), F.lit(0)).alias(f"f{i}")
+        for i, r in enumerate(rules)
+    ]
+    return _as_rows(per_parent.agg(*totals), [_described(r) for r in rules])
+
+
+def _as_rows(totals: DataFrame, findings: Sequence[tuple]) -> DataFrame:
+    """Findings for a frame of one row with a count ``f0``, ``f1`` and so on for each."""
+    rows = []
+    for i, f in enumerate(findings):
+        columns = _finding(*f[:-1], f"f{i}", f[-1])
+        rows.append(f"named_struct({', '.join(f'{_text(name)}, {value}' for name, value in columns.items())})")
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def store_findings(tables: Tables, rules: Sequence[StoreRule]) -> list[DataFrame]:
+    """Findings of the rules between stores; a rule with fewer than two of its tables is SKIPPED."""
+    parts = []
+    for rule in rules:
+        present = {name: tables[name].select(c) for name, c in rule.columns.items() if name in tables and c in tables[name].columns}
+        names = list(present)
+        finding = ("cross_store", rule.name, names[0] if names else None, rule.columns[names[0]] if names else None, ",".join(names[1:]) or None)
+        if len(present) < 2:
+            parts.append(_one(next(iter(tables.values())).sparkSession.range(1).selectExpr("0 AS failed"), *finding, "SKIPPED", ""))
+        elif rule.tolerance is not None:
+            failed = count_tolerance(present, rule.tolerance).select(F.when(F.col("within"), 0).otherwise(1).alias("failed"))
+            parts.append(_one(failed, *finding, rule.severity, f"row counts differ by more than {rule.tolerance}"))
+        else:
+            keyed = {n: df.toDF("key").dropna() for n, df in present.items()}
+            failed = not_in_every_store(keyed).agg(F.count(F.lit(1)).alias("failed"))
+            parts.append(_one(failed, *finding, rule.severity, "%d keys are not in every store"))
+        if rule.values and len(present) >= 2:
+            first, second = names[:2]
+            other = tables[second].withColumnRenamed(rule.columns[second], rule.columns[first])
+            found = conflicts(tables[first], other, [rule.columns[first]], rule.values).agg(F.coalesce(F.sum("conflicts"), F.lit(0)).alias("failed"))
+            parts.append(_one(found, "cross_store", rule.name, first, ",".join(rule.values), second, rule.severity, "%d values differ between stores"))
+    return parts
+
+
 # --- outcome --------------------------------------------------------------------
 
 
@@ -490,8 +588,11 @@ def validate_dataset(
     as_of: str | None = None,
     tenant: tuple[str, object] | None = None,
     custom: CustomChecks | None = None,
+    schemas: Sequence[SchemaRule] = (),
+    relations: Sequence[RelationRule] = (),
+    stores: Sequence[StoreRule] = (),
 ) -> DataFrame:
-    """All checks over a dataset: one pass per table, one join per foreign key, one grouping per key."""
+    """All checks over a dataset: one pass per table, one join per foreign key for orphans and one for all rules along it."""
     if not tables:
         raise ValueError("there is nothing to validate")
     parts = []
@@ -499,6 +600,7 @@ def validate_dataset(
         need = [r for r in required if r.table == name]
         id_column = (primary_keys or {}).get(name, ("id",))
         checks = null_checks(df) + business_checks([r for r in rules if r.table == name]) + required_checks(df, need)
+        checks += schema_checks(df, [r for r in schemas if r.table == name])
         if len(id_column) == 1:
             checks += id_checks(df, id_column[0])
         if as_of is not None:
@@ -515,6 +617,7 @@ def validate_dataset(
     present = [key for key in keys if key.child in tables]
     if present:
         parts.append(reference_findings(tables, present))
+    parts += relation_findings(tables, relations) + store_findings(tables, stores)
     if custom is not None:
         parts += custom.run(tables)
     return union_all(parts)

@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantry.model import BusinessRule, ForeignKey, RequiredFields, Tables
+from tenantry.model import BusinessRule, ForeignKey, RelationRule, RequiredFields, SchemaRule, StoreRule, Tables
 from tenantry.operators import validate
 from tenantry.operators.anonymize import Anonymizer, matched_columns, suspicious_values
 from tenantry.operators.extract import extract_dataset, table_order
@@ -37,6 +37,25 @@ class Plan:
     custom: validate.CustomChecks | None = None
     fail_on_warnings: bool = False
     max_warnings: int | None = None
+    schemas: Sequence[SchemaRule] = ()
+    relations: Sequence[RelationRule] = ()
+    stores: Sequence[StoreRule] = ()
+    #: Load although the decision is REVIEW.
+    reviewed: bool = False
+
+    def checks(self) -> dict:
+        """What ``validate_dataset`` takes of this plan."""
+        return {
+            "keys": [k for k in self.keys if k not in self.broken],
+            "primary_keys": self.primary_keys,
+            "rules": self.rules,
+            "required": self.required,
+            "as_of": self.anonymizer.as_of,
+            "custom": self.custom,
+            "schemas": self.schemas,
+            "relations": self.relations,
+            "stores": self.stores,
+        }
 
 
 @dataclass
@@ -84,6 +103,7 @@ def migrate_tenant(
 
     Every phase writes its tables once, and the next phase reads them; the work
     folder is also where a run can be taken up again, by passing ``extracted``.
+    Warnings that call for a review stop the load until the plan is ``reviewed``.
     ``dry_run`` does everything but load; ``validation_only`` validates the given
     ``extracted`` tables as they are.
     """
@@ -124,15 +144,7 @@ def migrate_tenant(
 
     begin = time.monotonic()
     findings = save(
-        validate.validate_dataset(
-            data,
-            keys=[k for k in plan.keys if k not in plan.broken],
-            primary_keys=plan.primary_keys,
-            rules=plan.rules,
-            required=plan.required,
-            as_of=plan.anonymizer.as_of,
-            custom=plan.custom,
-        ),
+        validate.validate_dataset(data, **plan.checks()),
         f"{folder}/findings.parquet",
     )
     outcome = (
@@ -140,6 +152,8 @@ def migrate_tenant(
     )
     passed = outcome["overall_status"] != "FAILED"
     message = None if passed else f"Validation failed: {outcome['total_failed']} checks failed"
+    if passed and outcome["decision"] == "REVIEW" and not plan.reviewed:
+        message = f"{outcome['total_warnings']} warnings have to be reviewed before the load"
     log.add(
         "validation",
         None,
@@ -149,7 +163,8 @@ def migrate_tenant(
         warnings=outcome["total_warnings"],
         message=message,
     )
-    if passed and not (skip_load or dry_run or validation_only):
+    waits = outcome["decision"] == "REVIEW" and not plan.reviewed
+    if passed and not (waits or skip_load or dry_run or validation_only):
         begin = time.monotonic()
         order = table_order(list(data), plan.keys, plan.broken)
         loaded = load_dataset(target, data, plan.primary_keys, plan.strategy, order=order, note=run_id)
@@ -163,9 +178,7 @@ def validate_migration(expected: Tables, target: Tables, plan: Plan) -> dict[str
     """All checks on what was loaded, and its comparison with what should have been."""
     shared = [k for k in plan.keys if k.child in expected and k.child in target]
     return {
-        "findings": validate.validate_dataset(
-            target, keys=plan.keys, primary_keys=plan.primary_keys, rules=plan.rules, required=plan.required
-        ),
+        "findings": validate.validate_dataset(target, **plan.checks()),
         "counts": compare_counts(expected, target),
         "checksums": compare_checksums(expected, target),
         "fan_out": compare_fan_out(expected, target, shared),

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantry.model import BusinessRule, ForeignKey, RequiredFields, Tables
+from tenantry.model import BusinessRule, ForeignKey, RelationRule, RequiredFields, SchemaRule, StoreRule, Tables
 from tenantry.operators import extract, load, reconcile
 from tenantry.operators.anonymize import Anonymizer
 from tenantry.operators.load import Target
@@ -322,6 +322,14 @@ def migration_plan(**options) -> migrate.Plan:
             BusinessRule("balance_positive", "customer", "c_acctbal >= 0", "WARNING"),
         ),
         required=(RequiredFields("order_fields", "orders", ("o_orderkey", "o_custkey"), "ERROR"),),
+        schemas=(SchemaRule("orders", {"o_orderkey": "bigint"}, ("o_custkey",), {"o_totalprice": (0, 10**9)}),),
+        relations=(
+            RelationRule("orders_have_lines", KEYS[4]),
+            RelationRule("minimum_lines", KEYS[4], minimum=3),
+            RelationRule("line_status_matches", KEYS[4], (("l_linestatus", "o_orderstatus"),)),
+            RelationRule("customers_have_orders", KEYS[3]),
+        ),
+        stores=(StoreRule("customers_everywhere", {"customer": "c_custkey", "orders": "o_custkey"}),),
         **options,
     )
 
@@ -440,6 +448,13 @@ QUERIES = {
     "row_differences": row_differences,
 }
 
+_RELATIONS = """
+idle AS (SELECT count(*) FILTER (WHERE c_custkey NOT IN (SELECT o_custkey FROM o)) AS idle FROM c),
+lines AS (SELECT count(*) FILTER (WHERE n = 0) AS none, count(*) FILTER (WHERE n < 3) AS few
+  FROM (SELECT o_orderkey, count(l_orderkey) AS n FROM o LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY 1)),
+odd AS (SELECT count(*) AS odd FROM l JOIN o ON l_orderkey = o_orderkey WHERE l_linestatus <> o_orderstatus)
+"""
+
 _STAFF = """
 WITH RECURSIVE staff AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 16 <> 0 THEN c_custkey - 1 END AS boss, c_nationkey AS nation FROM customer),
 own AS (SELECT id FROM staff WHERE nation = 7),
@@ -455,17 +470,23 @@ SQL = {
         UNION ALL SELECT 'orders', o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT id FROM down)
         UNION ALL SELECT 'nation', n_nationkey FROM nation""",
     "migrate_tenant": f"""
-        WITH {_SUBSET},
+        WITH {_SUBSET}, {_RELATIONS},
         warned AS (SELECT count(*) FILTER (WHERE c_acctbal < 0) AS debt,
             count(*) FILTER (WHERE NOT regexp_full_match({made_sql('email', 'email_addresses', "lower(c_name) || '@corp.example.com'")}, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}')) AS mail,
             count(*) FILTER (WHERE NOT regexp_full_match({made_sql('phone_number', 'phone_numbers', 'c_custkey')}, '[0-9]{{3}}-[0-9]{{3}}-[0-9]{{4}}')) AS phone FROM c)
         SELECT 'extraction' AS phase, table_name, "rows", 0 AS fields, true AS success, 0 AS warnings FROM counts
         UNION ALL SELECT 'anonymization', table_name, "rows", fields, true, 0 FROM counts
-        UNION ALL SELECT 'validation', NULL, 69, 0, true, (debt > 0)::INT + (mail > 0)::INT + (phone > 0)::INT FROM warned
+        UNION ALL SELECT 'validation', NULL, 77, 0, true, (debt > 0)::INT + (mail > 0)::INT + (phone > 0)::INT
+            + 2 * (idle > 0)::INT + (none > 0)::INT + (few > 0)::INT + (odd > 0)::INT FROM warned, idle, lines, odd
         UNION ALL SELECT 'loading', table_name, "rows", 0, true, 0 FROM counts WHERE "rows" > 0
     """,
-    "validate_migration": """
-        SELECT 'findings' AS part, 'balance_positive' AS name FROM customer WHERE c_nationkey = 7 AND c_acctbal < 0 GROUP BY 1
+    "validate_migration": f"""
+        WITH {_SUBSET}, {_RELATIONS}
+        SELECT 'findings' AS part, unnest(CASE WHEN idle > 0 THEN ['customers_have_orders', 'customers_everywhere'] ELSE [] END) AS name FROM idle WHERE EXISTS (SELECT 1 FROM o)
+        UNION ALL SELECT 'findings', 'orders_have_lines' FROM lines WHERE none > 0 AND EXISTS (SELECT 1 FROM l)  -- empty tables are not loaded
+        UNION ALL SELECT 'findings', 'minimum_lines' FROM lines WHERE few > 0 AND EXISTS (SELECT 1 FROM l)
+        UNION ALL SELECT 'findings', 'line_status_matches' FROM odd WHERE odd > 0
+        UNION ALL SELECT 'findings' AS part, 'balance_positive' AS name FROM customer WHERE c_nationkey = 7 AND c_acctbal < 0 GROUP BY 1
         UNION ALL SELECT 'findings', 'phone_format_valid' FROM customer WHERE c_nationkey = 7 AND c_acctbal < 0 GROUP BY 1
         UNION ALL SELECT 'checksums', 'customer' FROM customer WHERE c_nationkey = 7 AND c_acctbal < 0 GROUP BY 1
     """,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantry.model import BusinessRule, ForeignKey, RequiredFields
+from tenantry.model import BusinessRule, ForeignKey, RelationRule, RequiredFields, StoreRule
 from tenantry.operators import validate
 from tenantry.plans.bindings import KEYS, reader, tables
 from tenantry.skew import look_up
@@ -242,6 +242,25 @@ def _stores(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {"crm": t("customer").select("c_custkey"), "shop": t("orders").select("o_custkey"), "web": t("events").select("user_id")}
 
 
+def relation_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules of every kind between tables and stores, with one join for each key."""
+    data = tables(spark, folder, "orders", "lineitem", "customer", "events")
+    lines, orders = KEYS[4], KEYS[3]
+    relations = [
+        RelationRule("orders_have_lines", lines),
+        RelationRule("minimum_lines", lines, minimum=3),
+        RelationRule("line_status_matches", lines, (("l_linestatus", "o_orderstatus"),), severity="ERROR"),
+        RelationRule("customers_have_ten_orders", orders, minimum=10),
+        RelationRule("no_such_table", KEYS[5]),
+    ]
+    stores = [
+        StoreRule("customers_everywhere", {"customer": "c_custkey", "orders": "o_custkey", "events": "user_id"}),
+        StoreRule("as_many_lines", {"lineitem": "l_orderkey", "orders": "o_orderkey"}, tolerance=0.05),
+        StoreRule("one_store", {"orders": "o_orderkey", "part": "p_partkey"}),
+    ]
+    return _short(validate.union_all(validate.relation_findings(data, relations) + validate.store_findings(data, stores)))
+
+
 def store_presence(spark: SparkSession, folder: str) -> DataFrame:
     return validate.not_in_every_store(_stores(spark, folder))
 
@@ -401,6 +420,7 @@ QUERIES = {
     "findings_by_rule": findings_by_rule,
     "validation_outcome": validation_outcome,
     "row_sample": row_sample,
+    "relation_rules": relation_rules,
     "store_presence": store_presence,
     "store_counts": store_counts,
     "store_missing": store_missing,
@@ -444,6 +464,21 @@ SQL = {
         _row("customer_has_events", "customer", "c_custkey", "WARNING", "count(*) FILTER (WHERE c_custkey NOT IN (SELECT user_id FROM events))", "%d records without events"),
         _row("documents_has_labels", "documents", "doc_id", "WARNING", "count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels))", "%d records without labels"),
     ),
+    "relation_rules": _all(
+        _row("orders_have_lines", "orders", "o_orderkey", "WARNING", "count(*) FILTER (WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))", "%d records without lineitem"),
+        _row("minimum_lines", "orders", "o_orderkey", "WARNING", "count(*) FILTER (WHERE n < 3)", "%d records with fewer than 3 in lineitem",
+             "(SELECT count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey)"),
+        _row("line_status_matches", "lineitem", "l_linestatus", "ERROR", "count(*) FILTER (WHERE l_linestatus <> o_orderstatus)",
+             "%d records differ from orders", "lineitem JOIN orders ON l_orderkey = o_orderkey"),
+        _row("customers_have_ten_orders", "customer", "c_custkey", "WARNING", "count(*) FILTER (WHERE n < 10)", "%d records with fewer than 10 in orders",
+             "(SELECT count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)"),
+        _row("no_such_table", "part", "p_partkey", "SKIPPED", "0", "", "(SELECT 1)"),
+        _row("customers_everywhere", "customer", "c_custkey", "WARNING", "count(*) FILTER (WHERE n < 3)", "%d keys are not in every store",
+             "(SELECT count(*) AS n FROM (SELECT c_custkey AS k, 1 FROM customer UNION SELECT o_custkey, 2 FROM orders UNION SELECT user_id, 3 FROM events) WHERE k IS NOT NULL GROUP BY k)"),
+        _row("as_many_lines", "lineitem", "l_orderkey", "WARNING", "((SELECT count(*) FROM lineitem) - (SELECT count(*) FROM orders) > 0.05 * (SELECT count(*) FROM lineitem))::INT",
+             "row counts differ by more than 0.05", "(SELECT 1)"),
+        _row("one_store", "orders", "o_orderkey", "SKIPPED", "0", "", "(SELECT 1)"),
+    ),
     "required_fields": _all(
         _row("line_fields", "lineitem", "l_orderkey", "ERROR", "count(*) - count(l_orderkey)", "Required field 'l_orderkey' has %d NULL values", _SPARSE),
         _row("line_fields", "lineitem", "l_tax", "ERROR", "count(*) - count(l_tax)", "Required field 'l_tax' has %d NULL values", _SPARSE),

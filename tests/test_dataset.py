@@ -7,7 +7,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tenantry.model import AnonymizationRule, BusinessRule, ForeignKey, RequiredFields
+from tenantry.model import AnonymizationRule, BusinessRule, ForeignKey, RelationRule, RequiredFields, SchemaRule, StoreRule
 from tenantry.operators import anonymize, extract, load, reconcile, report, tenants, validate
 from tenantry.operators.anonymize import Anonymizer, match_rule
 from tenantry.operators.load import KeyConflict, Target
@@ -451,3 +451,36 @@ def test_gate_and_options(spark, data):
     assert dry.outcome["overall_status"] != "FAILED" and target.version() == 0
     resumed = migrate.migrate_tenant({}, plan(), target, extracted=data, validation_only=True)
     assert resumed.tables is data and {r.phase for r in resumed.metrics.collect()} == {"validation"}
+
+
+# --- rules of all kinds -----------------------------------------------------------
+
+
+def test_rules_between_tables_and_stores(spark, data):
+    enrolled = ForeignKey.of("enrollments", "student_id", "students")
+    relations = [
+        RelationRule("any", enrolled), RelationRule("two", enrolled, minimum=2), RelationRule("course", enrolled, (("course_id", "id"),), severity="ERROR"),
+        RelationRule("no_table", ForeignKey.of("grades", "student_id", "students")), RelationRule("no_column", enrolled, (("course_id", "course"),)),
+    ]
+    found = {r.rule: r for r in validate.union_all(validate.relation_findings(data, relations)).collect()}
+    assert {name: (r.failed, r.severity) for name, r in found.items()} == {
+        "any": (1, "WARNING"), "two": (4, "WARNING"), "course": (2, "ERROR"), "no_table": (0, "SKIPPED"), "no_column": (0, "SKIPPED"),
+    }
+    assert found["two"].message == "4 records with fewer than 2 in enrollments"
+    stores = [
+        StoreRule("keys", {"students": "id", "courses": "id"}), StoreRule("counts", {"students": "id", "courses": "id"}, tolerance=0.2),
+        StoreRule("alone", {"students": "id", "none": "id"}), StoreRule("values", {"students": "id", "courses": "id"}, values=("id",)),
+    ]
+    got = sorted((r.rule, r.failed, r.severity) for r in validate.union_all(validate.store_findings(data, stores)).collect())
+    assert got == [("alone", 0, "SKIPPED"), ("counts", 1, "WARNING"), ("keys", 1, "WARNING"), ("values", 0, "WARNING"), ("values", 1, "WARNING")]
+    schema = [SchemaRule("students", {"age": "string", "phone": "int", "grade": "int"}, ("email", "missing"), {"age": (8, 25)})]
+    rows = validate.row_findings(data["students"], "students", validate.schema_checks(data["students"], schema)).collect()
+    assert [(r.column_name, r.rule, r.failed) for r in rows] == [
+        ("age", "column_type", 0), ("phone", "column_type", 0), ("grade", "column_type", 4), ("missing", "column_type", 4), ("email", "not_null", 1), ("age", "value_range", 2),
+    ]
+
+
+def test_tokens_continue_after_the_greatest(spark, rows):
+    stored = spark.createDataFrame([("a", "TOKEN_00000001"), ("c", "TOKEN_00000007")], "original string, surrogate string")
+    values = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "v string")
+    assert rows(anonymize.build_tokens(values, stored)) == [("a", "TOKEN_00000001"), ("b", "TOKEN_00000008"), ("c", "TOKEN_00000007"), ("d", "TOKEN_00000009")]
