@@ -71,6 +71,10 @@ def neighbourhood_edges(edges: DataFrame, roots: DataFrame, max_depth: int = 10)
     )
 
 
+#: Paths that are sent to every task; more of them are joined by a shuffle.
+BROADCAST_PATHS = 100_000
+
+
 def paths_from(
     nodes: DataFrame,
     edges: DataFrame,
@@ -104,8 +108,9 @@ def paths_from(
         left -= paths.count()
         if left <= 0 or depth == max_depth:
             break
-        # fewer than ``limit`` rows, see above: safe to send to every task
-        tips = F.broadcast(paths.withColumnRenamed("end_id", "tip"))
+        tips = paths.withColumnRenamed("end_id", "tip")
+        if limit - left <= BROADCAST_PATHS:
+            tips = F.broadcast(tips)
         onward = links.join(tips.withColumnRenamed("start_id", "origin"), F.col("start_id") == F.col("tip"))
         inward = links.filter("start_id <> end_id").join(
             tips.withColumnRenamed("start_id", "origin"), F.col("end_id") == F.col("tip")

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenantry.model import ForeignKey, Tables
+from tenantry.operators.ranking import number_rows
 from tenantry.sources.graph import Graph
+from tenantry.state import materialize
 
 SALT = "pepper"
 AS_OF = "2024-06-30"
@@ -96,19 +98,26 @@ def property_graph(spark: SparkSession, folder: str) -> Graph:
     return Graph(all_nodes, all_edges)
 
 
+#: Tells the rows of ``lineitem`` apart, which has no key of its own.
+LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
+
+
 def numbered_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """The edges that come from a table with a unique key, with an id of their own."""
+    """All edges with an id of their own; those of lines are numbered in the order of what tells lines apart."""
     t = reader(spark, folder)
 
     def edges(df: DataFrame, key: str, code: int, start: Column, end: Column) -> DataFrame:
-        number = (F.col(key).cast("bigint") * 4 + code).alias("edge_id")
+        number = (F.col(key).cast("bigint") * 8 + code).alias("edge_id")
         return df.select(number, start.alias("start_id"), end.alias("end_id"))
 
+    lines = materialize(number_rows(t("lineitem").select(*LINE_KEY), LINE_KEY, name="line"), "lines")
     return (
         edges(t("nation"), "n_nationkey", 0, node_id("Nation", "n_nationkey"), node_id("Region", "n_regionkey"))
         .union(edges(t("customer"), "c_custkey", 1, node_id("Customer", "c_custkey"), node_id("Nation", "c_nationkey")))
         .union(edges(t("supplier"), "s_suppkey", 2, node_id("Supplier", "s_suppkey"), node_id("Nation", "s_nationkey")))
         .union(edges(t("orders"), "o_orderkey", 3, node_id("Order", "o_orderkey"), node_id("Customer", "o_custkey")))
+        .union(edges(lines, "line", 4, node_id("Order", "l_orderkey"), node_id("Part", "l_partkey")))
+        .union(edges(lines, "line", 5, node_id("Supplier", "l_suppkey"), node_id("Part", "l_partkey")))
     )
 
 

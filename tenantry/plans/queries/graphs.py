@@ -14,20 +14,20 @@ from tenantry.state import materialize
 def khop_nodes(spark: SparkSession, folder: str) -> DataFrame:
     graph = property_graph(spark, folder)
     root = nodes_with(graph.nodes, "Nation", "id", "7")
-    near = traversal.neighbourhood_nodes(graph.nodes, graph.edges, root, max_depth=3)
+    near = traversal.neighbourhood_nodes(graph.nodes, graph.edges, root, max_depth=10)
     return near.select("node_id", F.col("labels")[0].alias("label"), entries_text(F.col("properties")).alias("properties"), "dist")
 
 
 def khop_edges(spark: SparkSession, folder: str) -> DataFrame:
     graph = property_graph(spark, folder)
     root = nodes_with(graph.nodes, "Nation", "id", "7")
-    near = traversal.neighbourhood_edges(graph.edges, root, max_depth=3)
+    near = traversal.neighbourhood_edges(graph.edges, root, max_depth=10)
     return near.select("start_id", "type", "end_id", entries_text(F.col("properties")).alias("properties"))
 
 
 def path_enumeration(spark: SparkSession, folder: str) -> DataFrame:
     graph = property_graph(spark, folder)
-    paths = traversal.paths_from(graph.nodes, numbered_edges(spark, folder), "Customer", "segment", "BUILDING", max_depth=2)
+    paths = traversal.paths_from(graph.nodes, numbered_edges(spark, folder), "Customer", "segment", "BUILDING")
     return paths.select("start_id", "end_id", F.concat_ws("-", F.col("path_edges").cast("array<string>")).alias("path"), "depth")
 
 
@@ -160,7 +160,7 @@ links AS (
 both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (
   SELECT 7::BIGINT * 8 + 1 AS v, 0 AS d
-  UNION SELECT e.b, r.d + 1 FROM reach r JOIN both_ways e ON e.a = r.v WHERE r.d < 3
+  UNION SELECT e.b, r.d + 1 FROM reach r JOIN both_ways e ON e.a = r.v WHERE r.d < 10
 ),
 dist AS (SELECT v, min(d) AS d FROM reach GROUP BY v)
 """
@@ -194,11 +194,15 @@ levels AS (SELECT name, max(level) AS level FROM walk GROUP BY name)
 
 def _paths(start: str, depth: int) -> str:
     return f"""
-WITH RECURSIVE links AS (
-  SELECT n_nationkey::BIGINT * 4 AS e, n_nationkey::BIGINT * 8 + 1 AS a, n_regionkey::BIGINT * 8 AS b FROM nation
-  UNION ALL SELECT c_custkey * 4 + 1, c_custkey * 8 + 2, c_nationkey::BIGINT * 8 + 1 FROM customer
-  UNION ALL SELECT s_suppkey * 4 + 2, s_suppkey * 8 + 3, s_nationkey::BIGINT * 8 + 1 FROM supplier
-  UNION ALL SELECT o_orderkey * 4 + 3, o_orderkey * 8 + 5, o_custkey * 8 + 2 FROM orders
+WITH RECURSIVE lines AS (
+  SELECT *, row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity) AS r FROM lineitem),
+links AS MATERIALIZED (
+  SELECT n_nationkey::BIGINT * 8 AS e, n_nationkey::BIGINT * 8 + 1 AS a, n_regionkey::BIGINT * 8 AS b FROM nation
+  UNION ALL SELECT c_custkey * 8 + 1, c_custkey * 8 + 2, c_nationkey::BIGINT * 8 + 1 FROM customer
+  UNION ALL SELECT s_suppkey * 8 + 2, s_suppkey * 8 + 3, s_nationkey::BIGINT * 8 + 1 FROM supplier
+  UNION ALL SELECT o_orderkey * 8 + 3, o_orderkey * 8 + 5, o_custkey * 8 + 2 FROM orders
+  UNION ALL SELECT r * 8 + 4, l_orderkey * 8 + 5, l_partkey * 8 + 4 FROM lines
+  UNION ALL SELECT r * 8 + 5, l_suppkey * 8 + 3, l_partkey * 8 + 4 FROM lines
 ),
 both_ways AS (SELECT e, a, b FROM links UNION ALL SELECT e, b, a FROM links),
 walk AS (
@@ -309,10 +313,10 @@ QUERIES = {
 
 SQL = {
     "khop_nodes": f"WITH RECURSIVE {_LINKS}, {_NODES} SELECT v AS node_id, label, p AS properties, d AS dist FROM dist JOIN nodes USING (v)",
-    "khop_edges": f"""WITH RECURSIVE {_LINKS}, near AS (SELECT v FROM dist WHERE d <= 2)
+    "khop_edges": f"""WITH RECURSIVE {_LINKS}, near AS (SELECT v FROM dist WHERE d <= 9)
         SELECT DISTINCT a AS start_id, t AS type, b AS end_id, p AS properties FROM links
         WHERE a IN (SELECT v FROM near) OR b IN (SELECT v FROM near)""",
-    "path_enumeration": _paths("c_mktsegment = 'BUILDING'", 2),
+    "path_enumeration": _paths("c_mktsegment = 'BUILDING'", 3),
     "path_enumeration_deep": _paths("c_custkey = 7", 3),
     "graph_schema": """
         SELECT 'label' AS kind, label AS name, count(*) AS uses FROM (

@@ -12,7 +12,7 @@ from tenantry.operators import extract, load, reconcile
 from tenantry.operators.anonymize import Anonymizer
 from tenantry.operators.load import Target
 from tenantry.plans import migrate
-from tenantry.plans.bindings import AS_OF, KEYS, SALT, STORE_OF, property_graph, reader, tables
+from tenantry.plans.bindings import AS_OF, KEYS, LINE_KEY, SALT, STORE_OF, property_graph, reader, tables
 from tenantry.plans.default_rules import ANONYMIZATION_RULES, EMAIL_FORMAT, PHONE_FORMAT
 from tenantry.plans.queries.anonymizing import made_sql
 from tenantry.plans.queries.extraction import ALL_TABLES, NATION
@@ -20,7 +20,6 @@ from tenantry.skew import look_up
 from tenantry.sources.graph import entries_text
 from tenantry.state import new_folder
 
-LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
 PRIMARY_KEYS = {
     "region": ["r_regionkey"],
     "nation": ["n_nationkey"],
@@ -117,8 +116,7 @@ def edge_upsert(spark: SparkSession, folder: str) -> DataFrame:
     graph = property_graph(spark, folder)
     t = reader(spark, folder)
     key = ["start_id", "type", "end_id"]
-    target = graph.edges.filter("type IN ('PLACED_BY', 'IN_NATION')")
-    flags = t("lineitem").select(
+    flags = t("lineitem").filter("l_shipdate >= TIMESTAMP_NTZ'1999-01-01'").select(
         (F.col("l_orderkey") * 8 + 5).alias("start_id"),
         F.lit("CONTAINS").alias("type"),
         (F.col("l_partkey") * 8 + 4).alias("end_id"),
@@ -136,7 +134,7 @@ def edge_upsert(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("o_custkey") * 8 + 2).alias("end_id"),
         F.create_map(F.lit("status"), F.col("o_orderstatus")).alias("properties"),
     )
-    merged = load.upsert_edges(target, flags.unionByName(seen).unionByName(placed), graph.nodes)
+    merged = load.upsert_edges(graph.edges, flags.unionByName(seen).unionByName(placed), graph.nodes)
     return merged.select(*key, entries_text(F.col("properties")).alias("properties"))
 
 
@@ -520,10 +518,15 @@ SQL = {
         UNION ALL SELECT o_orderkey * 8 + 5, 'Order', 'id=' || o_orderkey || ',status=' || o_orderstatus FROM orders
     """,
     "edge_upsert": """
+        WITH late AS (SELECT l_orderkey AS o, l_partkey AS p, max(l_returnflag) AS flag FROM lineitem WHERE l_shipdate >= TIMESTAMP '1999-01-01' GROUP BY 1, 2)
         SELECT c_custkey * 8 + 2 AS start_id, 'IN_NATION' AS type, c_nationkey::BIGINT * 8 + 1 AS end_id, '' AS properties FROM customer
         UNION ALL SELECT s_suppkey * 8 + 3, 'IN_NATION', s_nationkey::BIGINT * 8 + 1, '' FROM supplier
         UNION ALL SELECT o_orderkey * 8 + 5, 'PLACED_BY', o_custkey * 8 + 2, CASE WHEN o_orderdate >= DATE '1999-01-01' THEN 'status=' || o_orderstatus ELSE '' END FROM orders
-        UNION ALL SELECT l_orderkey * 8 + 5, 'CONTAINS', l_partkey * 8 + 4, 'flag=' || max(l_returnflag) FROM lineitem GROUP BY l_orderkey, l_partkey
+        UNION ALL SELECT n_nationkey::BIGINT * 8 + 1, 'IN_REGION', n_regionkey::BIGINT * 8, '' FROM nation
+        UNION ALL SELECT o * 8 + 5, 'CONTAINS', p * 8 + 4, 'flag=' || flag FROM late
+        UNION ALL SELECT l_orderkey * 8 + 5, 'CONTAINS', l_partkey * 8 + 4, 'flag=' || l_returnflag FROM lineitem
+          WHERE NOT EXISTS (SELECT 1 FROM late WHERE o = l_orderkey AND p = l_partkey)
+        UNION ALL SELECT l_suppkey * 8 + 3, 'SUPPLIES', l_partkey * 8 + 4, '' FROM lineitem
         UNION ALL SELECT user_id * 8 + 2, 'SAW', user_id * 8 + 3, 'event=' || max(event_type) FROM events
           WHERE user_id IN (SELECT s_suppkey FROM supplier) AND user_id IN (SELECT c_custkey FROM customer) GROUP BY user_id
     """,

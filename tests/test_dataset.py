@@ -447,6 +447,10 @@ def test_gate_and_options(spark, data):
     assert stopped.outcome["overall_status"] == "FAILED" and stopped.outcome["decision"] == "STOP" and target.version() == 0
     failed = report.roll_up(stopped.metrics).first()
     assert failed.overall_status == "FAILED" and failed.error_message == "Validation failed: 1 checks failed"
+    eleven = [BusinessRule(f"r{i}", "students", "age < 20", "WARNING") for i in range(11)]
+    waiting = migrate.migrate_tenant(data, plan(rules=eleven), target)
+    assert waiting.outcome["decision"] == "REVIEW" and target.version() == 0
+    assert "have to be reviewed" in waiting.metrics.filter("phase = 'validation'").first().message
     dry = migrate.migrate_tenant(data, plan(), target, dry_run=True)
     assert dry.outcome["overall_status"] != "FAILED" and target.version() == 0
     resumed = migrate.migrate_tenant({}, plan(), target, extracted=data, validation_only=True)
