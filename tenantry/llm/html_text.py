@@ -3,9 +3,13 @@
 Every paragraph earns points for its commas and its length.  It passes them to
 its ancestors, all to the nearest and less to each further one.  A container's
 points are discounted by the share of its text inside links.  The best container
-is taken, or the article around it, and beside it those siblings that score a
-fifth as much or read like paragraphs.  Scripts, forms, menus, headers, footers,
-asides and elements whose role names such a thing never take part.
+is taken, and beside it those siblings that score a fifth as much or read like
+paragraphs.  If the best container is inside an article, the whole article is
+taken, and beside it those articles whose text earns a fifth as much: an article
+says itself what belongs to it, so plain elements beside it do not.  Scripts,
+forms, menus, headers, footers, asides and elements whose role names such a thing
+never take part; of a header inside an article its headings do.  Points are
+carried upward once, so the time is linear in the page however deep it nests.
 
 A class or id that names such a thing is only a doubt, as layout wrappers have
 such names too.  A page with doubtful elements is read twice.  The first time all
@@ -77,6 +81,9 @@ _FIRST_SCORE = {"article": 10.0, "main": 10.0, "section": 3.0, "div": 5.0, "td":
 _DIVIDED = (1, 2, 6, 9, 12)
 #: By what the points of a doubtful element are divided.
 _DOUBT = 5
+#: A sibling has to have this part of the best one's points.
+_SIBLING = 5
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Page:
@@ -90,7 +97,8 @@ class Page:
         self.above, self.shown, self.own_size = [-1], [True], [0]
         self.left_out, self.doubtful = left_out, set()
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters inside links
-        self.open, self.out = [0], [False]
+        self.open: list[int] = [0]
+        self.out: list[bool | None] = [False]  # whether it is left out; None: all but headings
         self.homes = [0]  # of each open element, the block it is in
         self.opened: Counter[str] = Counter()
         self.parts: list[str] = []
@@ -117,7 +125,7 @@ class Page:
         self.flush()
 
     def text(self, piece: str) -> None:
-        if piece and not self.out[-1]:
+        if piece and self.out[-1] is False:
             piece = html.unescape(piece) if "&" in piece else piece
             self.parts.append(piece)
             self.own_size[self.open[-1]] += len(piece.strip())
@@ -163,26 +171,31 @@ class Page:
             return
         element = len(self.tags)
         names = ""
-        out = self.out[-1] or (tag in _NEVER and not (tag == "header" and (self.opened["article"] or self.opened["main"])))
-        if attributes and not out:
+        out = self.out[-1]
+        if out is None and tag in _HEADINGS:
+            out = False
+        elif tag in _NEVER:
+            out = None if out is not True and tag == "header" and (self.opened["article"] or self.opened["main"]) else True
+        if attributes and out is not True:
             given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
             names = f"{given.get('class', '')} {given.get('id', '')}"
-            out = (
+            if (
                 given.get("role", "").lower() in _NEVER_ROLE
                 or "hidden" in given
                 or given.get("aria-hidden", "").lower() == "true"
                 or "display:none" in given.get("style", "").replace(" ", "").lower()
-            )
-            if not out and tag not in ("html", "body", "article", "main") and _NEVER_NAME.search(_HARMLESS_NAME.sub("", names)):
+            ):
+                out = True
+            if out is not True and tag not in ("html", "body", "article", "main") and _NEVER_NAME.search(_HARMLESS_NAME.sub("", names)):
                 self.doubtful.add(element)
-                out = element in self.left_out
+                out = True if element in self.left_out else out
         self.above.append(self.open[-1])
-        self.shown.append(not out)
+        self.shown.append(out is False)
         self.own_size.append(0)
         self.parents.append(self.homes[-1])
         self.tags.append(tag)
         self.names.append(names)
-        if out and tag not in _BLOCK:
+        if out is not False and tag not in _BLOCK:
             self.parts.append(" ")  # words on either side of something left out stay apart
         self.open.append(element)
         self.out.append(out)
@@ -203,14 +216,6 @@ class Page:
                 return  # the end of something outside
 
 
-def ancestors(page: Page, element: int) -> list[int]:
-    found = []
-    while element > 0:
-        found.append(element)
-        element = page.parents[element]
-    return found
-
-
 def doubts(page: Page) -> frozenset[int]:
     """The elements with a doubtful name that nothing excuses."""
     count = len(page.tags)
@@ -231,7 +236,7 @@ def doubts(page: Page) -> frozenset[int]:
         if not (mains[e] or (not clean and (most or (articles[e] and not in_article[e])))):
             left.add(e)
     if left:
-        final, _, _ = scored(page, left)
+        final = scored(page, left)[0]
         e = max(final, key=lambda e: (final[e], -e)) if final else 0
         while e > 0:
             left.discard(e)
@@ -239,48 +244,61 @@ def doubts(page: Page) -> frozenset[int]:
     return frozenset(left)
 
 
-def scored(page: Page, doubtful: set[int] | frozenset[int] = frozenset()) -> tuple[dict[int, float], Counter[int], Counter[int]]:
-    """Points of containers, and of all elements the characters and those inside links."""
-    scores: dict[int, float] = {}
-    sizes: Counter[int] = Counter()
-    links: Counter[int] = Counter()
-    lowered = set()
-    for e in range(1, len(page.tags) if doubtful else 0):
-        if e in doubtful or page.above[e] in lowered:
-            lowered.add(e)
+def scored(page: Page, doubtful: set[int] | frozenset[int] = frozenset()) -> tuple[dict[int, float], list[int], list[int], dict[int, float]]:
+    """Points of containers, of all elements the characters and those inside links, and the points that text alone gave.
+
+    Children have greater numbers than their parents, so one pass from the last element to the first carries everything upward.
+    """
+    count = len(page.tags)
+    lowered = [False] * count
+    for e in range(1, count if doubtful else 0):
+        lowered[e] = e in doubtful or lowered[page.above[e]]
+    sizes, links = [0] * count, [0] * count
+    carried: dict[int, list[float]] = {}  # by element, the points that arrive there by how many containers they have passed
     for element, text, linked in page.blocks:
-        points = 1 + sum(map(text.count, ",،、，")) + min(len(text) / 100, 3.0)
-        level = 0
-        for e in ancestors(page, element):
-            if element in lowered and e not in lowered:
-                break
-            sizes[e] += len(text)
-            links[e] += linked
-            if page.tags[e] in _CONTAINERS:
-                if e not in scores:
-                    scores[e] = _FIRST_SCORE.get(page.tags[e], 0.0) + (25.0 if _LIKELY_NAME.search(page.names[e]) else 0.0)
-                scores[e] += points / _DIVIDED[min(level, len(_DIVIDED) - 1)]
-                level += 1
-    final = {e: s * (1 - links[e] / sizes[e]) / (_DOUBT if e in lowered else 1) for e, s in scores.items()}
-    return final, sizes, links
+        sizes[element] += len(text)
+        links[element] += linked
+        carried.setdefault(element, [0.0] * len(_DIVIDED))[0] += 1 + sum(map(text.count, ",،、，")) + min(len(text) / 100, 3.0)
+    final, earned = {}, {}
+    for e in range(count - 1, 0, -1):
+        levels = carried.pop(e, None)
+        if levels is None:
+            continue
+        if page.tags[e] in _CONTAINERS:
+            part = (1 - links[e] / sizes[e]) / (_DOUBT if lowered[e] else 1)
+            first = _FIRST_SCORE.get(page.tags[e], 0.0) + (25.0 if _LIKELY_NAME.search(page.names[e]) else 0.0)
+            points = sum(x / d for x, d in zip(levels, _DIVIDED, strict=True))
+            final[e], earned[e] = (first + points) * part, points * part
+            levels = [0.0, *levels[:-2], levels[-2] + levels[-1]]
+        parent = page.parents[e]
+        if lowered[e] and not lowered[parent]:
+            continue  # what is doubtful passes nothing on
+        sizes[parent] += sizes[e]
+        links[parent] += links[e]
+        there = carried.get(parent)
+        carried[parent] = levels if there is None else [x + y for x, y in zip(there, levels, strict=True)]
+    return final, sizes, links, earned
 
 
 def chosen(page: Page) -> set[int]:
     """The elements whose text is the main text; the page itself if there is no container."""
-    final, sizes, links = scored(page)
+    final, sizes, links, earned = scored(page)
     if not final:
         return {0}
-    best = max(final, key=lambda e: (final[e], -e))
-    around = [e for e in ancestors(page, best) if page.tags[e] in ("article", "main")]
-    if around:
-        return {around[-1]}
-    keep = {best}
-    enough = final[best] / 5
-    for e in sizes:
-        if page.parents[e] == page.parents[best] and e != best:
+    best = top = max(final, key=lambda e: (final[e], -e))
+    e, marked = best, False
+    while e > 0:
+        if page.tags[e] in ("article", "main"):
+            top, marked = e, True
+        e = page.parents[e]
+    keep = {top}
+    points = earned if marked else final
+    enough = points.get(top, 0.0) / _SIBLING
+    for e in range(1, len(page.tags)):
+        if page.parents[e] == page.parents[top] and e != top and sizes[e]:
             density = links[e] / sizes[e]
-            reads = page.tags[e] == "p" and (density == 0 or (sizes[e] > 80 and density < 0.25))
-            if final.get(e, 0.0) >= enough or reads:
+            reads = not marked and page.tags[e] == "p" and (density == 0 or (sizes[e] > 80 and density < 0.25))
+            if reads or (points.get(e, 0.0) >= enough and (not marked or page.tags[e] in ("article", "main"))):
                 keep.add(e)
     return keep
 
