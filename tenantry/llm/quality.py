@@ -5,14 +5,16 @@ document is rejected if one of its figures exceeds the cutoff of its stratum.
 A cutoff is only used if labelled documents prove that it rejects few good ones:
 
 * the good documents (quality 1) of a stratum that pass the base rules are its
-  holdout; ``n`` of them, of which a cutoff rejects ``k``;
+  holdout, ``n`` of them;
+* rules stand in a fixed order of levels, loosest first.  A level has a cutoff
+  for every figure and rejects what exceeds any of them, ``k`` of the holdout,
+  so that the tolerated rate holds for all figures together;
 * the exact binomial tail P(X <= k), X of n trials with the tolerated rate, is
-  the p-value of "this cutoff rejects more than tolerated";
-* each figure's cutoffs stand in a fixed order, loosest first, and are tested
-  until the first one that is not proven; the one before it is used.  Fixed
-  sequences need no correction; the chains of all strata and figures share the
-  error probability evenly (Bonferroni), and each figure gets an even share of
-  the tolerated rate, so that together they keep to it.
+  the p-value of "this level rejects more than tolerated";
+* levels are tested until the first one that is not proven; the one before it is
+  used.  A fixed sequence needs no correction; strata share the error probability
+  evenly (Bonferroni), but for those whose ``n`` is too small to prove anything
+  even with all of it: they are not tested and use up nothing.
 
 All of it is DataFrame operations.  Null text: no words, so the base rules
 reject it.  A stratum without enough labelled documents has no cutoffs and only
@@ -35,13 +37,13 @@ from tenantry.state import materialize
 #: Tolerated share of good documents rejected per stratum, and the probability that any stratum exceeds it.
 TOLERATED, RISK = 0.02, 0.1
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: By figure: cutoffs from loosest to strictest.
+#: By figure: its cutoff at each level, from loosest to strictest.
 CUTOFFS = {
-    "symbols_per_word": (8.0, 4.0, 3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05),
-    "repeat_share": (0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1),
-    "dup_lines_per_word": (1.0, 0.5, 0.2, 0.1, 0.05, 0.02, 0.01),
-    "chars_per_word": (40.0, 30.0, 20.0, 15.0, 12.0, 10.0, 9.0, 8.0, 7.0),
-    "shouts_per_word": (2.0, 1.0, 0.75, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05),
+    "symbols_per_word": (4.0, 3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05),
+    "repeat_share": (0.5, 0.48, 0.46, 0.44, 0.42, 0.4, 0.38, 0.36, 0.34, 0.3, 0.25, 0.2),
+    "dup_lines_per_word": (1.0, 0.75, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05),
+    "chars_per_word": (40.0, 30.0, 25.0, 20.0, 18.0, 16.0, 14.0, 12.0, 10.0, 9.0, 8.0, 7.0),
+    "shouts_per_word": (2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05),
 }
 
 
@@ -105,42 +107,38 @@ def binomial_tail(k: Column, n: Column, rate: float) -> Column:
     return F.when(k > n * rate, 1.0).when(k == 0, F.exp(first)).otherwise(total)
 
 
-def proven_cutoffs(measures: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, risk: float = RISK, cutoffs=CUTOFFS) -> DataFrame:
-    """stratum, figure, cutoff, n, k, p: the strictest proven cutoff of each chain that has one."""
-    good = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
-    held = measures.filter(~F.col("base_failed")).join(good.select("doc_id"), "doc_id", "left_semi")
-    steps = max(map(len, cutoffs.values()))
-    all_figures = figures()
+def kept_by(cutoffs: dict[str, tuple[float, ...]]) -> Column:
+    """The number of levels that keep the document: it is rejected from the next one on."""
 
-    def keeping(name: str) -> Column:
-        """The number of cutoffs that keep the document: it is rejected from the next one on."""
-        return F.size(F.filter(F.array(*map(F.lit, cutoffs[name])), lambda c: all_figures[name] <= c))
+    def passed(value: Column, chain: tuple[float, ...]) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, chain)), lambda cutoff: value <= cutoff))
 
-    one = held.select("stratum", F.inline(F.array(*[F.struct(F.lit(name).alias("figure"), keeping(name).alias("kept_by")) for name in cutoffs])))
-    counts = one.groupBy("stratum", "figure").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*[F.count_if(F.col("kept_by") <= j) for j in range(steps)]).alias("rejected")
-    )
-    chains = F.create_map(*[x for name, chain in cutoffs.items() for x in (F.lit(name), F.array(*map(F.lit, chain)))])
-    rate = tolerated / len(cutoffs)
-    tests = counts.withColumn("chains", F.count(F.lit(1)).over(Window.partitionBy())).select(
-        "stratum", "figure", "n", "chains", F.posexplode(F.arrays_zip(chains[F.col("figure")].alias("cutoff"), F.col("rejected").alias("k"))).alias("step", "test")
-    )
-    tests = tests.select("stratum", "figure", "n", "chains", "step", "test.cutoff", "test.k").filter("cutoff IS NOT NULL")
-    judged = tests.withColumn("p", binomial_tail(F.col("k"), F.col("n"), rate)).withColumn("proven", F.col("p") <= risk / F.col("chains"))
-    so_far = Window.partitionBy("stratum", "figure").orderBy("step")
-    passing = judged.withColumn("all", F.min("proven").over(so_far)).filter("all")
-    last = F.max_by(F.struct("cutoff", "n", "k", "p"), "step")
-    return passing.groupBy("stratum", "figure").agg(last.alias("last")).select("stratum", "figure", "last.*")
+    values = figures()
+    return F.least(*[passed(values[name], chain) for name, chain in cutoffs.items()])
+
+
+def proven_levels(measures: DataFrame, labels: DataFrame, tolerated: float = TOLERATED, risk: float = RISK, cutoffs=CUTOFFS) -> DataFrame:
+    """stratum, level (from 0), n, k, p: the strictest proven level of each stratum that has one."""
+    levels = len(next(iter(cutoffs.values())))
+    if any(len(chain) != levels or list(chain) != sorted(chain, reverse=True) for chain in cutoffs.values()):
+        raise ValueError("every figure needs one cutoff for each level, none looser than the one before")
+    good = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1")
+    held = measures.filter(~F.col("base_failed")).join(good.select("doc_id"), "doc_id", "left_semi")
+    kept = held.select("stratum", kept_by(cutoffs).alias("kept_by"))
+    counts = kept.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.count_if(F.col("kept_by") <= j) for j in range(levels)]).alias("rejected"))
+    able = counts.filter(F.exp(F.col("n") * math.log1p(-tolerated)) <= risk)
+    tests = able.withColumn("strata", F.count(F.lit(1)).over(Window.partitionBy())).select("stratum", "n", "strata", F.posexplode("rejected").alias("level", "k"))
+    judged = tests.withColumn("p", binomial_tail(F.col("k"), F.col("n"), tolerated))
+    # k, and with it p, only grows from level to level: the proven levels are the first ones
+    passing = judged.filter(F.col("p") <= risk / F.col("strata"))
+    return passing.groupBy("stratum").agg(F.max(F.struct("level", "n", "k", "p")).alias("last")).select("stratum", "last.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", tolerated: float = TOLERATED, risk: float = RISK, cutoffs=CUTOFFS) -> DataFrame:
     """The counts of each document, ``base_failed`` and ``kept``."""
     measures = materialize(measured(docs, stratum), "quality")
-    proven = proven_cutoffs(measures, labels, tolerated, risk, cutoffs)
-    wide = proven.groupBy(F.col("stratum").alias("of")).agg(*[F.max(F.when(F.col("figure") == name, F.col("cutoff"))).alias(f"max_{name}") for name in cutoffs])
-    joined = measures.join(wide, F.col("stratum").eqNullSafe(F.col("of")), "left")
-    over = F.lit(False)
-    for name in cutoffs:
-        over = over | F.coalesce(figures()[name] > F.col(f"max_{name}"), F.lit(False))
+    proven = proven_levels(measures, labels, tolerated, risk, cutoffs).select(F.col("stratum").alias("of"), "level")
+    joined = measures.join(proven, F.col("stratum").eqNullSafe(F.col("of")), "left")
+    over = F.coalesce(kept_by(cutoffs) <= F.col("level"), F.lit(False))
     columns = [c for c in measures.columns if c != "base_failed"]
     return joined.select(*columns, "base_failed", (~F.col("base_failed") & ~over).alias("kept"))

@@ -121,10 +121,10 @@ def _op4_sql() -> str:
         "chars_per_word": "word_chars / n_words",
         "shouts_per_word": "n_shouts / n_words",
     }
-    rate = quality.TOLERATED / len(figures)
-    grid = " UNION ALL ".join(f"SELECT '{name}' AS figure, {j} AS step, {c!r}::DOUBLE AS cutoff" for name, chain in quality.CUTOFFS.items() for j, c in enumerate(chain))
-    long = " UNION ALL ".join(f"SELECT doc_id, stratum, '{name}' AS figure, {value} AS v FROM held" for name, value in figures.items())
-    over = " OR ".join(f"coalesce({value} > (SELECT cutoff FROM used WHERE used.figure = '{name}' AND used.stratum IS NOT DISTINCT FROM m.stratum), false)" for name, value in figures.items())
+    rate, risk = quality.TOLERATED, quality.RISK
+    columns = list(zip(*quality.CUTOFFS.values(), strict=True))
+    levels = " UNION ALL ".join(f"SELECT {j} AS level, {', '.join(f'{c!r}::DOUBLE AS max_{name}' for name, c in zip(quality.CUTOFFS, own, strict=True))}" for j, own in enumerate(columns))
+    over = " OR ".join(f"{value} > max_{name}" for name, value in figures.items())
     return f"""
     WITH t AS (SELECT doc_id, lang AS stratum, coalesce(text, '') AS text FROM documents),
     w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS word, generate_subscripts(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), 1) AS i FROM t),
@@ -140,14 +140,15 @@ def _op4_sql() -> str:
         coalesce(n_words, 0) < {quality.MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {quality.MAX_REPEAT_PERCENT} * coalesce(n_words, 0) AS base_failed
         FROM t LEFT JOIN s USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
     held AS (SELECT * FROM m WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)),
-    one AS ({long}), grid AS ({grid}),
-    tests AS (SELECT stratum, figure, step, cutoff, count(*) AS n, count(*) FILTER (WHERE v > cutoff) AS k FROM one JOIN grid USING (figure) GROUP BY ALL),
-    chains AS (SELECT count(*) AS chains FROM (SELECT DISTINCT stratum, figure FROM one)),
-    tails AS (SELECT stratum, figure, step, cutoff, CASE WHEN k > n * {rate} THEN 1.0 ELSE
-        list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * ln(1 - {rate})))) END AS p FROM tests),
-    passing AS (SELECT *, bool_and(p <= {quality.RISK} / (SELECT chains FROM chains)) OVER (PARTITION BY stratum, figure ORDER BY step) AS proven FROM tails),
-    used AS (SELECT stratum, figure, min(cutoff) AS cutoff FROM passing WHERE proven GROUP BY ALL)
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({over}) AS kept FROM m"""
+    levels AS ({levels}),
+    tests AS (SELECT stratum, level, count(*) AS n, count(*) FILTER (WHERE {over}) AS k FROM held, levels GROUP BY ALL),
+    able AS (SELECT *, count(DISTINCT coalesce(stratum, '-')) OVER () AS strata FROM tests WHERE pow(1 - {rate}, n) <= {risk}),
+    tails AS (SELECT *, CASE WHEN k > n * {rate} THEN 1.0 ELSE
+        list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * ln(1 - {rate})))) END AS p FROM able),
+    passing AS (SELECT *, bool_and(p <= {risk} / strata) OVER (PARTITION BY stratum ORDER BY level) AS proven FROM tails),
+    used AS (SELECT stratum, max(level) AS level FROM passing WHERE proven GROUP BY ALL)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce({over}, false) AS kept
+    FROM m LEFT JOIN used ON used.stratum IS NOT DISTINCT FROM m.stratum LEFT JOIN levels USING (level)"""
 
 
 def crc32_sql(text: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from functools import cache
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 
 from tenantry.llm import chat, decontamination, html_text, packing, quality, toxicity, url_filter
 from tenantry.llm.common import ship
+from tenantry.state import materialize
 from tests.oracle import compare, connect
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -228,11 +230,49 @@ def test_cutoffs_keep_their_promise(spark, documents):
     assert judged.filter("doc_id < 2000 AND NOT kept").count() <= 2000 * quality.TOLERATED
     unproven = quality.judge(documents(pairs), labels.limit(20))
     assert unproven.filter("kept = base_failed").isEmpty()
+    with pytest.raises(ValueError):
+        quality.proven_levels(quality.measured(documents(pairs)), labels, cutoffs={"symbols_per_word": (1.0, 2.0)})
     nothing = quality.judge(documents([(1, None), (2, "")]).withColumn("lang", F.lit(None).cast("string")), labels)
     assert {(r.n_words, r.base_failed, r.kept) for r in nothing.collect()} == {(0, True, False)}
     assert quality.judge(documents([]), labels).isEmpty()
 
 
+def test_levels_of_several_strata(spark):
+    """Against the definition, with strata too small to prove anything, one of null, and one that a figure stops early."""
+    from math import comb
+
+    rng = random.Random(5)
+    sizes = {"en": 900, "de": 300, "fr": 40, None: 150, "xx": 200}
+    rows = []
+    for lang, n in sizes.items():
+        for _ in range(n):
+            symbols = rng.choice([0, 0, 0, 30]) if lang == "xx" else 70 if rng.random() < 0.004 else 0
+            rows.append((len(rows), lang, 100, 500, symbols, 0, 0, 0, False))
+    kinds = "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_shouts long, base_failed boolean"
+    labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int")
+    got = {r.stratum: (r.level, r.n, r.k) for r in quality.proven_levels(spark.createDataFrame(rows, kinds), labels).collect()}
+    able = [s for s, n in sizes.items() if (1 - quality.TOLERATED) ** n <= quality.RISK]
+    assert able == ["en", "de", None, "xx"]
+    expected = {}
+    for s in able:
+        n = sizes[s]
+        for level, cutoff in enumerate(quality.CUTOFFS["symbols_per_word"]):
+            k = sum(r[1] == s and r[4] / 100 > cutoff for r in rows)
+            tail = sum(comb(n, j) * quality.TOLERATED**j * (1 - quality.TOLERATED) ** (n - j) for j in range(k + 1))
+            if tail > quality.RISK / len(able):
+                break
+            expected[s] = (level, n, k)
+    assert got == expected and {"en", "de", "xx"} <= got.keys() and got["xx"][0] < len(quality.CUTOFFS["symbols_per_word"]) - 1
+
+
+def test_cutoffs_act_on_the_given_tables(spark, folder):
+    folder = folder.replace("sf0.001", "sf0.01")  # the smallest tables have too few labels of any language
+    docs = materialize(quality.measured(spark.read.parquet(f"{folder}/documents.parquet")), "quality")
+    used = {r.stratum: r for r in quality.proven_levels(docs, spark.read.parquet(f"{folder}/labels.parquet")).collect()}
+    assert used["en"].level >= 0
+    assert not docs.filter("stratum = 'en' AND NOT base_failed").filter(quality.kept_by(quality.CUTOFFS) <= used["en"].level).isEmpty()
+
+
 # 5: HTML
 
 
@@ -277,6 +317,59 @@ def test_names_of_layout_do_not_hide_the_text(source, expected):
     assert html_text.main_text(source) == expected
 
 
+@pytest.mark.parametrize(
+    ("source", "expected"),
+    [
+        ("<article><p>one, two, three</p></article><article><p>four, five</p></article>", "one, two, three\nfour, five"),
+        ("<div><article><p>one, two, three</p></article><p>beside, it</p><div>and, this, too</div></div>", "one, two, three"),
+        ("<article><p>" + "long, text, " * 40 + "end</p></article><article><a href=1>read, more</a></article>", "long, text, " * 40 + "end"),
+        ("<div><p>one, two</p><p>three, four</p></div><div><p>five, six</p></div><p>seven</p>", "one, two\nthree, four\nfive, six\nseven"),
+        ("<article><header><h1>H</h1><p>by A. B.</p><div class='tags'><h2>t</h2></div></header><p>one</p></article>", "H\none"),
+        ("<header><h1>site</h1></header><article><p>one</p></article>", "one"),
+        ("<article><header>by<nav><h2>menu</h2></nav><div><h2>H</h2></div></header><p>one</p></article>", "H\none"),
+    ],
+)
+def test_siblings_and_headers_of_articles(source, expected):
+    assert html_text.main_text(source) == expected
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_scores_against_walking_up_from_each_paragraph(seed):
+    rng = random.Random(seed)
+    source = "".join(
+        rng.choice(["<div>", "<section class=post>", "<article>", "<table><tr><td>", "</div>", "</section>", "</article>", "<p>", "<a href=1>", "</a>", "<span class=menu>", "<div class=widget>"])
+        + rng.choice(["", "one, two ", "word " * rng.randrange(60)])
+        for _ in range(rng.randrange(1, 120))
+    )
+    page = html_text.Page(source)
+    for doubtful in (set(), set(page.doubtful)):
+        def low(e):
+            return e > 0 and (e in doubtful or low(page.above[e]))
+
+        scores, sizes, links = Counter(), Counter(), Counter()
+        for element, text, linked in page.blocks:
+            e, level = element, 0
+            while e > 0 and not (low(element) and not low(e)):
+                sizes[e] += len(text)
+                links[e] += linked
+                if page.tags[e] in html_text._CONTAINERS:
+                    scores[e] += (1 + text.count(",") + min(len(text) / 100, 3)) / (1, 2, 6, 9, 12)[min(level, 4)]
+                    level += 1
+                e = page.parents[e]
+        first = {e: html_text._FIRST_SCORE.get(page.tags[e], 0) + (25 if page.names[e].strip() == "post" else 0) for e in scores}
+        part = {e: (1 - links[e] / sizes[e]) / (5 if low(e) else 1) for e in scores}
+        final, got_sizes, got_links, earned = html_text.scored(page, doubtful)
+        assert final == pytest.approx({e: (first[e] + scores[e]) * part[e] for e in scores})
+        assert earned == pytest.approx({e: scores[e] * part[e] for e in scores})
+        assert all(got_sizes[e] == sizes[e] and got_links[e] == links[e] for e in range(1, len(page.tags)))
+
+
+def test_deep_pages_take_linear_time():
+    began = time.monotonic()
+    assert html_text.main_text("<div>one, two, three, four" * 10_000).count("\n") == 9_999
+    assert time.monotonic() - began < 5
+
+
 def test_pages(spark, folder, rows):
     ship(spark)
     pages = spark.read.parquet(f"{folder}/pages.parquet")
