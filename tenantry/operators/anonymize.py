@@ -19,10 +19,16 @@ from pyspark.sql import functions as F
 from tenantry.functions import surrogates
 from tenantry.model import AnonymizationRule, Tables
 from tenantry.operators.ranking import number_rows
+from tenantry.operators.target import Change, Target
 from tenantry.skew import look_up
 
 Rules = Sequence[AnonymizationRule]
 
+#: The table of a map that outlives its run, and by what it is kept.
+MAP = "consistency_map"
+MAP_BY = {MAP: "rule"}
+MAP_SCHEMA = "rule STRING, original STRING, surrogate STRING"
+
 # What counts as personal data inside a text.
 PII_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
@@ -169,9 +175,58 @@ def consistency_map(tables: Tables, anonymizer: Anonymizer) -> DataFrame:
                     new.cast("string").alias("surrogate"),
                 )
             )
+    if not parts:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], MAP_SCHEMA)
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
+def new_entries(tables: Tables, anonymizer: Anonymizer, stored: DataFrame) -> DataFrame:
+    """``(rule, original, surrogate)`` of all values, tokens included, that a stored map lacks."""
+    parts = [consistency_map(tables, anonymizer)]
+    for rule in anonymizer.rules:
+        if rule.strategy != "tokenize" or not any(r.name == rule.name for df in tables.values() for _, r in matched_columns(df, anonymizer.rules)):
+            continue
+        known = stored.filter(F.col("rule") == rule.name).select("original", "surrogate")
+        given = (anonymizer.tokens or {}).get(rule.name)
+        made = given if given is not None else build_tokens(rule_values(tables, anonymizer.rules, rule.name), known)
+        parts.append(made.select(F.lit(rule.name).alias("rule"), "original", "surrogate"))
+    return reduce(DataFrame.unionByName, parts).join(stored, ["rule", "original"], "left_anti")
+
+
+def stored_entries(maps: Target, rule: str | None = None) -> DataFrame:
+    """The map that runs have left, or what it has of one rule."""
+    found = maps.read(only=[MAP], tenants=None if rule is None else [rule]).get(MAP)
+    return maps.spark.createDataFrame([], MAP_SCHEMA) if found is None else found
+
+
+def remember(maps: Target, tables: Tables, anonymizer: Anonymizer, note: str = "", keep: bool = True) -> Anonymizer:
+    """The anonymizer that gives every value what earlier runs gave it, after the map got its new entries.
+
+    ``maps`` is a target of its own, as it holds original values and is not for those who read the data; it is
+    best kept by rule (``MAP_BY``).  The entries are there before the tables that use them, so that whatever is
+    loaded can be resolved; tokens of a run that then fails stay taken.  Without ``keep`` nothing is written.
+    Two runs must not add to one map at the same time.
+    """
+    stored = stored_entries(maps)
+    new = new_entries(tables, anonymizer, stored)
+    if keep:
+        maps.commit({MAP: Change(new)}, note)
+        stored = stored_entries(maps)
+    else:
+        stored = stored.unionByName(new)
+    names = [rule.name for rule in anonymizer.rules if rule.strategy == "tokenize"]
+    part = {n: (stored_entries(maps, n) if keep else stored).filter(F.col("rule") == n) for n in names}
+    return Anonymizer(anonymizer.rules, anonymizer.salt, anonymizer.as_of, {n: df.select("original", "surrogate") for n, df in part.items()}, stored)
+
+
+def resolve(df: DataFrame, rules: Rules, maps: Target) -> DataFrame:
+    """A table of a finished run with the original values, as text, in place of its tokens."""
+    for column, rule in matched_columns(df, rules):
+        if rule.strategy == "tokenize":
+            df = detokenize(df, column, stored_entries(maps, rule.name).filter(F.col("rule") == rule.name))
+    return df
+
+
 def merge_maps(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Add entries for values the stored map does not have yet."""
     return stored.unionByName(new.join(stored, ["rule", "original"], "left_anti"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tenantry.model import BusinessRule, ForeignKey, RelationRule, RequiredFields, SchemaRule, StoreRule, Tables
 from tenantry.operators import validate
-from tenantry.operators.anonymize import Anonymizer, matched_columns, suspicious_values
+from tenantry.operators.anonymize import Anonymizer, matched_columns, remember, suspicious_values
 from tenantry.operators.extract import extract_dataset, table_order
 from tenantry.operators.load import Target, load_dataset
 from tenantry.operators.reconcile import compare_checksums, compare_counts, compare_fan_out
@@ -98,6 +98,7 @@ def migrate_tenant(
     dry_run: bool = False,
     validation_only: bool = False,
     work_folder: str | None = None,
+    maps: Target | None = None,
 ) -> Result:
     """Move a tenant; nothing reaches the target unless validation lets it.
 
@@ -105,7 +106,8 @@ def migrate_tenant(
     folder is also where a run can be taken up again, by passing ``extracted``.
     Warnings that call for a review stop the load until the plan is ``reviewed``.
     ``dry_run`` does everything but load; ``validation_only`` validates the given
-    ``extracted`` tables as they are.
+    ``extracted`` tables as they are.  With ``maps`` every value gets what earlier
+    runs gave it, and the map of all surrogates and tokens is kept there.
     """
     spark = target.spark
     run_id = uuid.uuid4().hex
@@ -135,7 +137,8 @@ def migrate_tenant(
         data = extracted
     else:
         keep = timed_save("anonymization")
-        data = {name: keep(name, df) for name, df in plan.anonymizer.dataset(extracted).items()}
+        ready = plan.anonymizer if maps is None else remember(maps, extracted, plan.anonymizer, run_id, keep=not dry_run)
+        data = {name: keep(name, df) for name, df in ready.dataset(extracted).items()}
         leaks = [suspicious_values(df, plan.anonymizer.rules) for df in data.values()]
         found = validate.union_all(leaks).filter("suspicious > 0").agg(F.count(F.lit(1)).alias("n")).first().n
         if found:

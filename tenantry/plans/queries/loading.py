@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantry.model import BusinessRule, ForeignKey, RelationRule, RequiredFields, SchemaRule, StoreRule, Tables
+from tenantry.model import AnonymizationRule, BusinessRule, ForeignKey, RelationRule, RequiredFields, SchemaRule, StoreRule, Tables
 from tenantry.operators import extract, load, reconcile
-from tenantry.operators.anonymize import Anonymizer
+from tenantry.operators.anonymize import MAP_BY, Anonymizer, resolve, stored_entries
 from tenantry.operators.load import Target
 from tenantry.plans import migrate
 from tenantry.plans.bindings import AS_OF, KEYS, LINE_KEY, SALT, STORE_OF, property_graph, reader, tables
@@ -339,6 +339,26 @@ def migrate_tenant(spark: SparkSession, folder: str) -> DataFrame:
     return result.metrics.select("phase", "table_name", "rows", "fields", "success", "warnings")
 
 
+def remembered_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of two nations, the first moved twice, with one map: tokens, what they stand for, and how many names share a surrogate.
+
+    Later runs have another salt, but what the map has already stays.
+    """
+    data = _source(spark, folder)
+    customers = data["customer"].withColumn("c_code", (F.col("c_custkey") % 97).cast("string"))
+    data = {"nation": data["nation"], "customer": customers}
+    rules = (AnonymizationRule("codes", "c_code", "tokenize"), *ANONYMIZATION_RULES)
+    maps, target = Target(spark, new_folder(spark, "maps"), MAP_BY), Target(spark, new_folder(spark, "target"))
+    for nation, salt in ((7, SALT), (8, "later"), (7, "later")):
+        own = {"nation": {"n_nationkey": nation}}
+        plan = migrate.Plan(KEYS[1:2], PRIMARY_KEYS, {}, Anonymizer(rules, salt, AS_OF), own, strategy="upsert", reviewed=True)
+        migrate.migrate_tenant(data, plan, target, maps=maps)
+    moved = target.read()["customer"].select("c_custkey", F.col("c_code").alias("token"), "c_full_name", "c_code")
+    resolved = resolve(moved, rules, maps).withColumnRenamed("c_code", "code")
+    names = stored_entries(maps, "full_names").filter("rule = 'full_names'").select(F.col("surrogate").alias("c_full_name"))
+    return look_up(resolved, names.groupBy("c_full_name").agg(F.count(F.lit(1)).alias("entries")), [("c_full_name", "c_full_name")])
+
+
 def validate_migration(spark: SparkSession, folder: str) -> DataFrame:
     """What was loaded against what should have been; phones were tampered with on the way."""
     target = Target(spark, new_folder(spark, "target"))
@@ -424,6 +444,7 @@ _STEP_SQL = {
 QUERIES = {
     "migrate_tenant": migrate_tenant,
     "validate_migration": validate_migration,
+    "remembered_runs": remembered_runs,
     "insert_append": insert_append,
     "key_conflicts": key_conflicts,
     "upsert": upsert,
@@ -488,6 +509,16 @@ SQL = {
         UNION ALL SELECT 'findings', 'phone_format_valid' FROM customer WHERE c_nationkey = 7 AND c_acctbal < 0 GROUP BY 1
         UNION ALL SELECT 'checksums', 'customer' FROM customer WHERE c_nationkey = 7 AND c_acctbal < 0 GROUP BY 1
     """,
+    "remembered_runs": f"""
+        WITH c AS (SELECT c_custkey, c_nationkey, CAST(c_custkey % 97 AS VARCHAR) AS code,
+            CASE WHEN c_nationkey = 7 THEN {made_sql('name', 'full_names', 'c_name')} ELSE {made_sql('name', 'full_names', 'c_name', 'later')} END AS c_full_name
+          FROM customer WHERE c_nationkey IN (7, 8)),
+        first_run AS (SELECT code, min(c_nationkey) AS run FROM c GROUP BY 1),
+        numbers AS (SELECT code, row_number() OVER (ORDER BY run, code) AS number FROM first_run),
+        shared AS (SELECT c_full_name, count(*) AS entries FROM c GROUP BY 1)
+        SELECT c_custkey, 'TOKEN_' || lpad(CAST(number AS VARCHAR), 8, '0') AS token, c_full_name, code, entries
+        FROM c JOIN numbers USING (code) JOIN shared USING (c_full_name)
+    """,
     "insert_append": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "key_conflicts": "SELECT o_orderkey FROM orders WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '1998-01-01'",
     "upsert": f"WITH {_BATCH} SELECT * FROM done",

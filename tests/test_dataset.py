@@ -134,6 +134,27 @@ def test_tokens(spark, rows):
     assert rows(anonymize.detokenize(anonymize.tokenize(a, "code", more), "code", more)) == rows(a)
 
 
+def test_map_outlives_its_run(spark, rows, tmp_path):
+    rules = (AnonymizationRule("codes", "code", "tokenize"), *default_rules.ANONYMIZATION_RULES)
+    a = spark.createDataFrame([("x", "Ann"), ("b", "Bob"), (None, None)], "code STRING, first_name STRING")
+    b = spark.createDataFrame([("c", "Ann"), ("b", "Cid")], "code STRING, first_name STRING")
+    maps = anonymize.Target(spark, str(tmp_path / "maps"), anonymize.MAP_BY)
+    one = anonymize.remember(maps, {"a": a}, Anonymizer(rules, "s", "2024-01-01")).dataset({"a": a})["a"]
+    dry = anonymize.remember(maps, {"b": b}, Anonymizer(rules, "other", "2024-01-01"), keep=False).dataset({"b": b})["b"]
+    assert anonymize.stored_entries(maps).count() == 4 and maps.version() == 1
+    two = anonymize.remember(maps, {"b": b}, Anonymizer(rules, "other", "2024-01-01")).dataset({"b": b})["b"]
+    again = anonymize.remember(maps, {"a": a}, Anonymizer(rules, "third", "2024-01-01")).dataset({"a": a})["a"]
+    assert rows(again) == rows(one) and rows(dry) == rows(two)
+    assert {r.code for r in two.collect()} == {"TOKEN_00000001", "TOKEN_00000003"}
+    assert {r.first_name for r in one.collect()} & {r.first_name for r in two.collect()}
+    assert rows(anonymize.resolve(two, rules, maps), "code") == [("b",), ("c",)]
+    assert anonymize.stored_entries(maps, "codes").count() == 3 and anonymize.stored_entries(maps).count() == 6
+    empty = anonymize.remember(maps, {"a": a.limit(0)}, Anonymizer(rules, "s", "2024-01-01"))
+    assert empty.dataset({"a": a.limit(0)})["a"].isEmpty()
+    nothing = anonymize.Target(spark, str(tmp_path / "none"), anonymize.MAP_BY)
+    assert anonymize.remember(nothing, {"a": a.select(F.lit(1).alias("n"))}, Anonymizer(rules, "s", "2024-01-01")).dataset({"a": a.limit(0)})["a"].isEmpty()
+
+
 def test_stored_map_wins_and_grows(spark, rows):
     df = spark.createDataFrame([("Ann", datetime.date(2000, 1, 1)), ("Bob", None)], "first_name STRING, dob DATE")
     stored = spark.createDataFrame([("first_names", "Ann", "Zed"), ("birth_dates", "2000-01-01", "1999-09-09")], "rule STRING, original STRING, surrogate STRING")
