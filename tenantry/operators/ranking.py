@@ -17,12 +17,14 @@ def number_rows(
     per: Sequence[str] = (),
     name: str = "position",
     start: int = 1,
+    weight: str | None = None,
 ) -> DataFrame:
     """Add the position of each row in ``order`` (within ``per``), counted from ``start``.
 
     ``order`` has to be unique within ``per``; null is a group like any other.  The rows are range-partitioned by
     (per, order) and written once; each range then counts its own rows, and a
-    running sum over the ranges gives every range its offset.
+    running sum over the ranges gives every range its offset.  With ``weight`` a row
+    stands for that many, and gets the position of the last of them.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
     ranges = df.repartitionByRange(*[F.col(c) for c in per], *keys).withColumn("__range", F.spark_partition_id())
@@ -30,14 +32,15 @@ def number_rows(
     before = Window.partitionBy(*per).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranges.groupBy("__range", *per)
-        .agg(F.count(F.lit(1)).alias("__rows"))
+        .agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("__rows"))
         .withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
         .select(F.col("__range").alias("__of"), *[F.col(c).alias(f"__of_{c}") for c in per], "__offset")
     )
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in per], F.col("__range") == F.col("__of"))
     inside = Window.partitionBy("__range", *per).orderBy(*keys)
+    so_far = F.row_number().over(inside) if weight is None else F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        ranges.withColumn("__inside", F.row_number().over(inside))
+        ranges.withColumn("__inside", so_far)
         .join(offsets, same)
         .withColumn(name, (F.col("__inside") + F.col("__offset") + (start - 1)).cast("bigint"))
         .drop("__range", "__inside", "__offset", "__of", *[f"__of_{c}" for c in per])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenantry.model import ForeignKey, Tables
+from tenantry.operators.ranking import number_rows
 
 
 def compare_counts(source: Tables, target: Tables) -> DataFrame:
@@ -107,16 +109,39 @@ def share_distance(source: DataFrame, target: DataFrame, bucket: Column) -> Data
     return gaps.agg(F.count(F.lit(1)).alias("buckets"), (F.sum("gap") / 2).alias("distance"))
 
 
-def quantile_gaps(source: DataFrame, target: DataFrame, column: str, grid: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
-    """Quantiles of a numeric column on both sides, from Spark's bounded-memory summary."""
-    probes = F.array(*[F.lit(q) for q in grid])
+def exact_quantiles(df: DataFrame, column: str, grid: Sequence[float], accuracy: int = 10_000) -> list:
+    """The value at rank ceil(q * n), 1 at least, for each q; nulls left out, None if there is no value.
+
+    A summary of bounded size says near which values to look.  Only values there are told apart, all between two
+    such places are counted as one, and running counts over range partitions give the ranks.  Should the summary
+    have pointed elsewhere, which the counts show, all values are told apart.
+    """
+    values = df.select(F.col(column).alias("v")).dropna()
+    slack = 3 / accuracy
+    near = [p for q in grid for p in (max(0.0, q - slack), min(1.0, q + slack))]
+    n, bounds = values.agg(F.count(F.lit(1)), F.percentile_approx("v", F.array(*map(F.lit, near)), accuracy)).first()
+    if not n:
+        return [None] * len(grid)
+    kind = df.schema[column].dataType
+    ranks = [max(1, math.ceil(q * n)) for q in grid]
+    edges = F.array(*[F.lit(x).cast(kind) for x in bounds])
+    inside = reduce(lambda x, y: x | y, [F.col("v").between(F.get(edges, 2 * i), F.get(edges, 2 * i + 1)) for i in range(len(grid))])
+    told = (F.when(inside, F.col("v")).otherwise(F.array_max(F.filter(edges, lambda e: e <= F.col("v")))), ~inside)
+    for value, between in (told, (F.col("v"), F.lit(False))):
+        counts = values.groupBy(value.alias("value"), between.alias("between")).agg(F.count(F.lit(1)).alias("n"))
+        placed = number_rows(counts, ["value", "between"], name="upto", weight="n")
+        first = [F.min(F.when(F.col("upto") >= rank, F.struct("upto", "value", "between"))).alias(f"q{i}") for i, rank in enumerate(ranks)]
+        found = placed.agg(*first).first()
+        if not any(x.between for x in found):
+            break
+    return [x.value for x in found]
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        values = df.agg(F.percentile_approx(column, probes, 100_000).alias("v"))
-        return values.select(F.posexplode("v").alias("i", name))
 
-    both = side(source, "source_value").join(side(target, "target_value"), "i")
-    return both.select(probes[F.col("i")].alias("quantile"), "source_value", "target_value")
+def quantile_gaps(source: DataFrame, target: DataFrame, column: str, grid: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
+    """Exact quantiles of a column on both sides."""
+    rows = list(zip(map(float, grid), exact_quantiles(source, column, grid), exact_quantiles(target, column, grid), strict=True))
+    kinds = [T.StructField("quantile", T.DoubleType()), T.StructField("source_value", source.schema[column].dataType), T.StructField("target_value", target.schema[column].dataType)]
+    return source.sparkSession.createDataFrame(rows, T.StructType(kinds))
 
 
 def row_differences(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:

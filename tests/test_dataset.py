@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -384,6 +385,13 @@ def test_quantiles_and_shares(spark):
     a = spark.range(1, 101).select(F.col("id").cast("double").alias("v"))
     gaps = reconcile.quantile_gaps(a, a.select((F.col("v") + 1).alias("v")), "v", (0.5,)).first()
     assert (gaps.source_value, gaps.target_value) == (50.0, 51.0)
+    for rows in ([3.0, 1.0, 2.0] * 40 + [2.0] * 200, [float(x * x % 97) for x in range(500)], [5.0], [None, 1.0, None]):
+        frame = spark.createDataFrame([(x,) for x in rows], "v double")
+        have = sorted(x for x in rows if x is not None)
+        for accuracy in (2, 10_000):  # a summary that coarse points elsewhere
+            grid = (0.0, 0.01, 0.3, 0.5, 0.99, 1.0)
+            assert reconcile.exact_quantiles(frame, "v", grid, accuracy) == [have[max(1, math.ceil(q * len(have))) - 1] for q in grid]
+    assert reconcile.exact_quantiles(a.limit(0), "v", (0.5,)) == [None]
     assert reconcile.share_distance(a, a.filter("v > 50"), F.col("v") > 50).first().distance == 0.5
 
 
