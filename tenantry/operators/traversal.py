@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenantry.skew import Probe, keep_matching
+from tenantry import skew
+from tenantry.skew import Probe, estimated_bytes, is_hot, keep_matching, measured_bytes
 from tenantry.sources.graph import nodes_with, ordered_entries
 from tenantry.state import materialize, new_folder
 
@@ -16,20 +21,34 @@ def _both_ends(edges: DataFrame) -> tuple[Probe, Probe]:
     return start, start if start.small else Probe.of(edges, ["end_id"])
 
 
+#: Estimated bytes of edges for each bucket of their steps; there are no more buckets than shuffle partitions.
+BUCKET_BYTES = 2 * 1024 * 1024
+#: Estimated bytes of edges, with their properties, that a task tells apart.
+PART_BYTES = 4 * 1024 * 1024
+
+
+def _steps_by_node(steps: DataFrame, size: int | None) -> tuple[DataFrame, Callable[[], None]]:
+    """The steps written in buckets of the node they start at, and what forgets the table."""
+    spark = steps.sparkSession
+    most, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"steps_{uuid.uuid4().hex}"
+    parts = most if size is None else min(most, 1 + size // BUCKET_BYTES)
+    written = steps.repartition(parts, "at").write.bucketBy(parts, "at").sortBy("at", "next").option("path", new_folder(spark, "steps"))
+    written.saveAsTable(name, format="parquet")
+    return spark.table(name), lambda: spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
     """``(node_id, dist)`` of every node within ``max_depth`` steps of a root.
 
-    The steps are written once, both ways, so that a round reads two columns and
-    nothing the edges were made from.  Breadth first: each round joins the
-    frontier with the steps, drops nodes already reached, and stops when nothing
-    new turns up.  Only the nodes found are shuffled, as long as the frontier
-    fits a broadcast.
+    The steps are shuffled and written once, both ways, in buckets of the node
+    they start at; those of the busiest nodes, which would make buckets uneven,
+    are written apart.  Breadth first: each round takes the frontier to the
+    buckets, drops nodes already reached, and stops when nothing new turns up.
+    A step is followed in one round only, so over all rounds no more nodes are
+    shuffled than there are steps.
     """
     spark = edges.sparkSession
     folder = new_folder(spark, "reached")
-    ends = F.array(F.struct(F.col("start_id").alias("at"), F.col("end_id").alias("next")), F.struct(F.col("end_id").alias("at"), F.col("start_id").alias("next")))
-    steps = materialize(edges.select(F.inline(ends)), "steps")
-    probe = Probe.of(steps, ["at"])
 
     def frontier(depth: int) -> DataFrame:
         return spark.read.schema("node_id BIGINT").parquet(f"{folder}/dist={depth}")
@@ -38,13 +57,25 @@ def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
         return spark.read.schema("node_id BIGINT, dist INT").parquet(folder)
 
     roots.select("node_id").distinct().write.parquet(f"{folder}/dist=0")
-    for depth in range(1, max_depth + 1):
-        last = frontier(depth - 1)
-        if last.isEmpty():
-            break
-        beyond = keep_matching(steps, last, [("at", "node_id")], probe=probe).select(F.col("next").alias("node_id"))
-        found = beyond.distinct().join(reached().select("node_id"), "node_id", "left_anti")
-        found.write.parquet(f"{folder}/dist={depth}")
+    ends = F.array(F.struct(F.col("start_id").alias("at"), F.col("end_id").alias("next")), F.struct(F.col("end_id").alias("at"), F.col("start_id").alias("next")))
+    pairs = edges.filter("start_id IS NOT NULL AND end_id IS NOT NULL").select("start_id", "end_id")
+    steps = pairs.select(F.inline(ends))
+    probe = Probe.of(steps, ["at"])
+    busy = materialize(steps.filter(is_hot(["at"], probe)), "busy") if probe.hot else None
+    by_node, forget = _steps_by_node(steps.filter(~is_hot(["at"], probe)) if probe.hot else steps, estimated_bytes(pairs))
+    try:
+        for depth in range(1, max_depth + 1):
+            last = frontier(depth - 1)
+            if last.isEmpty():
+                break
+            match = F.col("at") == F.col("node_id")
+            beyond = by_node.join(last.hint("shuffle_hash"), match, "left_semi")
+            if busy is not None:
+                beyond = beyond.unionByName(busy.join(F.broadcast(last.filter(is_hot(["node_id"], probe))), match, "left_semi"))
+            found = beyond.select(F.col("next").alias("node_id")).distinct().join(reached().select("node_id"), "node_id", "left_anti")
+            found.write.parquet(f"{folder}/dist={depth}")
+    finally:
+        forget()
     return reached()
 
 
@@ -56,19 +87,27 @@ def neighbourhood_nodes(nodes: DataFrame, edges: DataFrame, roots: DataFrame, ma
 def neighbourhood_edges(edges: DataFrame, roots: DataFrame, max_depth: int = 10) -> DataFrame:
     """Distinct relationships that lie on a trail of up to ``max_depth`` steps from a root.
 
-    Those are the edges with an end nearer than ``max_depth``.
+    Those are the edges with an end nearer than ``max_depth``.  All neighbours
+    of nodes before the last ring were reached too, so only edges into the last
+    ring, or without a start, have to be looked up by their end.
     """
-    near = distances(edges, roots, max_depth - 1).select("node_id")
+    near = distances(edges, roots, max_depth - 1)
+    nodes, ring = near.select("node_id"), near.filter(F.col("dist") == max_depth - 1).select("node_id")
     by_start, by_end = _both_ends(edges)
-    outgoing = keep_matching(edges, near, [("start_id", "node_id")], probe=by_start)
-    incoming = keep_matching(edges, near, [("end_id", "node_id")], probe=by_end)
     columns = ["start_id", "type", "end_id"]
-    return (
-        outgoing.unionByName(incoming)
-        .select(*columns, ordered_entries(F.col("properties")).alias("entries"))
-        .distinct()
-        .select(*columns, F.map_from_entries("entries").alias("properties"))
-    )
+    texts = edges.select(*columns, ordered_entries(F.col("properties")).alias("entries"))
+    dealt = texts.filter("start_id IS NOT NULL")
+    if not by_start.small and measured_bytes(nodes) > skew.LIMITS.broadcast_bytes:  # as many parts as keep those of one task small
+        most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = dealt.repartition(max(most, min(16 * most, (estimated_bytes(texts) or 0) // PART_BYTES)), "start_id")
+    found = [keep_matching(dealt, nodes, [("start_id", "node_id")], probe=by_start, hashed=True)]
+    if not ring.isEmpty():
+        inward = keep_matching(texts.filter("start_id IS NOT NULL"), ring, [("end_id", "node_id")], probe=by_end)
+        found.append(keep_matching(inward, nodes, [("start_id", "node_id")], absent=True))
+    found.append(keep_matching(texts.filter("start_id IS NULL"), nodes, [("end_id", "node_id")], probe=by_end))
+    # rows that were brought together by their start need no further shuffle, and equal ones are in the same part
+    apart = [part.distinct() for part in found]
+    return reduce(DataFrame.unionByName, apart).select(*columns, F.map_from_entries("entries").alias("properties"))
 
 
 #: Paths that are sent to every task; more of them are joined by a shuffle.

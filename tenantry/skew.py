@@ -109,6 +109,11 @@ class Probe:
         return cls(small, () if small else tuple(hot_keys(df, columns, bounds)))
 
 
+def is_hot(columns: Sequence[str], probe: Probe) -> Column:
+    """Whether a row has one of the busiest keys, of which there are ``max_hot_keys`` at most."""
+    return _key_hash(columns).isin(list(probe.hot))
+
+
 def distinct_keys(df: DataFrame, columns: Sequence[str], bounds: Limits | None = None) -> DataFrame:
     """The key columns of a table, to test for; many rows are thinned out before they are shuffled.
 
@@ -131,6 +136,11 @@ def _texts_decide(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     return True
 
 
+def grouped_as_joined(kind: T.DataType) -> bool:
+    """Whether two columns of this type can be brought together by a grouping as by ``=``."""
+    return isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)) or kind == T.StringType()
+
+
 def comparable(left: T.DataType, a: Column, right: T.DataType, b: Column) -> tuple[Column, Column]:
     """Two key columns made ready for ``=``: a text next to a number is read as one, and is null where it is none."""
     if isinstance(left, T.StringType) and isinstance(right, T.NumericType):
@@ -140,7 +150,7 @@ def comparable(left: T.DataType, a: Column, right: T.DataType, b: Column) -> tup
     return a, b
 
 
-def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, probe: Probe | None, bounds: Limits | None) -> DataFrame:
+def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, probe: Probe | None, bounds: Limits | None, hashed: bool = False) -> DataFrame:
     bounds = bounds or LIMITS
     names = [c for c, _ in on]
     right = [f"__key_{i}" for i in range(len(on))]
@@ -158,7 +168,7 @@ def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how:
     if _texts_decide(rows, keys, on):
         hot = probe.hot if probe is not None else hot_keys(rows, names, bounds)
     if not hot:
-        return rows.join(measured, match, how).drop(*right)
+        return rows.join(measured.hint("shuffle_hash") if hashed else measured, match, how).drop(*right)
     # a hash of the row is the same if a task is run again
     hashed = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
     salt = F.pmod(F.xxhash64(*hashed), F.lit(bounds.salts))
@@ -180,14 +190,16 @@ def keep_matching(
     absent: bool = False,
     probe: Probe | None = None,
     bounds: Limits | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Rows whose key occurs in ``keys`` (or, with ``absent``, does not).
 
     ``on`` pairs a column of ``rows`` with a column of ``keys``.  A null key
-    occurs nowhere.  ``probe`` is what is known of ``rows`` already.
+    occurs nowhere.  ``probe`` is what is known of ``rows`` already.  ``hashed``
+    spares sorting the rows where they are much wider than the keys.
     """
     key_columns = keys.select(*dict.fromkeys(k for _, k in on))
-    return _join(rows, key_columns, on, "left_anti" if absent else "left_semi", probe, bounds)
+    return _join(rows, key_columns, on, "left_anti" if absent else "left_semi", probe, bounds, hashed)
 
 
 def look_up(
