@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from tenantry.model import ForeignKey, Tables
 from tenantry.operators.ranking import number_rows
+from tenantry.skew import keep_matching
+from tenantry.state import materialize
 
 
 def compare_counts(source: Tables, target: Tables) -> DataFrame:
@@ -33,12 +35,20 @@ def compare_counts(source: Tables, target: Tables) -> DataFrame:
 _PARTS = ((0, 22), (22, 21), (43, 21))
 
 
-def _hash_sums(df: DataFrame, columns: Sequence[str], name: str) -> list[Column]:
-    """Sums of row hashes.  A hash passes over nulls, so it also takes where they are; maps are hashed as ordered entries."""
+def _split(value: str) -> list[str]:
+    return [f"shiftrightunsigned({value}, {start}) & {2**bits - 1}L" for start, bits in _PARTS]
+
+
+def _row_hash(df: DataFrame, columns: Sequence[str], salt: str = "") -> str:
+    """A hash of a row.  It passes over nulls, so it also takes where they are; maps are hashed as ordered entries."""
     maps = {f.name for f in df.schema if isinstance(f.dataType, T.MapType)}
     values = [f"array_sort(map_entries(`{c}`))" if c in maps else f"`{c}`" for c in columns]
-    value = f"xxhash64({', '.join([*values, *(f'isnull(`{c}`)' for c in columns)])})"
-    return [F.expr(f"sum(shiftrightunsigned({value}, {start}) & {2**bits - 1}L) AS `{name}_{start}`") for start, bits in _PARTS]
+    return f"xxhash64({salt}{', '.join([*values, *(f'isnull(`{c}`)' for c in columns)])})"
+
+
+def _hash_sums(df: DataFrame, columns: Sequence[str], name: str) -> list[Column]:
+    """Sums of row hashes."""
+    return [F.expr(f"sum({part}) AS `{name}_{start}`") for (start, _), part in zip(_PARTS, _split(_row_hash(df, columns)), strict=True)]
 
 
 def checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -148,29 +158,38 @@ def row_differences(source: DataFrame, target: DataFrame, key: Sequence[str]) ->
     """Keys whose rows were lost, added or changed, and the columns that differ.
 
     Rows are brought together by key on both sides first, as sums of hashes, so
-    that a repeated key is compared as a whole and multiplies nothing.
+    that a repeated key is compared as a whole and multiplies nothing.  One sum
+    over all columns tells which keys differ; only the rows of those are summed
+    by column.
     """
     columns = [c for c in source.columns if c not in key]
-
-    def by_key(df: DataFrame, side: str) -> DataFrame:
-        sums = [total for c in columns for total in _hash_sums(df, [c], f"{side}_{c}")]
-        return df.groupBy(*[F.col(c).alias(f"{side}_key_{c}") for c in key]).agg(F.count(F.lit(1)).alias(f"{side}_rows"), *sums)
-
-    a, b = by_key(source, "a"), by_key(target, "b")
-    match = reduce(lambda x, y: x & y, [F.col(f"a_key_{c}").eqNullSafe(F.col(f"b_key_{c}")) for c in key])
-
-    def changed(c: str) -> str:
-        same = " AND ".join(f"`a_{c}_{start}` = `b_{c}_{start}`" for start, _ in _PARTS)
-        return f"CASE WHEN NOT ({same}) THEN '{c}' END"
-
-    names = f"array_compact(array({', '.join(changed(c) for c in columns)}))" if columns else "array()"
-    differing = F.expr(f"CAST({names} AS ARRAY<STRING>)")
-    change = (
-        F.when(F.col("b_rows").isNull(), "lost")
-        .when(F.col("a_rows").isNull(), "added")
-        .when((F.col("a_rows") != F.col("b_rows")) | (F.size(differing) > 0), "changed")
-    )
-    joined = a.join(b, match, "full_outer")
-    keys = [F.coalesce(f"a_key_{c}", f"b_key_{c}").alias(c) for c in key]
-    shown = F.when(change == "changed", differing).otherwise(F.array().cast("array<string>"))
-    return joined.select(*keys, change.alias("change"), shown.alias("columns")).filter("change IS NOT NULL")
+    starts = [start for start, _ in _PARTS]
+
+    def signed(values: Callable[[DataFrame], dict[str, str]]) -> DataFrame:
+        """Rows of both sides by key; sums of values times side are 0 where both sides agree."""
+        sides = []
+        for df, sign in ((source, 1), (target, -1)):
+            keys = [F.col(c).alias(f"key_{c}") for c in key]
+            sides.append(df.select(*keys, F.lit(sign).alias("side"), *[F.expr(f"{value} AS `value_{name}`") for name, value in values(df).items()]))
+        same = F.struct(*[F.col(f"key_{c}").alias(c) for c in key]).alias("key")  # null keys are equal inside
+        return sides[0].unionByName(sides[1]).select(same, "side", *[f"`{name}`" for name in sides[0].columns[len(key) + 1 :]])
+
+    def of_row(df: DataFrame) -> dict[str, str]:
+        hashes = [_split(_row_hash(df, [c], f"{i}, ")) for i, c in enumerate(columns)]
+        return {f"sum_{start}": " + ".join(["0L", *(f"({parts[i]})" for parts in hashes)]) for i, start in enumerate(starts)}
+
+    def of_columns(df: DataFrame) -> dict[str, str]:
+        return {c: _row_hash(df, [c]) for c in columns}
+
+    differs = reduce(lambda x, y: x | y, [F.expr(f"sum(side * value_sum_{start})") != 0 for start in starts])
+    here, there = F.count_if(F.col("side") > 0), F.count_if(F.col("side") < 0)
+    change = F.when(there == 0, "lost").when(here == 0, "added").when((here != there) | differs, "changed")
+    by_key = signed(of_row).groupBy("key").agg(change.alias("change"))
+    found = materialize(by_key.filter("change IS NOT NULL"), "differences")
+    none = F.array().cast("array<string>")
+    if not columns:
+        return found.select("key.*", "change", none.alias("columns"))
+    rows = keep_matching(signed(of_columns), found.filter("change = 'changed'"), [("key", "key")], hashed=True)
+    unlike = [F.when(reduce(lambda x, y: x | y, [F.expr(f"sum(side * ({part}))") != 0 for part in _split(f"`value_{c}`")]), F.lit(c)) for c in columns]
+    detail = rows.groupBy("key").agg(F.array_compact(F.array(*unlike)).alias("columns"))
+    return found.join(detail, "key", "left").select("key.*", "change", F.coalesce("columns", none).alias("columns"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from tenantry import skew
-from tenantry.operators import traversal
+from tenantry.operators import reconcile, traversal
 from tenantry.sources.graph import EDGE_SCHEMA
 
 
@@ -55,3 +55,13 @@ def test_busy_nodes_are_followed_too(spark):
     found = traversal.distances(edges, spark.createDataFrame([(3,)], "node_id BIGINT"), 10)
     skew.set_limits(before)
     assert {r.node_id: r.dist for r in found.collect()} == {3: 0, 0: 1, **{i: 2 for i in (1, 2, 4, 5, 6, 7, 8)}, 9: 3}
+
+def test_only_rows_of_differing_keys_are_summed_by_column(spark, rows):
+    schema = "k INT, l INT, v STRING, w DOUBLE"
+    a = spark.createDataFrame([(1, 1, "x", 1.0), (1, None, "x", 1.0), (2, 1, "x", None), (2, 1, "y", 2.0), (3, 1, "x", 1.0), (None, None, "n", 0.0)], schema)
+    b = spark.createDataFrame([(1, 1, "x", 1.0), (1, None, "x", 2.0), (2, 1, "y", None), (2, 1, "x", 2.0), (4, 1, "x", 1.0), (None, None, None, 0.0)], schema)
+    found = reconcile.row_differences(a, b, ["k", "l"])
+    # the rows of key 2 were only paired otherwise, which is the same by column
+    assert rows(found) == [(None, None, "changed", ["v"]), (1, None, "changed", ["w"]), (3, 1, "lost", []), (4, 1, "added", [])]
+    assert "xxhash64" not in found.groupBy("change").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(reconcile.row_differences(a.select("k", "l"), b.select("k", "l"), ["k", "l"])) == [(3, 1, "lost", []), (4, 1, "added", [])]
