@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenantry.model import BusinessRule, ForeignKey, RelationRule, RequiredFields, RowCheck, SchemaRule, StoreRule, Tables
-from tenantry.skew import comparable, distinct_keys, keep_matching
+from tenantry.skew import comparable, distinct_keys, grouped_as_joined, keep_matching
 from tenantry.state import materialize
 
 FINDING_COLUMNS = ("check", "rule", "table_name", "column_name", "ref_table", "severity", "failed", "message", "sample")
@@ -211,11 +211,17 @@ def orphans(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
 
     A text that refers to a number is an orphan if it is no number.
 
-    Rows are counted by key before the join, so a frequent key is one row in it.
+    Rows are counted by key before sides meet, so a frequent key is one row then.
     """
+    kinds = [(child.schema[c].dataType, parent.schema[k].dataType) for c, k in zip(key.columns, key.keys, strict=True)]
+    if all(x == y and grouped_as_joined(x) for x, y in kinds):
+        known = parent.select(*[F.col(k).alias(c) for c, k in key.pairs], F.lit(0).alias("__rows"))
+        both = child.select(*key.columns, F.lit(1).alias("__rows")).unionByName(known).dropna(subset=list(key.columns))
+        # one grouping of both sides takes the memory of one table of keys, and no sorting
+        counted = both.groupBy(*key.columns).agg(F.count_if(F.col("__rows") == 1).alias("rows"), F.min("__rows").alias("__known"))
+        return counted.filter("__known = 1").drop("__known")
     values = child.dropna(subset=list(key.columns)).groupBy(*key.columns).agg(F.count(F.lit(1)).alias("rows"))
     ids = distinct_keys(parent, key.keys).toDF(*[f"__k{i}" for i in range(len(key.keys))])
-    kinds = [(child.schema[c].dataType, parent.schema[k].dataType) for c, k in zip(key.columns, key.keys, strict=True)]
     pairs = [comparable(x, F.col(c), y, F.col(f"__k{i}")) for i, ((x, y), c) in enumerate(zip(kinds, key.columns, strict=True))]
     match = reduce(lambda a, b: a & b, [a == b for a, b in pairs])
     return values.join(ids, match, "left_anti")
@@ -264,10 +270,11 @@ def reference_findings(tables: Tables, keys: Sequence[ForeignKey], count_rows: b
     else:
         lost = spark.createDataFrame([], "i INT, value STRING, place STRING, rows BIGINT")
     totals = lost.groupBy("i").agg((F.sum("rows") if count_rows else F.count(F.lit(1))).alias("n"))
-    number = F.row_number().over(Window.partitionBy("i").orderBy("place"))
-    first = lost.withColumn("number", number).filter(F.col("number") <= SAMPLE_VALUES)
-    # at most five rows for each key
-    samples = first.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("number", "value"))).alias("s"))
+    # five rows of each key that lacks some: an order with a limit keeps no more than those of a task
+    failing = [row.i for row in lost.select("i").distinct().collect()]
+    firsts = [lost.filter(F.col("i") == i).select("i", "place", "value").orderBy("place", "value").limit(SAMPLE_VALUES) for i in failing]
+    first = union_all(firsts) if firsts else lost.select("i", "place", "value")
+    samples = first.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("s"))
     found = all_keys.join(totals, "i", "left").join(samples, "i", "left")
     failed = F.coalesce("n", F.lit(0)).cast("bigint")
     return found.select(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 
 from tenantry import skew
-from tenantry.operators import reconcile, traversal
+from tenantry.model import ForeignKey
+from tenantry.operators import reconcile, traversal, validate
 from tenantry.sources.graph import EDGE_SCHEMA
 
 
@@ -65,3 +66,14 @@ def test_only_rows_of_differing_keys_are_summed_by_column(spark, rows):
     assert rows(found) == [(None, None, "changed", ["v"]), (1, None, "changed", ["w"]), (3, 1, "lost", []), (4, 1, "added", [])]
     assert "xxhash64" not in found.groupBy("change").count()._jdf.queryExecution().optimizedPlan().toString()
     assert rows(reconcile.row_differences(a.select("k", "l"), b.select("k", "l"), ["k", "l"])) == [(3, 1, "lost", []), (4, 1, "added", [])]
+
+def test_references_are_grouped_without_sorting(spark, large, rows):
+    child = spark.createDataFrame([(i % 9, i % 2) for i in range(20)] + [(None, 1)], "a INT, b INT")
+    parent = spark.createDataFrame([(i, 0) for i in range(5)] * 2 + [(None, 0)], "x INT, y INT")
+    key = ForeignKey.of("c", "a,b", "p", "x,y")
+    lost = validate.orphans(child, parent, key)
+    assert "Sort" not in plan(lost)
+    assert sum(r.rows for r in lost.collect()) == sum(1 for i in range(20) if i % 2 or i % 9 > 4)
+    found = validate.reference_findings({"c": child, "p": parent}, [key])
+    assert "Window" not in plan(found)
+    assert found.first().sample == ["0,1", "1,1", "2,1", "3,1", "4,1"]
