@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenantry.model import BusinessRule, ForeignKey, RelationRule, RequiredFields, RowCheck, SchemaRule, StoreRule, Tables
-from tenantry.skew import comparable, distinct_keys, grouped_as_joined, keep_matching
+from tenantry.skew import Probe, comparable, distinct_keys, estimated_bytes, grouped_as_joined, hot_keys, is_hot, keep_matching
 from tenantry.state import materialize
 
 FINDING_COLUMNS = ("check", "rule", "table_name", "column_name", "ref_table", "severity", "failed", "message", "sample")
@@ -206,20 +206,51 @@ def name_length_checks(df: DataFrame, lowest: int = 1, highest: int = 100) -> li
 # --- checks across rows and tables ----------------------------------------------
 
 
+#: Estimated bytes of keys, as they are stored, that one task groups; some hundred thousand keys.
+KEY_BYTES = 1024 * 1024
+#: From these estimated bytes of keys on, the busiest are looked for.
+BUSY_BYTES = 8 * 1024 * 1024
+
+
+def _key_parts(keys: DataFrame) -> int:
+    """Into how many parts keys are dealt before they are grouped, so that a task holds about as many of them at any size.
+
+    Grouped where they are read, or in parts that were put together for their
+    few bytes, a task would hold more keys the larger the tables.
+    """
+    most, size = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), estimated_bytes(keys)
+    return most if size is None else min(16 * most, 1 + size // KEY_BYTES)
+
+
+def _by_key(used: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a key, with those of the busiest keys of a large table counted where they are read; other rows are left as they are."""
+    size = estimated_bytes(used)
+    if size is not None and size < BUSY_BYTES:
+        return used
+    probe = Probe(False, tuple(hot_keys(used.dropna(subset=list(columns)), columns)))
+    if not probe.hot:
+        return used
+    busy = used.filter(is_hot(columns, probe)).groupBy(*columns).agg(F.sum("__rows").alias("__rows"))
+    return used.filter(~is_hot(columns, probe)).unionByName(busy)
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
     """Distinct non-null foreign keys that the parent lacks, with the rows that hold them.
 
     A text that refers to a number is an orphan if it is no number.
 
-    Rows are counted by key before sides meet, so a frequent key is one row then.
+    Rows of a frequent key are counted before sides meet, so such a key is one row then.
     """
     kinds = [(child.schema[c].dataType, parent.schema[k].dataType) for c, k in zip(key.columns, key.keys, strict=True)]
     if all(x == y and grouped_as_joined(x) for x, y in kinds):
-        known = parent.select(*[F.col(k).alias(c) for c, k in key.pairs], F.lit(0).alias("__rows"))
-        both = child.select(*key.columns, F.lit(1).alias("__rows")).unionByName(known).dropna(subset=list(key.columns))
+        used = child.select(*key.columns, F.lit(1).cast("bigint").alias("__rows"))
+        known = parent.select(*[F.col(k).alias(c) for c, k in key.pairs], F.lit(0).cast("bigint").alias("__rows"))
         # one grouping of both sides takes the memory of one table of keys, and no sorting
-        counted = both.groupBy(*key.columns).agg(F.count_if(F.col("__rows") == 1).alias("rows"), F.min("__rows").alias("__known"))
-        return counted.filter("__known = 1").drop("__known")
+        both = _by_key(used, key.columns).unionByName(known).dropna(subset=list(key.columns))
+        parts = _key_parts(both)
+        dealt = both.repartition(parts, *key.columns) if parts > 1 else both
+        counted = dealt.groupBy(*key.columns).agg(F.sum("__rows").alias("rows"), F.min("__rows").alias("__known"))
+        return counted.filter("__known > 0").drop("__known")
     values = child.dropna(subset=list(key.columns)).groupBy(*key.columns).agg(F.count(F.lit(1)).alias("rows"))
     ids = distinct_keys(parent, key.keys).toDF(*[f"__k{i}" for i in range(len(key.keys))])
     pairs = [comparable(x, F.col(c), y, F.col(f"__k{i}")) for i, ((x, y), c) in enumerate(zip(kinds, key.columns, strict=True))]

@@ -77,3 +77,33 @@ def test_references_are_grouped_without_sorting(spark, large, rows):
     found = validate.reference_findings({"c": child, "p": parent}, [key])
     assert "Window" not in plan(found)
     assert found.first().sample == ["0,1", "1,1", "2,1", "3,1", "4,1"]
+
+
+def test_keys_of_large_tables_are_dealt_before_they_are_grouped(spark, large, rows, monkeypatch):
+    monkeypatch.setattr(validate, "KEY_BYTES", 200)
+    child = spark.createDataFrame([(i % 9, i % 2) for i in range(40)] + [(None, 1), (3, None)], "a INT, b INT")
+    parent = spark.createDataFrame([(i, 0) for i in range(5)] * 2 + [(None, 0)], "x INT, y INT")
+    lost = validate.orphans(child, parent, ForeignKey.of("c", "a,b", "p", "x,y"))
+    operators = [line.strip(" +-*(0123456789:)") for line in plan(lost).splitlines()]
+    exchange = next(i for i, line in enumerate(operators) if line.startswith("Exchange"))
+    # nothing is grouped before keys are dealt, into more parts than a shuffle has by default
+    assert sum("HashAggregate" in line for line in operators[:exchange]) == 2 and not any("Aggregate" in line for line in operators[exchange:])
+    assert "REPARTITION_BY_NUM" in operators[exchange] and int(operators[exchange].split(", ")[2].split(")")[0]) > 2
+    expected = {}
+    for i in range(40):
+        if i % 2 or i % 9 > 4:
+            expected[i % 9, i % 2] = expected.get((i % 9, i % 2), 0) + 1
+    assert rows(lost) == sorted((*k, n) for k, n in expected.items())
+
+
+def test_rows_of_busy_keys_are_counted_before_they_are_dealt(spark, rows, monkeypatch):
+    monkeypatch.setattr(validate, "KEY_BYTES", 100)
+    monkeypatch.setattr(validate, "BUSY_BYTES", 0)
+    child = spark.createDataFrame([(i if i < 9 else i % 2 * 7,) for i in range(200)] + [(None,)], "a BIGINT")
+    parent = spark.createDataFrame([(i,) for i in range(5)], "x BIGINT")
+    before = skew.set_limits(skew.limits(hot_rows=50, sample_share=1.0))
+    lost = validate.orphans(child, parent, ForeignKey.of("c", "a", "p", "x"))
+    found = rows(lost)
+    skew.set_limits(before)
+    assert found == [(5, 1), (6, 1), (7, 97), (8, 1)]
+    assert "HashAggregate" in plan(lost).split("Union", 1)[1]
