@@ -22,30 +22,37 @@ def _both_ends(edges: DataFrame) -> tuple[Probe, Probe]:
 
 
 #: Estimated bytes of edges for each bucket of their steps; there are no more buckets than shuffle partitions.
-BUCKET_BYTES = 2 * 1024 * 1024
+BUCKET_BYTES = 4 * 1024 * 1024
 #: Estimated bytes of edges, with their properties, that a task tells apart.
 PART_BYTES = 4 * 1024 * 1024
 
 
-def _steps_by_node(steps: DataFrame, size: int | None) -> tuple[DataFrame, Callable[[], None]]:
-    """The steps written in buckets of the node they start at, and what forgets the table."""
+def _steps_by_node(steps: DataFrame, size: int | None, *more: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """The steps written in buckets of the node they start at, and what forgets the table.
+
+    Each task that reads edges writes its share of every bucket, so that steps
+    are not shuffled.  ``more`` are steps to add, which are sorted on their own.
+    """
     spark = steps.sparkSession
-    most, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"steps_{uuid.uuid4().hex}"
+    most, name, path = int(spark.conf.get("spark.sql.shuffle.partitions")), f"steps_{uuid.uuid4().hex}", new_folder(spark, "steps")
     parts = most if size is None else min(most, 1 + size // BUCKET_BYTES)
-    written = steps.repartition(parts, "at").write.bucketBy(parts, "at").sortBy("at", "next").option("path", new_folder(spark, "steps"))
-    written.saveAsTable(name, format="parquet")
+    for some in (steps, *more):
+        written = some.write.mode("append").bucketBy(parts, "at").sortBy("at", "next").option("path", path).option("compression", "zstd")
+        written.saveAsTable(name, format="parquet")
     return spark.table(name), lambda: spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
     """``(node_id, dist)`` of every node within ``max_depth`` steps of a root.
 
-    The steps are shuffled and written once, both ways, in buckets of the node
-    they start at; those of the busiest nodes, which would make buckets uneven,
-    are written apart.  Breadth first: each round takes the frontier to the
-    buckets, drops nodes already reached, and stops when nothing new turns up.
-    A step is followed in one round only, so over all rounds no more nodes are
-    shuffled than there are steps.
+    The steps are written once, both ways, in buckets of the node they start at,
+    and never shuffled; those of the busiest nodes, which would make buckets
+    uneven, are written apart.  Breadth first: each round takes the frontier to
+    the buckets, drops nodes already reached, and stops when nothing new turns
+    up.  As every step can be taken back, a node next to the frontier is at
+    least as far as the round before it, so only the last two rounds are looked
+    at.  A step is followed in one round only, so over all rounds no more nodes
+    are shuffled than there are steps.
     """
     spark = edges.sparkSession
     folder = new_folder(spark, "reached")
@@ -53,16 +60,15 @@ def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
     def frontier(depth: int) -> DataFrame:
         return spark.read.schema("node_id BIGINT").parquet(f"{folder}/dist={depth}")
 
-    def reached() -> DataFrame:
-        return spark.read.schema("node_id BIGINT, dist INT").parquet(folder)
-
     roots.select("node_id").distinct().write.parquet(f"{folder}/dist=0")
-    ends = F.array(F.struct(F.col("start_id").alias("at"), F.col("end_id").alias("next")), F.struct(F.col("end_id").alias("at"), F.col("start_id").alias("next")))
-    pairs = edges.filter("start_id IS NOT NULL AND end_id IS NOT NULL").select("start_id", "end_id")
-    steps = pairs.select(F.inline(ends))
-    probe = Probe.of(steps, ["at"])
-    busy = materialize(steps.filter(is_hot(["at"], probe)), "busy") if probe.hot else None
-    by_node, forget = _steps_by_node(steps.filter(~is_hot(["at"], probe)) if probe.hot else steps, estimated_bytes(pairs))
+    pairs = edges.filter("start_id IS NOT NULL AND end_id IS NOT NULL")
+    forth = pairs.select(F.col("start_id").alias("at"), F.col("end_id").alias("next"))
+    back = pairs.select(F.col("end_id").alias("at"), F.col("start_id").alias("next"))
+    size, probe = estimated_bytes(forth), Probe.of(forth.unionByName(back), ["at"])
+    busy = materialize(forth.unionByName(back).filter(is_hot(["at"], probe)), "busy") if probe.hot else None
+    if probe.hot:
+        forth, back = forth.filter(~is_hot(["at"], probe)), back.filter(~is_hot(["at"], probe))
+    by_node, forget = _steps_by_node(forth, size, back)
     try:
         for depth in range(1, max_depth + 1):
             last = frontier(depth - 1)
@@ -72,11 +78,12 @@ def distances(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
             beyond = by_node.join(last.hint("shuffle_hash"), match, "left_semi")
             if busy is not None:
                 beyond = beyond.unionByName(busy.join(F.broadcast(last.filter(is_hot(["node_id"], probe))), match, "left_semi"))
-            found = beyond.select(F.col("next").alias("node_id")).distinct().join(reached().select("node_id"), "node_id", "left_anti")
+            near = last if depth == 1 else last.unionByName(frontier(depth - 2))
+            found = beyond.select(F.col("next").alias("node_id")).distinct().join(near, "node_id", "left_anti")
             found.write.parquet(f"{folder}/dist={depth}")
     finally:
         forget()
-    return reached()
+    return spark.read.schema("node_id BIGINT, dist INT").parquet(folder)
 
 
 def neighbourhood_nodes(nodes: DataFrame, edges: DataFrame, roots: DataFrame, max_depth: int = 10) -> DataFrame:

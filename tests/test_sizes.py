@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from tenantry import skew
 from tenantry.model import ForeignKey
@@ -38,6 +41,30 @@ def test_a_round_shuffles_the_frontier_but_not_the_steps(spark, large):
     assert not spark.catalog.listTables()
 
 
+def test_steps_are_written_where_they_are_read_and_not_shuffled(spark):
+    steps = spark.range(0, 60, 1, 3).select(F.lit(1).cast("bigint").alias("at"), F.col("id").alias("next"))
+    more = steps.select("at", (F.col("next") + 60).alias("next"))
+    table, forget = traversal._steps_by_node(steps, 0, more)
+    # each of the three tasks writes a file of its own for each of both frames, in the one bucket
+    assert table.select(F.input_file_name()).distinct().count() == 6
+    assert sorted(r.next for r in table.collect()) == list(range(120))
+    forget()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rounds_look_back_no_further_than_a_step_can_lead(spark, large, seed):
+    rng = random.Random(seed)
+    pairs = [(rng.randrange(i), i) for i in range(1, 25)] + [(rng.randrange(25), rng.randrange(25)) for _ in range(6)] + [(3, 3), (None, 4), (5, None), (40, 41)]
+    edges = spark.createDataFrame([(a, "a", b, {}) for a, b in pairs], EDGE_SCHEMA)
+    dist, depth = {0: 0, 24: 0, 50: 0}, 0
+    while depth < 6:
+        depth += 1
+        reached = {y for a, b in pairs if None not in (a, b) for x, y in ((a, b), (b, a)) if x in dist} - set(dist)
+        dist |= dict.fromkeys(reached, depth)
+    found = traversal.distances(edges, spark.createDataFrame([(0,), (24,), (50,), (0,)], "node_id BIGINT"), 6)
+    assert sorted((r.node_id, r.dist) for r in found.collect()) == sorted(dist.items())
+
+
 @pytest.mark.parametrize("depth", [1, 2, 10])
 def test_edges_are_shuffled_once_by_their_start(spark, large, depth):
     edges = spark.createDataFrame(RING, EDGE_SCHEMA)
