@@ -9,8 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenantry import skew
-from tenantry.skew import Probe, estimated_bytes, is_hot, keep_matching, measured_bytes
+from tenantry.skew import Probe, estimated_bytes, is_hot, keep_matching
 from tenantry.sources.graph import nodes_with, ordered_entries
 from tenantry.state import materialize, new_folder
 
@@ -23,8 +22,6 @@ def _both_ends(edges: DataFrame) -> tuple[Probe, Probe]:
 
 #: Estimated bytes of edges for each bucket of their steps; there are no more buckets than shuffle partitions.
 BUCKET_BYTES = 4 * 1024 * 1024
-#: Estimated bytes of edges, with their properties, that a task tells apart.
-PART_BYTES = 4 * 1024 * 1024
 
 
 def _steps_by_node(steps: DataFrame, size: int | None, *more: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
@@ -103,11 +100,7 @@ def neighbourhood_edges(edges: DataFrame, roots: DataFrame, max_depth: int = 10)
     by_start, by_end = _both_ends(edges)
     columns = ["start_id", "type", "end_id"]
     texts = edges.select(*columns, ordered_entries(F.col("properties")).alias("entries"))
-    dealt = texts.filter("start_id IS NOT NULL")
-    if not by_start.small and measured_bytes(nodes) > skew.LIMITS.broadcast_bytes:  # as many parts as keep those of one task small
-        most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = dealt.repartition(max(most, min(16 * most, (estimated_bytes(texts) or 0) // PART_BYTES)), "start_id")
-    found = [keep_matching(dealt, nodes, [("start_id", "node_id")], probe=by_start, hashed=True)]
+    found = [keep_matching(texts.filter("start_id IS NOT NULL"), nodes, [("start_id", "node_id")], probe=by_start, hashed=True)]
     if not ring.isEmpty():
         inward = keep_matching(texts.filter("start_id IS NOT NULL"), ring, [("end_id", "node_id")], probe=by_end)
         found.append(keep_matching(inward, nodes, [("start_id", "node_id")], absent=True))

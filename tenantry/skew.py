@@ -150,6 +150,23 @@ def comparable(left: T.DataType, a: Column, right: T.DataType, b: Column) -> tup
     return a, b
 
 
+#: Estimated bytes of rows, or measured bytes of their keys, that make another part where keys are held in memory.
+PART_BYTES = 4 * 1024 * 1024
+
+
+def _hash_join(rows: DataFrame, keys: DataFrame, names: Sequence[str], match: Column, size: int) -> DataFrame:
+    """Rows with one of ``keys``, of which none comes twice; neither side is sorted, a task holds the keys of its part.
+
+    Both sides are dealt into as many parts as their sizes ask for.  A semi-join
+    would be moved below that, to each table of a union, where parts are put
+    together again by the bytes shuffled, until a few tasks hold all keys.  An
+    inner join stays, and finds the same rows as each key comes once.
+    """
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(most, min(16 * most, max(estimated_bytes(rows) or 0, size) // PART_BYTES))
+    return rows.repartition(parts, *names).join(keys.hint("shuffle_hash"), match)
+
+
 def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how: str, probe: Probe | None, bounds: Limits | None, hashed: bool = False) -> DataFrame:
     bounds = bounds or LIMITS
     names = [c for c, _ in on]
@@ -162,16 +179,19 @@ def _join(rows: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], how:
         one_each = renamed if how == "left_outer" else distinct_keys(renamed, right, bounds)
         return rows.join(one_each, match, how).drop(*right)
     measured = materialize(renamed if how == "left_outer" else renamed.distinct(), "keys")
-    if measured_bytes(measured) <= bounds.broadcast_bytes:
+    size = measured_bytes(measured)
+    if size <= bounds.broadcast_bytes:
         return rows.join(F.broadcast(measured), match, how).drop(*right)
     hot: Sequence[int] = ()
     if _texts_decide(rows, keys, on):
         hot = probe.hot if probe is not None else hot_keys(rows, names, bounds)
     if not hot:
-        return rows.join(measured.hint("shuffle_hash") if hashed else measured, match, how).drop(*right)
+        if hashed and how == "left_semi" and all(x.simpleString() == y.simpleString() for x, y in kinds):
+            return _hash_join(rows, measured, names, match, size).drop(*right)
+        return rows.join(measured, match, how).drop(*right)
     # a hash of the row is the same if a task is run again
-    hashed = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
-    salt = F.pmod(F.xxhash64(*hashed), F.lit(bounds.salts))
+    told = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
+    salt = F.pmod(F.xxhash64(*told), F.lit(bounds.salts))
     spread = F.when(_key_hash(names).isin(list(hot)), salt).otherwise(F.lit(0))
     repeats = F.when(_key_hash(right).isin(list(hot)), F.sequence(F.lit(0), F.lit(bounds.salts - 1))).otherwise(
         F.array(F.lit(0))

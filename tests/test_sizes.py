@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,26 @@ def test_edges_are_shuffled_once_by_their_start(spark, large, depth):
         assert "hashpartitioning(start_id#" in plan(found) and "type#" not in "".join(line for line in plan(found).splitlines() if "Exchange" in line)
 
 
+def test_keys_held_in_memory_are_dealt_into_parts_that_stay(spark, large, rows, monkeypatch):
+    monkeypatch.setattr(skew, "PART_BYTES", 100, raising=False)
+    kept = [(i, i % 2) for i in range(60)] + [(7, 1), (7, 1), (None, 0)]
+    sides = [spark.createDataFrame([r for r in kept if r[1] == side], "k BIGINT, side INT") for side in (0, 1)]
+    keys = spark.createDataFrame([(i,) for i in range(40)] * 2 + [(None,), (99,)], "pk BIGINT")
+    found = skew.keep_matching(sides[0].unionByName(sides[1]), keys, [("k", "pk")], hashed=True)
+    assert found.columns == ["k", "side"] and rows(found) == sorted(r for r in kept if r[0] is not None and r[0] < 40)
+    # by their few bytes they would come together again in one task for each side of the union
+    assert found.select(F.spark_partition_id()).distinct().count() > 8
+    narrow = skew.keep_matching(sides[0].unionByName(sides[1]), keys.select(F.col("pk").cast("int")), [("k", "pk")], hashed=True)
+    assert rows(narrow) == rows(found)
+
+
+def test_edges_of_several_tables_are_looked_up_in_one_join(spark, large):
+    edges = reduce(lambda a, b: a.unionByName(b), [spark.createDataFrame(RING[i::3], EDGE_SCHEMA) for i in range(3)])
+    found = traversal.neighbourhood_edges(edges, spark.createDataFrame([(0,)], "node_id BIGINT"), 10)
+    assert plan(found).count("ShuffledHashJoin") == 1
+    assert sorted(map(str, ((r.start_id, r.type, r.end_id, r.properties) for r in found.collect()))) == sorted({str(e) for e in RING})
+
+
 def test_busy_nodes_are_followed_too(spark):
     before = skew.set_limits(skew.limits(small_bytes=0, hot_rows=3, sample_share=1.0))
     edges = spark.createDataFrame([(0, "a", i, {}) for i in range(1, 9)] + [(8, "a", 9, {})], EDGE_SCHEMA)
