@@ -18,6 +18,15 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left(spark):
+    """Views that a module's tests make are not seen by the next."""
+    yield
+    for table in spark.catalog.listTables():
+        if table.isTemporary:
+            spark.catalog.dropTempView(table.name)
+
+
 @pytest.fixture(scope="session")
 def folder() -> str:
     return SMALL
